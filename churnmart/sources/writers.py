@@ -10,7 +10,13 @@ def overwrite_files(df: DataFrame, path: str, fmt="parquet", partition_by=()) ->
     """
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True).option("nullValue", "").option("escape", '"')
+        writer = (
+            writer.option("header", True)
+            .option("nullValue", "")
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+        )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
