@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from churnmart import constants as C
-from churnmart.functions.exprs import add_up, col, share_pct
+from churnmart.functions.exprs import add_up, col, round_even, share_pct
 from churnmart.operators.joins import repeat_rows, salted_join
 from churnmart.operators.ordering import exact_quantiles, unpivot_numeric
 
@@ -112,7 +112,7 @@ def churn_distribution(df: DataFrame) -> DataFrame:
         "total", "churned", active.alias("active"),
         share_pct(active, F.col("total"), 1).alias("active_pct"),
         share_pct(F.col("churned"), F.col("total"), 1).alias("churned_pct"),
-        F.rint(ratio * 100).alias("ratio_x100"),
+        round_even(ratio, 2).alias("churn_to_active_ratio"),
         (ratio < C.IMBALANCE_RATIO).cast("int").alias("imbalanced"),
     )
 
