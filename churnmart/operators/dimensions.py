@@ -3,7 +3,7 @@
 from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from churnmart import constants as C
 from churnmart.functions.exprs import col, share_pct
@@ -84,14 +84,8 @@ def churn_reason_dimension(customers: DataFrame, survey: DataFrame) -> DataFrame
 
 def reason_distribution(dim_churn_reason: DataFrame) -> DataFrame:
     """Reasons among churned customers with their share."""
-    counted = (
-        dim_churn_reason.where("churn_flag = 1").groupBy("churn_reason")
-        .agg(F.count(F.lit(1)).alias("customers"))
+    churned = dim_churn_reason.where("churn_flag = 1")
+    total = churned.select(F.count(F.lit(1))).scalar()
+    return churned.groupBy("churn_reason").agg(F.count(F.lit(1)).alias("customers")).withColumn(
+        "pct", share_pct(F.col("customers"), total, 1)
     )
-    return with_share(counted, "customers", "pct", 1)
-
-
-def with_share(counted: DataFrame, count: str, name: str, digits: int) -> DataFrame:
-    """``count`` as a share of its total: the window runs over the few groups only."""
-    total = F.sum(col(count)).over(Window.partitionBy())
-    return counted.withColumn(name, share_pct(col(count), total, digits))

@@ -52,6 +52,11 @@ def salted_join(left: DataFrame, right: DataFrame, on: str, salt_by: Column, how
     return left_side.join(right_side, match, how).drop("__salt", r_salt, r_key)
 
 
+def broadcast_if_small(df: DataFrame, max_rows=10_000) -> DataFrame:
+    """A broadcast hint only for a side that was counted and is small."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Each row ``times`` times over; large counts are spread over tasks in chunks."""
     chunks = F.sequence(F.lit(0), F.floor((col(times) - 1) / F.lit(_CHUNK)))

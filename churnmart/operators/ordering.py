@@ -62,7 +62,10 @@ def global_rank(df: DataFrame, order, name: str, within=(), total=None, start=0)
     match = F.col(_PART) == F.col("__b_part")
     for c in within:
         match = match & col(c).eqNullSafe(F.col(f"`__b_{c}`"))
-    if not within:
+    if within:
+        # Written, so that the join is planned from the true size of the block table.
+        blocks = materialize(blocks, "blocks")
+    else:
         # At most one row per shuffle partition.
         blocks = F.broadcast(blocks)
     rank = F.col("__before") + F.col(_IDX) - F.col("__first") + F.lit(1 + start)
@@ -140,7 +143,9 @@ def exact_quantiles(df: DataFrame, value: str, probabilities, keys=(),
         for k in keys:
             match = match & col(k).eqNullSafe(F.col(f"`__b_{k}`"))
         running = Window.partitionBy(_PART, *by_key).orderBy("__v")
-        held = placed.join(blocks.where(wanted), match).withColumn(
+        # At most two blocks per quantile and key; the join is planned from their true size.
+        wanted_blocks = materialize(blocks.where(wanted), "blocks")
+        held = placed.join(wanted_blocks, match).withColumn(
             "__low", F.col("__before") + F.sum("__n").over(running) - F.col("__n")
         )
     picks = []

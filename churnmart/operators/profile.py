@@ -3,7 +3,7 @@
 Group keys that are NULL are left out here (marts keep them).
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from churnmart import constants as C
 from churnmart.functions.exprs import (
@@ -15,7 +15,7 @@ from churnmart.functions.exprs import (
     safe_corr,
     share_pct,
 )
-from churnmart.operators.dimensions import with_share
+from churnmart.operators.joins import broadcast_if_small
 from churnmart.operators.ordering import exact_quantiles, unpivot_numeric
 
 
@@ -66,6 +66,11 @@ def univariate_stats(df: DataFrame, columns) -> DataFrame:
     )
 
 
+def _row_count(df: DataFrame) -> Column:
+    """Number of rows as a scalar subquery: for files it is read from their footers."""
+    return df.select(F.count(F.lit(1))).scalar()
+
+
 def churn_table(df: DataFrame, key: str | Column, name: str, flag="Exited", share=False) -> DataFrame:
     """Customers, churned and churn rate (percent, one digit) per key."""
     group = col(key) if isinstance(key, str) else key
@@ -77,7 +82,9 @@ def churn_table(df: DataFrame, key: str | Column, name: str, flag="Exited", shar
         .withColumn("churn_rate_pct", share_pct(F.col("churned"), F.col("total"), 1))
     )
     if share:
-        grouped = with_share(grouped, "total", "pct_of_customers", 1)
+        grouped = grouped.withColumn(
+            "pct_of_customers", share_pct(F.col("total"), _row_count(df), 1)
+        )
     return grouped.orderBy(name)
 
 
@@ -110,12 +117,11 @@ def banded_counts(df: DataFrame, column: str, bands: C.Bands) -> DataFrame:
         df.groupBy(bin_label(col(column), bands).alias("label"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    total = df.agg(F.count(F.lit(1)))
     return _all_bins(df, bands).join(counted, "label", "left").select(
         "ordinal",
         "label",
         F.coalesce("n", F.lit(0)).alias("customers"),
-        share_pct(F.coalesce("n", F.lit(0)), total.scalar(), 1).alias("pct"),
+        share_pct(F.coalesce("n", F.lit(0)), _row_count(df), 1).alias("pct"),
     ).orderBy("ordinal")
 
 
@@ -129,9 +135,8 @@ def value_counts(df: DataFrame, columns=C.CATEGORICAL_COLUMNS) -> DataFrame:
         .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     )
     # NULL cells count as rows, not as a value.
-    rows = F.sum("n").over(Window.partitionBy("column"))
     return (
-        counted.withColumn("pct", share_pct(F.col("n"), rows, 1))
+        counted.withColumn("pct", share_pct(F.col("n"), _row_count(df), 1))
         .where("value is not null")
         .orderBy("column", F.col("n").desc(), "value")
     )
@@ -225,6 +230,7 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None,
     counted = values.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
     ranges = values.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     if keys:
+        ranges = broadcast_if_small(ranges)
         joined = counted.join(ranges, keys)
     else:
         edges = ranges.select(F.struct("lo", "hi"))
@@ -261,9 +267,8 @@ def box_stats(df: DataFrame, column: str, by="Exited") -> DataFrame:
     quartiles = exact_quantiles(values, "v", [0.25, 0.5, 0.75], [by])
     reach = (F.col("q2") - F.col("q0")) * C.IQR_FENCE
     counted = values.groupBy(by, "v").agg(F.count(F.lit(1)).alias("k"))
-    fenced = counted.join(
-        quartiles.withColumns({"lo": F.col("q0") - reach, "hi": F.col("q2") + reach}), by
-    )
+    fences = quartiles.withColumns({"lo": F.col("q0") - reach, "hi": F.col("q2") + reach})
+    fenced = counted.join(broadcast_if_small(fences), by)
     inside = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
     return fenced.groupBy(by).agg(
         F.max("q0").alias("q1"),

@@ -73,21 +73,27 @@ def change_log(classified: DataFrame, load_date: date, tracked=TRACKED_COLUMNS)
     )
 
 
+def largest_key(dimension: DataFrame) -> int:
+    return dimension.agg(F.coalesce(F.max("customer_sk"), F.lit(0))).first()[0]
+
+
 def merge(dimension: DataFrame, feed: DataFrame, load_date: date,
-          tracked=TRACKED_COLUMNS) -> DataFrame:
+          tracked=TRACKED_COLUMNS, last_key: int | None = None) -> DataFrame:
     """The dimension after ``feed``: expired versions, new versions, new customers.
 
     New keys are one contiguous run after the largest key: versions first, then new
     customers, each in customer order. Customers absent from the feed stay as they are;
-    the same feed again changes nothing. ``dimension`` is read, never overwritten.
+    the same feed again changes nothing. ``dimension`` is read, never overwritten. It may
+    hold the current versions only, then ``last_key`` is the largest key ever given.
     """
     delta = materialize(
         classify(dimension, feed, tracked).where("status <> 'unchanged'"), "scd2-delta"
     )
-    top = dimension.agg(F.coalesce(F.max("customer_sk"), F.lit(0))).first()[0]
+    if last_key is None:
+        last_key = largest_key(dimension)
     ranked = global_rank(
         delta.withColumn("__new", (F.col("status") == "new").cast("int")),
-        ["__new", KEY], "customer_sk", start=top,
+        ["__new", KEY], "customer_sk", start=last_key,
     )
     inserts = ranked.drop("__new").withColumns({
         "effective_start_date": F.lit(load_date),

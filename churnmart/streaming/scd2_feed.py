@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from churnmart.operators import scd2
 from churnmart.schemas import clean_numbers
@@ -12,31 +12,44 @@ from churnmart.session import new_path
 class DimensionVersions:
     """A dimension as a series of written versions; a version is never overwritten.
 
-    Version ``n`` is the state after micro-batch ``n - 1``; its folder name holds the
-    number. A batch always starts from the version before it and writes its own, so a
-    batch that is replayed after a failure leads to the same state.
+    Version ``n`` is the state after micro-batch ``n - 1``. Its folder holds all current
+    rows of that state, and of the closed rows only those the batch closed: history is
+    appended to and never written again. A batch always starts from the version before
+    it and writes its own folder, so a batch replayed after a failure ends in the same
+    state, and readers of a finished version never see a half-written one.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
 
     def path(self, version: int) -> str:
-        return f"{self.root}/v{version:09d}"
+        return f"{self.root}/version={version}"
 
     def write(self, version: int, rows: DataFrame) -> None:
-        # A replayed batch replaces what an unfinished attempt left; it reads another folder.
-        rows.write.mode("overwrite").parquet(self.path(version))
+        # Replaces only what an unfinished attempt at this version may have left.
+        rows.write.mode("overwrite").partitionBy("is_current").parquet(self.path(version))
+
+    def _rows(self, condition) -> DataFrame:
+        stored = self.spark.read.option("basePath", self.root).parquet(self.root)
+        return stored.where(condition).drop("version")
+
+    def current(self, version: int) -> DataFrame:
+        """Current rows only: one folder, by partition pruning."""
+        return self._rows((F.col("version") == version) & (F.col("is_current") == 1))
 
     def read(self, version: int) -> DataFrame:
-        return self.spark.read.parquet(self.path(version))
+        """Current and closed rows as of ``version``."""
+        current = (F.col("version") == version) & (F.col("is_current") == 1)
+        closed = (F.col("version") <= version) & (F.col("is_current") == 0)
+        return self._rows(current | closed)
 
     def latest(self) -> int:
         """The highest version that was written to the end."""
         fs_api = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        done = fs_api.Path(f"{self.root}/v*/_SUCCESS")
+        done = fs_api.Path(f"{self.root}/version=*/_SUCCESS")
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         found = done.getFileSystem(conf).globStatus(done)
-        return max(int(f.getPath().getParent().getName()[1:]) for f in found)
+        return max(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
 
 
 def merge_stream(spark: SparkSession, feed_dir: str, schema, versions: DimensionVersions,
@@ -57,8 +70,9 @@ def merge_stream(spark: SparkSession, feed_dir: str, schema, versions: Dimension
         rows = clean_numbers(batch)
         rows = prepare(rows) if prepare else rows
         latest = scd2.latest_per_key(rows, order)
-        dimension = versions.read(batch_id)
-        versions.write(batch_id + 1, scd2.merge(dimension, latest, load_date))
+        last_key = scd2.largest_key(versions.read(batch_id))
+        merged = scd2.merge(versions.current(batch_id), latest, load_date, last_key=last_key)
+        versions.write(batch_id + 1, merged)
 
     query = (
         source.writeStream.foreachBatch(merge_batch)
