@@ -20,6 +20,8 @@ def build_session(app_name="churnmart", master=None, shuffle_partitions=None, **
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # Call sites of every column expression cost more than planning the query.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
