@@ -34,7 +34,10 @@ class Caps:
 def fit_fill_values(df: DataFrame) -> FillValues:
     """Medians and modes over all rows, duplicates included (imputation precedes dedup)."""
     values = {"Balance": 0.0}
-    medians = exact_quantiles(unpivot_numeric(df, MEDIAN_FILLED), "value", [0.5], ["column"])
+    medians = exact_quantiles(
+        unpivot_numeric(df, MEDIAN_FILLED), "value", [0.5], ["column"],
+        rows=df.count() * len(MEDIAN_FILLED),
+    )
     for row in medians.collect():
         values[row["column"]] = int(row.q0) if row["column"] in WHOLE_MEDIAN_FILLED else row.q0
     for row in modes(df, MODE_FILLED).collect():
@@ -80,7 +83,8 @@ def standardize(df: DataFrame) -> DataFrame:
 def fit_caps(df: DataFrame) -> Caps:
     """1st and 99th percentile of each capped column, exact."""
     found = exact_quantiles(
-        unpivot_numeric(df, C.CAPPED_COLUMNS), "value", C.CAP_PROBABILITIES, ["column"]
+        unpivot_numeric(df, C.CAPPED_COLUMNS), "value", C.CAP_PROBABILITIES, ["column"],
+        rows=df.count() * len(C.CAPPED_COLUMNS),
     )
     return Caps({row["column"]: (row.q0, row.q1) for row in found.collect()})
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from churnmart.functions.exprs import col
+from churnmart.functions.exprs import col, quoted
 
 # A key with more than 1/HOT_FRACTION of all rows is hot; fewer than HOT_FRACTION exist.
 HOT_FRACTION = 1000
@@ -64,6 +64,8 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     size = F.least(F.lit(_CHUNK).cast("long"), col(times) - F.col("__chunk") * F.lit(_CHUNK))
     split = split.withColumn("__size", size)
     if_large = F.when(col(times) > _CHUNK, F.col("__chunk")).otherwise(F.lit(0))
-    spread = split.repartition(F.xxhash64(*[col(c) for c in df.columns]), if_large)
+    # A fixed number of partitions: by bytes AQE would merge rows that are about to multiply.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = split.repartition(parts, F.xxhash64(*quoted(df.columns)), if_large)
     rows = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__size")))
     return spread.withColumn("__row", rows).drop("__chunk", "__size", "__row", times)

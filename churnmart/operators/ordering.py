@@ -9,7 +9,7 @@ placement is written once and everything after reads the written table.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from churnmart.functions.exprs import col
+from churnmart.functions.exprs import col, quoted
 from churnmart.session import materialize
 
 _POS, _PART, _IDX, _SEQ = "__pos", "__part", "__idx", "__seq"
@@ -46,7 +46,7 @@ def global_rank(df: DataFrame, order, name: str, within=(), total=None, start=0)
     """
     within = list(within)
     placed = _place(df, [*within, *order], f"rank-{name}")
-    blocks = placed.groupBy(_PART, *[col(c) for c in within]).agg(
+    blocks = placed.groupBy(_PART, *quoted(within)).agg(
         F.count(F.lit(1)).alias("__n"), F.min(_IDX).alias("__first")
     )
     # One row per (partition, group): a few rows per shuffle partition, never the data.
@@ -71,7 +71,7 @@ def global_rank(df: DataFrame, order, name: str, within=(), total=None, start=0)
     rank = F.col("__before") + F.col(_IDX) - F.col("__first") + F.lit(1 + start)
     extra = [F.col("__total").alias(total)] if total else []
     return placed.join(blocks, match).select(
-        *[col(c) for c in df.columns], rank.cast("long").alias(name), *extra
+        *quoted(df.columns), rank.cast("long").alias(name), *extra
     )
 
 
@@ -90,11 +90,11 @@ def ntile_from_rank(rank: Column, total: Column, n: int) -> Column:
 def surrogate_key(df: DataFrame, name: str, order, start=0) -> DataFrame:
     """``df`` with a dense key ``name`` in front, counted on from ``start``."""
     keyed = global_rank(df, order, name, start=start)
-    return keyed.select(name, *[col(c) for c in df.columns])
+    return keyed.select(name, *quoted(df.columns))
 
 
 def exact_quantiles(df: DataFrame, value: str, probabilities, keys=(),
-                    small_rows=SMALL_ROWS) -> DataFrame:
+                    small_rows=SMALL_ROWS, rows: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles ``q0, q1, ...`` of ``value`` per key, and ``n``.
 
     Built-in ``percentile`` keeps every distinct value of a group in one buffer. This
@@ -102,9 +102,10 @@ def exact_quantiles(df: DataFrame, value: str, probabilities, keys=(),
     in global order, finds the blocks that hold the wanted positions from the block
     sizes alone, and orders only those blocks. NULL values are left out. Tables counted
     to hold at most ``small_rows`` rows skip the placement: one window per key is enough.
+    ``rows`` is an upper bound for the row count where the caller knows one.
     """
     keys = list(keys)
-    by_key = [col(k) for k in keys]
+    by_key = quoted(keys)
     counted = (
         df.where(col(value).isNotNull())
         .groupBy(*by_key, col(value).cast("double").alias("__v"))
@@ -117,7 +118,7 @@ def exact_quantiles(df: DataFrame, value: str, probabilities, keys=(),
     def covers(low, size, target):
         return (target >= low) & (target < low + size)
 
-    if df.count() <= small_rows:
+    if (df.count() if rows is None else rows) <= small_rows:
         whole = Window.partitionBy(*by_key)
         held = counted.withColumns({
             "__low": F.sum("__n").over(whole.orderBy("__v")) - F.col("__n"),
@@ -171,7 +172,7 @@ def unpivot_numeric(df: DataFrame, columns, keep=()) -> DataFrame:
     pairs = [
         F.struct(F.lit(c).alias("column"), col(c).cast("double").alias("value")) for c in columns
     ]
-    return df.select(*[col(k) for k in keep], F.inline(F.array(*pairs)))
+    return df.select(*quoted(keep), F.inline(F.array(*pairs)))
 
 
 def modes(df: DataFrame, columns) -> DataFrame:

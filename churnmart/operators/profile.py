@@ -34,7 +34,9 @@ def describe_numeric(df: DataFrame, columns=None, digits=2) -> DataFrame:
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["column"]).drop("n")
+    quartiles = exact_quantiles(
+        long, "value", [0.25, 0.5, 0.75], ["column"], rows=df.count() * len(columns)
+    ).drop("n")
     joined = moments.join(quartiles, "column")
     return joined.select(
         "column",
@@ -58,9 +60,9 @@ def univariate_stats(df: DataFrame, columns) -> DataFrame:
         round_even(F.stddev_samp(v), 1).alias("std"),
         round_even(adjusted_skew(v), 3).alias("skew"),
     )
-    medians = exact_quantiles(long, "value", [0.5], ["column"]).select(
-        "column", round_even(F.col("q0"), 1).alias("median")
-    )
+    medians = exact_quantiles(
+        long, "value", [0.5], ["column"], rows=df.count() * len(columns)
+    ).select("column", round_even(F.col("q0"), 1).alias("median"))
     return moments.join(medians, "column").select(
         "column", "min", "max", "mean", "median", "std", "skew"
     )
@@ -161,7 +163,8 @@ def balance_segments(df: DataFrame) -> DataFrame:
         .alias("high_value_churn_rate_pct"),
     )
     positive_rows = df.where(positive).select(balance.alias("value"))
-    median = exact_quantiles(positive_rows, "value", [0.5]).select(round_even(F.col("q0"), 0))
+    found = exact_quantiles(positive_rows, "value", [0.5], rows=df.count())
+    median = found.select(round_even(F.col("q0"), 0))
     return stats.withColumn("nonzero_median", median.scalar())
 
 
@@ -264,7 +267,7 @@ def box_stats(df: DataFrame, column: str, by="Exited") -> DataFrame:
     values = df.where(col(column).isNotNull() & col(by).isNotNull()).select(
         col(by), col(column).cast("double").alias("v")
     )
-    quartiles = exact_quantiles(values, "v", [0.25, 0.5, 0.75], [by])
+    quartiles = exact_quantiles(values, "v", [0.25, 0.5, 0.75], [by], rows=df.count())
     reach = (F.col("q2") - F.col("q0")) * C.IQR_FENCE
     counted = values.groupBy(by, "v").agg(F.count(F.lit(1)).alias("k"))
     fences = quartiles.withColumns({"lo": F.col("q0") - reach, "hi": F.col("q2") + reach})

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from churnmart import constants as C
-from churnmart.functions.exprs import add_up, col, round_even, share_pct
+from churnmart.functions.exprs import add_up, col, quoted, round_even, share_pct
 from churnmart.operators.joins import repeat_rows, salted_join
 from churnmart.operators.ordering import exact_quantiles, unpivot_numeric
 
@@ -75,7 +75,7 @@ def profile_duplicates(df: DataFrame, key=C.RAW_KEY) -> DataFrame:
 
     Copies collapse into counts before each shuffle; the key level builds on the row level.
     """
-    rows = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    rows = df.groupBy(*quoted(df.columns)).agg(F.count(F.lit(1)).alias("__n"))
     keys = rows.groupBy(col(key)).agg(
         F.sum("__n").alias("__n"), F.count(F.lit(1)).alias("__distinct")
     )
@@ -88,19 +88,19 @@ def profile_duplicates(df: DataFrame, key=C.RAW_KEY) -> DataFrame:
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """All members of every group of identical rows."""
-    counted = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    counted = df.groupBy(*quoted(df.columns)).agg(F.count(F.lit(1)).alias("__n"))
     return repeat_rows(counted.where("__n > 1"), "__n")
 
 
 def duplicate_keys(df: DataFrame, key=C.RAW_KEY, shown=(C.RAW_ORDER, "Surname")) -> DataFrame:
     """All rows (key and ``shown`` columns) whose key occurs more than once, by key."""
     wanted = [key, *shown]
-    rows = df.groupBy(*[col(c) for c in wanted]).agg(F.count(F.lit(1)).alias("__n"))
+    rows = df.groupBy(*quoted(wanted)).agg(F.count(F.lit(1)).alias("__n"))
     repeated = rows.groupBy(col(key)).agg(F.sum("__n").alias("__m")).where("__m > 1").select(key)
     members = salted_join(
         rows, repeated, key, F.xxhash64(*[col(c) for c in shown]), "inner", count_on=df
     )
-    return repeat_rows(members, "__n").select(*[col(c) for c in wanted]).orderBy(key, *shown)
+    return repeat_rows(members, "__n").select(*quoted(wanted)).orderBy(key, *shown)
 
 
 def churn_distribution(df: DataFrame) -> DataFrame:
@@ -120,10 +120,10 @@ def churn_distribution(df: DataFrame) -> DataFrame:
 def outliers_iqr(df: DataFrame, columns=C.OUTLIER_COLUMNS) -> DataFrame:
     """Tukey fences per column, rows outside, and the column's extremes."""
     long = unpivot_numeric(df, columns)
-    quartiles = {
-        r["column"]: (r.q0, r.q1)
-        for r in exact_quantiles(long, "value", [0.25, 0.75], ["column"]).collect()
-    }
+    found = exact_quantiles(
+        long, "value", [0.25, 0.75], ["column"], rows=df.count() * len(columns)
+    )
+    quartiles = {r["column"]: (r.q0, r.q1) for r in found.collect()}
     fences = {
         c: (q1 - C.IQR_FENCE * (q3 - q1), q3 + C.IQR_FENCE * (q3 - q1))
         for c, (q1, q3) in quartiles.items()

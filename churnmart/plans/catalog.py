@@ -403,6 +403,9 @@ CATALOG = {
     }),
     "warehouse_churn_metric": lambda b: facts.churn_metric(b.dim_customer),
     "fact_profile": lambda b: money_as_double(facts.fact_profile(b.fact)),
+    "fact_value_counts": lambda b: profile.value_counts(b.fact, ("transaction_type", "channel")),
+    "fact_amount_stats": lambda b: profile.describe_numeric(b.fact, ["amount"]),
+    "dim_date_years": lambda b: profile.distinct_values(b.dim_date, "year"),
     "dim_date_profile": lambda b: facts.date_profile(b.dim_date),
     "churn_reason_dist": lambda b: dimensions.reason_distribution(b.dim_churn_reason),
     # marts

@@ -482,6 +482,20 @@ def oracle_sql() -> dict:
             COUNT(DISTINCT customer_id) AS unique_customers,
             CAST(SUM(amount) AS DOUBLE) AS total_amount, CAST(MIN(amount) AS DOUBLE) AS min_amount,
             CAST(MAX(amount) AS DOUBLE) AS max_amount FROM fact"""),
+        "fact_value_counts": query(p.fact(), _union([
+            f"SELECT '{c}' AS \"column\", {c} AS value, COUNT(*) AS n, "
+            f"{share('COUNT(*)', '(SELECT COUNT(*) FROM fact)', 1)} AS pct FROM fact "
+            f"WHERE {c} IS NOT NULL GROUP BY {c}" for c in ("transaction_type", "channel")])),
+        "fact_amount_stats": query(
+            p.fact() + [("lists", f"SELECT {p.sorted_list('amount')} AS l FROM fact")],
+            f"""SELECT 'amount' AS "column", COUNT(amount) AS count,
+            {round_even('AVG(amount)', 2)} AS mean,
+            {round_even('stddev_samp(CAST(amount AS DOUBLE))', 2)} AS std,
+            {round_even('MIN(amount)', 2)} AS min, """ + ", ".join(
+                f"(SELECT {round_even(p.quantile('l', x), 2)} FROM lists) AS {n}"
+                for x, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")))
+            + f", {round_even('MAX(amount)', 2)} AS max FROM fact"),
+        "dim_date_years": query(p.dim_date(), "SELECT DISTINCT year FROM dimd"),
         "dim_date_profile": query(p.dim_date(), """SELECT COUNT(*) AS days,
             MIN(full_date) AS first_date, MAX(full_date) AS last_date,
             COUNT(DISTINCT year) AS years, COUNT(*) FILTER (WHERE is_weekend = 1) AS weekend_days,
