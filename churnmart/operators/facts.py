@@ -54,12 +54,14 @@ def orphan_counts(fact: DataFrame, dimensions: dict) -> DataFrame:
     """Fact rows without a partner per foreign key; a NULL key is an orphan as well.
 
     ``dimensions`` maps the key column to its dimension. Fact rows are counted per key
-    value before each anti-join, so only distinct keys shuffle.
+    value before each join, so only distinct keys meet the dimension. An outer join with
+    a NULL test keeps it that way: an anti-join would be moved below the count.
     """
     parts = []
     for fk, dim in dimensions.items():
         used = fact.groupBy(col(fk)).agg(F.count(F.lit(1)).alias("n"))
-        lost = used.join(dim.select(fk).distinct(), fk, "left_anti")
+        known = dim.select(fk).distinct().withColumn("known", F.lit(1))
+        lost = used.join(known, fk, "left").where("known is null")
         parts.append(lost.agg(
             F.lit(fk).alias("foreign_key"),
             F.coalesce(F.sum("n"), F.lit(0)).alias("orphans"),

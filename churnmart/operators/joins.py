@@ -11,8 +11,8 @@ _CHUNK = 100_000
 
 
 def hot_keys(df: DataFrame, key: str, rows: int) -> list:
-    """Keys that own more than 1/1000 of ``rows``: by counting, at most 999 of them."""
-    counted = df.where(col(key).isNotNull()).groupBy(col(key).alias("k")).count()
+    """Keys (NULL among them) with more than 1/1000 of ``rows``: at most 999, by counting."""
+    counted = df.groupBy(col(key).alias("k")).count()
     hot = counted.where(F.col("count") > F.lit(max(1, rows // HOT_FRACTION)))
     return [row.k for row in hot.select("k").collect()]
 
@@ -37,14 +37,18 @@ def salted_join(left: DataFrame, right: DataFrame, on: str, salt_by: Column, how
         match = col(on) == F.col(f"`{r_key}`")
         left_side, right_side = left, renamed
     else:
-        is_hot = col(on).isin(hot)
+        # NULL keys find no partner, but an outer join must still carry their rows.
+        is_hot = col(on).isNull() if None in hot else F.lit(False)
+        hot = [k for k in hot if k is not None]
+        is_hot = is_hot | col(on).isin(hot) if hot else is_hot
         left_side = left.withColumn(
             "__salt", F.when(is_hot, F.pmod(salt_by, F.lit(salts)).cast("int")).otherwise(0)
         )
+        repeated = F.col(f"`{r_key}`").isin(hot) if hot else F.lit(False)
         every = F.sequence(F.lit(0), F.lit(salts - 1))
         right_side = renamed.withColumn(
             r_salt,
-            F.explode(F.when(F.col(f"`{r_key}`").isin(hot), every).otherwise(F.array(F.lit(0)))),
+            F.explode(F.when(repeated, every).otherwise(F.array(F.lit(0)))),
         )
         match = (col(on) == F.col(f"`{r_key}`")) & (F.col("__salt") == F.col(r_salt))
     if condition is not None:

@@ -229,20 +229,19 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None,
     values = df.where(col(column).isNotNull()).select(
         *[col(k) for k in keys], _cents(col(column), scale).alias("v")
     )
-    # Collapse equal values first: ranges and counts then work on distinct values.
-    counted = values.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
     ranges = values.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     if keys:
         ranges = broadcast_if_small(ranges)
-        joined = counted.join(ranges, keys)
+        joined = values.join(ranges, keys)
     else:
         edges = ranges.select(F.struct("lo", "hi"))
-        joined = counted.withColumn("__r", edges.scalar()).select("v", "n", "__r.*")
+        joined = values.withColumn("__r", edges.scalar()).select("v", "__r.*")
     width = F.col("hi") - F.col("lo")
     # Exact integer division; the guard only keeps a zero width from being divided by.
     slot = F.expr(f"((v - lo) * {bins}) div greatest(hi - lo, 1L)").cast("int")
     bin_no = F.when(width == 0, F.lit(bins // 2)).otherwise(F.least(slot, F.lit(bins - 1)))
-    filled = joined.groupBy(*keys, (bin_no + 1).alias("bin")).agg(F.sum("n").alias("n"))
+    # Counts combine before the shuffle: a few rows per bin and task.
+    filled = joined.groupBy(*keys, (bin_no + 1).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     every = ranges.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
     low, high = F.col("lo").cast("double"), F.col("hi").cast("double")
     # A constant column gets a range of one unit around its value.
@@ -269,9 +268,8 @@ def box_stats(df: DataFrame, column: str, by="Exited") -> DataFrame:
     )
     quartiles = exact_quantiles(values, "v", [0.25, 0.5, 0.75], [by], rows=df.count())
     reach = (F.col("q2") - F.col("q0")) * C.IQR_FENCE
-    counted = values.groupBy(by, "v").agg(F.count(F.lit(1)).alias("k"))
     fences = quartiles.withColumns({"lo": F.col("q0") - reach, "hi": F.col("q2") + reach})
-    fenced = counted.join(broadcast_if_small(fences), by)
+    fenced = values.join(broadcast_if_small(fences), by)
     inside = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
     return fenced.groupBy(by).agg(
         F.max("q0").alias("q1"),
@@ -279,5 +277,5 @@ def box_stats(df: DataFrame, column: str, by="Exited") -> DataFrame:
         F.max("q2").alias("q3"),
         F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-        F.sum(F.when(inside, 0).otherwise(F.col("k"))).alias("outliers"),
+        F.count_if(~inside).alias("outliers"),
     ).orderBy(by)
