@@ -122,21 +122,29 @@ def monthly_churn_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 def product_analysis(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Revenue, customers and churn per product, ranked by revenue.
 
-    Products meet the fact before it is aggregated, because names may repeat across keys;
-    the join is planned from the stored size of the product table.
+    The fact shrinks to one row per product and customer, on two integer keys, before it
+    meets the product names; distinct customers are then counted per name.
     """
-    named = fact.select("product_sk", "customer_sk", "transaction_sk", "amount", "churn_flag").join(
+    churned, rows = F.sum("churned"), F.sum("rows")
+    per_customer = fact.groupBy("product_sk", "customer_sk").agg(
+        F.count("transaction_sk").alias("transactions"),
+        F.sum("amount").alias("amount"),
+        F.count("amount").alias("amounts"),
+        F.sum("churn_flag").alias("churned"),
+        _rows().alias("rows"),
+    )
+    named = per_customer.join(
         dim_product.select("product_sk", "product_name", "product_category", "interest_rate_pct"),
         "product_sk",
     )
-    churned = F.sum("churn_flag")
+    mean = F.try_divide(F.sum("amount"), F.sum("amounts").cast("decimal(20,0)"))
     grouped = named.groupBy("product_name", "product_category", "interest_rate_pct").agg(
         F.count_distinct("customer_sk").alias("customer_count"),
-        F.count("transaction_sk").alias("transaction_count"),
+        F.sum("transactions").alias("transaction_count"),
         F.sum("amount").alias("revenue"),
-        money(F.avg("amount")).alias("avg_transaction_value"),
+        money(mean).alias("avg_transaction_value"),
         churned.alias("churned_transactions"),
-        rate_pct(churned, _rows()).alias("product_churn_rate_pct"),
+        rate_pct(churned, rows).alias("product_churn_rate_pct"),
     )
     rank = F.dense_rank().over(Window.orderBy(F.col("revenue").desc()))
     return grouped.withColumn("revenue_rank", rank).select(

@@ -32,6 +32,10 @@ def build_session(app_name="churnmart", master=None, shuffle_partitions=None, **
     return builder.getOrCreate()
 
 
+# Folder of a local session that names none, per application.
+_LOCAL_DIRS: dict = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -43,9 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    created = tempfile.mkdtemp(prefix="churnmart-")
-    spark.conf.set("spark.checkpoint.dir", created)
-    return created
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="churnmart-")
+    return _LOCAL_DIRS[app]
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,6 +17,7 @@ def spark():
     session = build_session(
         "churnmart-tests", master="local[4]", shuffle_partitions=4,
         **{"spark.ui.enabled": "false", "spark.driver.memory": "4g",
+           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="churnmart-tables-"),
            "spark.sql.maxMetadataStringLength": "10000", "spark.sql.debug.maxToStringFields": "500"},
     )
     session.sparkContext.setLogLevel("OFF")

@@ -161,3 +161,17 @@ def test_warehouse_from_feeds(spark, bank, folder):
     # The same feed twice: only the customers left out at first are added.
     assert built.dim_customer.count() == bank.raw.count()
     assert facts.churn_metric(built.dim_customer).first().churned == bank.raw.where("Exited = 1").count()
+
+
+def test_products_of_one_name_are_one_row_with_distinct_customers(spark):
+    fact = spark.createDataFrame(
+        [(1, 1, 7, 1), (2, 2, 7, 0), (3, 2, 8, 0), (4, None, 9, 0), (5, 1, None, 1)],
+        "transaction_sk BIGINT, product_sk BIGINT, customer_sk BIGINT, churn_flag INT",
+    ).withColumn("amount", F.lit("2.50").cast("decimal(15,2)"))
+    product = spark.createDataFrame(
+        [(1, "a", "x", 1), (2, "a", "x", 1)],
+        "product_sk BIGINT, product_name STRING, product_category STRING, interest_rate_pct INT")
+    row, = marts.product_analysis(fact, product).collect()
+    assert (row.customer_count, row.transaction_count, row.total_revenue) == (2, 4, 10.0)
+    assert (row.churned_transactions, row.product_churn_rate_pct) == (2, 50.0)
+    assert row.avg_transaction_value == 2.5

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from churnmart import schemas
 from churnmart.operators import dimensions
-from churnmart.session import materialize, new_path
+from churnmart.session import materialize, new_path, shared_dir
 from churnmart.sources import readers, writers
 
 
@@ -111,3 +111,31 @@ def test_materialize_keeps_columns_rows_and_emptiness(spark):
     back = materialize(df, "t", ["p"])
     assert back.columns == ["p", "id"] and back.exceptAll(df).count() == 0 and back.count() == 10
     assert materialize(df.where("id < 0"), "t", ["p"]).count() == 0
+
+
+def test_append_table_adds_to_a_catalog_table(spark):
+    writers.append_table(spark.range(3), "append_test")
+    writers.append_table(spark.range(3), "append_test")
+    assert spark.table("append_test").count() == 6
+
+
+class _Session:
+    """Only what shared_dir asks a session for."""
+
+    def __init__(self, master, configured=None):
+        self.configured = configured
+        self.conf = self
+        self.sparkContext = self
+        self.master, self.applicationId = master, f"app-{master}"
+
+    def get(self, key, default):
+        assert key == "spark.checkpoint.dir"
+        return self.configured or default
+
+
+def test_shared_folder_comes_from_the_session():
+    assert shared_dir(_Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Session("yarn"))
+    local = _Session("local[2]")
+    assert shared_dir(local) == shared_dir(local)
