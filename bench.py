@@ -1,7 +1,7 @@
 """Headline timings. Prints one JSON line.
 
 Environment: BENCH_SF_DIR (folder of given tables), BENCH_CPUS, BENCH_REPEAT (best of n).
-Feeds and the warehouse are built once, timed as ``build_*``; the report queries then read
+Feeds and the warehouse are built first, timed as ``build_*``; the report queries then read
 the stored tables, as they do after a nightly load. Pipeline queries (staging, merge,
 fact) are timed as whole jobs including what they write in between.
 """
@@ -13,7 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from churnmart.plans.catalog import bank, queries
+from churnmart.plans.catalog import Bank, bank, queries
 from churnmart.session import build_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -47,11 +47,17 @@ def main():
     spark.sparkContext.setLogLevel("OFF")
     spark.range(1000).selectExpr("sum(id)").collect()
 
-    b = bank(spark, SF_DIR)
+    tables = ("raw", "dirty", "dirty_cleansed", "staged", "dimension", "incoming", "merged",
+              "products", "transactions", "survey", "dim_customer", "dim_product", "dim_date",
+              "dim_churn_reason", "fact")
     seconds = {}
-    for table in ("raw", "dirty", "staged", "dimension", "incoming", "merged", "transactions",
-                  "dim_customer", "dim_product", "dim_date", "dim_churn_reason", "fact"):
-        seconds[f"build_{table}"] = timed(lambda: getattr(b, table))
+    # Every repetition builds everything anew; the last set of tables serves the reports.
+    for n in range(REPEAT):
+        b = bank(spark, SF_DIR) if n == REPEAT - 1 else Bank(spark, SF_DIR)
+        for table in tables:
+            took = timed(lambda: getattr(b, table))
+            name = f"build_{table}"
+            seconds[name] = min(took, seconds.get(name, took))
     run = queries()
     for name in PIPELINE + REPORTS + PROFILES:
         seconds[name] = min(timed(lambda: consume(run[name](spark, SF_DIR))) for _ in range(REPEAT))

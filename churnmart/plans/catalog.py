@@ -32,7 +32,7 @@ class Bank:
 
     @cached_property
     def dirty(self) -> DataFrame:
-        return materialize(bankview.dirty_customers(self.spark, self.folder), "dirty")
+        return materialize(bankview.dirty_customers(self.raw), "dirty")
 
     @cached_property
     def dirty_cleansed(self) -> DataFrame:
@@ -44,7 +44,8 @@ class Bank:
 
     @cached_property
     def staged(self) -> DataFrame:
-        return materialize(staging.stage_customers(self.dirty, bankview.FEED_LOAD), "staged")
+        staged = staging.stage_cleansed(self.dirty_cleansed, bankview.FEED_LOAD)
+        return materialize(staged, "staged")
 
     @cached_property
     def dimension(self) -> DataFrame:
@@ -55,7 +56,7 @@ class Bank:
     @cached_property
     def incoming(self) -> DataFrame:
         """The later feed, enriched, one row per customer."""
-        feed = materialize(bankview.incoming_customers(self.spark, self.folder), "incoming-raw")
+        feed = materialize(bankview.incoming_customers(self.raw), "incoming-raw")
         rows = staging.feed_rows(feed)
         return materialize(scd2.latest_per_key(rows, C.RAW_ORDER), "incoming")
 
@@ -74,7 +75,7 @@ class Bank:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        feed = bankview.transactions(self.spark, self.folder, self.products)
+        feed = bankview.transactions(self.spark, self.folder, self.raw, self.products)
         return materialize(feed, "transactions")
 
     @cached_property
@@ -85,7 +86,7 @@ class Bank:
 
     @cached_property
     def survey(self) -> DataFrame:
-        return materialize(bankview.exit_survey(self.spark, self.folder), "survey")
+        return materialize(bankview.exit_survey(self.spark, self.folder, self.raw), "survey")
 
     @cached_property
     def dim_customer(self) -> DataFrame:

@@ -50,8 +50,13 @@ def feed_rows(raw: DataFrame) -> DataFrame:
     return to_warehouse_names(enrich(cleansed(raw)))
 
 
-def stage_customers(raw: DataFrame, load_date: date) -> DataFrame:
-    """Staged customer dimension of an initial load; keys follow the order of the feed."""
-    versions = initial_versions(feed_rows(raw), load_date)
+def stage_cleansed(standardized: DataFrame, load_date: date) -> DataFrame:
+    """T5-T8 on a cleansed feed; keys follow the order of the feed."""
+    versions = initial_versions(to_warehouse_names(enrich(standardized)), load_date)
     keyed = surrogate_key(versions, "customer_sk", [C.RAW_ORDER, "customer_id"])
     return keyed.drop(C.RAW_ORDER)
+
+
+def stage_customers(raw: DataFrame, load_date: date) -> DataFrame:
+    """Staged customer dimension of an initial load, T2-T8."""
+    return stage_cleansed(cleansed(raw), load_date)

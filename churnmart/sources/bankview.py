@@ -12,7 +12,6 @@ from churnmart.constants import CHURN_REASONS
 from churnmart.functions.exprs import col
 from churnmart.operators.joins import salted_join
 from churnmart.operators.ordering import surrogate_key
-from churnmart.session import materialize
 
 # Identity of a transaction, and the order of the feed.
 LINE_KEY = (
@@ -87,7 +86,7 @@ def raw_customers(spark: SparkSession, sf_dir: str, as_of: date | None = None) -
     )
 
 
-def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty_customers(raw: DataFrame) -> DataFrame:
     """The raw feed with gaps, padded and mixed-case text, exact and re-keyed copies."""
     key = F.col("CustomerId")
     gaps = {
@@ -97,7 +96,7 @@ def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     surname = F.concat(
         F.lit("\to'brien smith-jones "), (key % 7).cast("string"), F.lit("x ")
     )
-    noisy = raw_customers(spark, sf_dir).withColumns({
+    noisy = raw.withColumns({
         "Surname": F.when(key % 5 == 0, surname).otherwise(F.col("Surname")),
         "Geography": F.when(key % 3 == 0, F.concat(F.lit("  "), F.lower("Geography"), F.lit("\t")))
         .otherwise(F.col("Geography")),
@@ -119,14 +118,14 @@ def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     }).drop("kind")
 
 
-def incoming_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def incoming_customers(raw: DataFrame) -> DataFrame:
     """The later feed: all orders, and every 50th customer moved to the next region."""
     moved = F.col("Geography")
     chain = None
     for here, there in NEXT_REGION.items():
         at_home = (F.upper(moved) == here.upper(), F.lit(there))
         chain = F.when(*at_home) if chain is None else chain.when(*at_home)
-    return raw_customers(spark, sf_dir).withColumn(
+    return raw.withColumn(
         "Geography", F.when(F.col("CustomerId") % MOVED_EVERY == 0, chain).otherwise(moved)
     )
 
@@ -154,12 +153,13 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, sf_dir: str, product_feed: DataFrame) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str, raw: DataFrame,
+                 product_feed: DataFrame) -> DataFrame:
     """Transaction feed: one row per order line, numbered in LINE_KEY order."""
     lines = _table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_discount", "l_returnflag")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     parts = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
-    flags = raw_customers(spark, sf_dir).select(
+    flags = raw.select(
         F.col("CustomerId").alias("o_custkey"), F.col("Exited").alias("churn_flag")
     )
     price = F.col("l_extendedprice").cast("decimal(15,2)")
@@ -193,14 +193,14 @@ def transactions(spark: SparkSession, sf_dir: str, product_feed: DataFrame) -> D
     })
 
 
-def exit_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+def exit_survey(spark: SparkSession, sf_dir: str, raw: DataFrame) -> DataFrame:
     """Survey answers of churned customers: reason, and the month of their last order."""
     last = (
         _table(spark, sf_dir, "orders")
         .groupBy(F.col("o_custkey").alias("customer_id"))
         .agg(F.max(F.col("o_orderdate").cast("date")).alias("last_day"))
     )
-    churned = raw_customers(spark, sf_dir).where("Exited = 1").select(
+    churned = raw.where("Exited = 1").select(
         F.col("CustomerId").alias("customer_id")
     )
     labels = F.array(*[F.lit(r) for r in CHURN_REASONS])
@@ -211,7 +211,3 @@ def exit_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("last_day", "yyyy-MM").alias("exit_month"),
     )
 
-
-def save_feed(df: DataFrame, label: str) -> DataFrame:
-    """A feed as a written table, the way a source system delivers it."""
-    return materialize(df, label)
