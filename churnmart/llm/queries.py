@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from churnmart.llm import packing
+from churnmart.llm import packing, simhash
 from churnmart.llm.common import read_table
 
 
@@ -13,5 +13,9 @@ def op1_packing(spark, sf_dir):
     )
 
 
+def op9_simhash(spark, sf_dir):
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
