@@ -1 +1,8 @@
 """Operators of a training-data pipeline: packing, filters, scans and near-duplicate search."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

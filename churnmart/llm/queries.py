@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from churnmart.llm import packing, simhash
+from churnmart.llm import packing, quality, simhash, toxicity
 from churnmart.llm.common import read_table
 
 
@@ -17,5 +17,13 @@ def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark, sf_dir):
+    return quality.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op10_toxicity(spark, sf_dir):
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
