@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from churnmart.llm import packing, quality, simhash, toxicity
+from churnmart.llm import decontaminate, packing, quality, simhash, toxicity
 from churnmart.llm.common import read_table
 
 
@@ -25,5 +25,9 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_decontamination(spark, sf_dir):
+    return decontaminate.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
