@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from churnmart.llm import decontaminate, packing, quality, simhash, toxicity
+from churnmart.llm import decontaminate, licenses, packing, quality, secrets, simhash, toxicity
 from churnmart.llm.common import read_table
 
 
@@ -29,5 +29,13 @@ def op8_decontamination(spark, sf_dir):
     return decontaminate.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op2_licenses(spark, sf_dir):
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op4_secrets(spark, sf_dir):
+    return secrets.scan(read_table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
