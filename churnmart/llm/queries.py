@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from churnmart.llm import decontaminate, licenses, packing, quality, secrets, simhash, topk, toxicity
+from churnmart.llm import decontaminate, licenses, packing, pages, quality, secrets, simhash, topk, toxicity
 from churnmart.llm.common import read_table
 
 
@@ -41,5 +41,9 @@ def op3_topk(spark, sf_dir):
     return topk.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op6_pages(spark, sf_dir):
+    return pages.extract(read_table(spark, sf_dir, "pages"))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
