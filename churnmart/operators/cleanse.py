@@ -6,7 +6,7 @@ row-wise steps fuse into one projection without joins or subqueries.
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from churnmart import constants as C
 from churnmart.functions.exprs import clip, col, round_even, strip_ws, title_case
@@ -35,8 +35,7 @@ def fit_fill_values(df: DataFrame) -> FillValues:
     """Medians and modes over all rows, duplicates included (imputation precedes dedup)."""
     values = {"Balance": 0.0}
     medians = exact_quantiles(
-        unpivot_numeric(df, MEDIAN_FILLED), "value", [0.5], ["column"],
-        rows=df.count() * len(MEDIAN_FILLED),
+        unpivot_numeric(df, MEDIAN_FILLED), "value", [0.5], ["column"]
     )
     for row in medians.collect():
         values[row["column"]] = int(row.q0) if row["column"] in WHOLE_MEDIAN_FILLED else row.q0
@@ -62,14 +61,19 @@ def deduplicate(df: DataFrame, key=C.RAW_KEY, order=C.RAW_ORDER) -> DataFrame:
     """T3: one row per key, the one that comes last. The order column is kept: it still
     numbers the surrogate keys and is dropped after that.
 
-    Exact copies agree on key and order, so keeping the largest (order, row) per key
-    covers them as well: one shuffle, and copies collapse on the map side first.
+    Exact copies agree on key and order, so keeping the last row per key covers them as
+    well. Each task keeps one row per key before the shuffle (a limit inside the window).
     """
+    return last_per_key(df, key, order)
+
+
+def last_per_key(df: DataFrame, key: str, order: str | None) -> DataFrame:
+    """One row per ``key``: the last by ``order``, then the largest in the other columns."""
     rest = [c for c in df.columns if c not in (key, order)]
-    last = F.max(F.struct(col(order), *[col(c) for c in rest])).alias("last")
-    kept = df.groupBy(col(key)).agg(last)
-    by_name = {key: col(key), **{c: F.col("last")[c] for c in [order, *rest]}}
-    return kept.select(*[by_name[c].alias(c) for c in df.columns])
+    last = Window.partitionBy(col(key)).orderBy(*[
+        col(c).desc() for c in ([order] if order else []) + rest])
+    numbered = df.withColumn("__n", F.row_number().over(last))
+    return numbered.where("__n = 1").drop("__n")
 
 
 def standardize(df: DataFrame) -> DataFrame:
@@ -83,8 +87,7 @@ def standardize(df: DataFrame) -> DataFrame:
 def fit_caps(df: DataFrame) -> Caps:
     """1st and 99th percentile of each capped column, exact."""
     found = exact_quantiles(
-        unpivot_numeric(df, C.CAPPED_COLUMNS), "value", C.CAP_PROBABILITIES, ["column"],
-        rows=df.count() * len(C.CAPPED_COLUMNS),
+        unpivot_numeric(df, C.CAPPED_COLUMNS), "value", C.CAP_PROBABILITIES, ["column"]
     )
     return Caps({row["column"]: (row.q0, row.q1) for row in found.collect()})
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from churnmart.functions.exprs import col, rate_pct
-from churnmart.operators.joins import salted_join
+from churnmart.operators.joins import hot_keys, salted_join
 from churnmart.operators.ordering import surrogate_key
 from churnmart.schemas import FACT_TRANSACTIONS, enforce_schema
 
@@ -27,13 +27,14 @@ def build_fact(transactions: DataFrame, dim_customer: DataFrame,
         "transaction_id", "customer_id", "transaction_date", "transaction_year",
         "transaction_month", "transaction_type", "channel", "product_id", "amount", "churn_flag",
     )
+    hot_customers, hot_products = hot_keys(transactions, "customer_id", "product_id")
     keyed = salted_join(
         feed, customer_lookup(dim_customer), "customer_id", F.xxhash64("transaction_id"),
-        count_on=transactions,
+        hot=hot_customers,
     )
     products = dim_product.select("product_id", "product_sk")
     resolved = salted_join(
-        keyed, products, "product_id", F.xxhash64("transaction_id"), count_on=transactions
+        keyed, products, "product_id", F.xxhash64("transaction_id"), hot=hot_products
     ).withColumn("date_sk", F.date_format("transaction_date", "yyyyMMdd").cast("int"))
     return enforce_schema(
         surrogate_key(resolved, "transaction_sk", ["transaction_id"]), FACT_TRANSACTIONS
@@ -91,7 +92,8 @@ def as_of_versions(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     )
     rows = fact.select("transaction_id", "customer_id", "transaction_date", "amount")
     joined = salted_join(
-        rows, versions, "customer_id", F.xxhash64("transaction_id"), "left", valid, count_on=fact
+        rows, versions, "customer_id", F.xxhash64("transaction_id"), "left", valid,
+        hot=hot_keys(fact, "customer_id")[0],
     )
     return joined.drop("effective_start_date", "effective_end_date")
 

@@ -1,36 +1,49 @@
 """Joins and expansions that hold up when one key owns a large part of the rows."""
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from churnmart.functions.exprs import col, quoted
 
-# A key with more than 1/HOT_FRACTION of all rows is hot; fewer than HOT_FRACTION exist.
-HOT_FRACTION = 1000
-SALTS = 256
 _CHUNK = 100_000
+# Items a frequency sketch keeps per partition of the shuffle, and the most Spark allows.
+_TRACKED, _MOST_TRACKED, _MOST_HOT = 16, 1_000_000, 10_000
+
 
+def hot_keys(df: DataFrame, *keys: str) -> list[dict]:
+    """For each key column: its hot values (NULL among them) and the tasks each deserves.
 
-def hot_keys(df: DataFrame, key: str, rows: int) -> list:
-    """Keys (NULL among them) with more than 1/1000 of ``rows``: at most 999, by counting."""
-    counted = df.groupBy(col(key).alias("k")).count()
-    hot = counted.where(F.col("count") > F.lit(max(1, rows // HOT_FRACTION)))
-    return [row.k for row in hot.select("k").collect()]
+    A value is hot if it has more rows than a shuffle partition gets on average, so there
+    are fewer hot values than partitions. One pass over all rows fills a mergeable sketch
+    per column; nothing is shuffled but the sketches.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tracked = min(_MOST_TRACKED, max(1024, _TRACKED * parts))
+    found = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.expr(f"approx_top_k(`{k}`, {min(parts, _MOST_HOT)}, {tracked})").alias(f"k{i}")
+          for i, k in enumerate(keys)],
+    ).first()
+    share = max(1.0, found.n / parts)
+    return [
+        {item["item"]: math.ceil(item["count"] / share)
+         for item in found[f"k{i}"] if item["count"] > share}
+        for i in range(len(keys))
+    ]
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: str, salt_by: Column, how="left",
-                condition=None, salts=SALTS, min_rows=1_000_000,
-                count_on: DataFrame | None = None) -> DataFrame:
+                condition=None, hot: dict | None = None) -> DataFrame:
     """Equi-join on ``on`` (plus an optional extra ``condition``) that splits hot left keys.
 
-    Rows of a hot key are spread over ``salts`` by ``salt_by``, a hash that differs
-    between the rows of the key; only the right rows of those keys are repeated, once
-    per salt. Other keys keep salt 0. No side is broadcast by hint: Catalyst and AQE
-    choose from real sizes. Below ``min_rows`` no key can overload a task.
-    Keys are counted on ``count_on`` (default ``left``): pass a table, not a long plan.
+    Rows of a hot key are spread over as many salts as it deserves tasks by ``salt_by``, a
+    hash that differs between the rows of the key; only the right rows of those keys are
+    repeated, once per salt. Other keys keep salt 0. No side is broadcast by hint: Catalyst
+    and AQE choose from real sizes. ``hot`` is what ``hot_keys`` found for the key, on a
+    table rather than a long plan where possible; by default ``left`` is looked at.
     """
-    counted = left if count_on is None else count_on
-    rows = counted.count()
-    hot = hot_keys(counted, on, rows) if rows >= min_rows else []
+    hot = hot_keys(left, on)[0] if hot is None else hot
     r_key, r_salt = f"__r_{on}", "__r_salt"
     renamed = right.withColumnRenamed(on, r_key)
     if not hot:
@@ -38,17 +51,18 @@ def salted_join(left: DataFrame, right: DataFrame, on: str, salt_by: Column, how
         left_side, right_side = left, renamed
     else:
         # NULL keys find no partner, but an outer join must still carry their rows.
-        is_hot = col(on).isNull() if None in hot else F.lit(False)
-        hot = [k for k in hot if k is not None]
-        is_hot = is_hot | col(on).isin(hot) if hot else is_hot
-        left_side = left.withColumn(
-            "__salt", F.when(is_hot, F.pmod(salt_by, F.lit(salts)).cast("int")).otherwise(0)
-        )
-        repeated = F.col(f"`{r_key}`").isin(hot) if hot else F.lit(False)
-        every = F.sequence(F.lit(0), F.lit(salts - 1))
+        salts = F.lit(1)
+        if None in hot:
+            salts = F.when(col(on).isNull(), hot[None]).otherwise(salts)
+        named = {k: n for k, n in hot.items() if k is not None}
+        right_salts = F.lit(1)
+        if named:
+            table = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
+            salts = F.coalesce(F.try_element_at(table, col(on)), salts)
+            right_salts = F.coalesce(F.try_element_at(table, F.col(f"`{r_key}`")), right_salts)
+        left_side = left.withColumn("__salt", F.pmod(salt_by, salts).cast("int"))
         right_side = renamed.withColumn(
-            r_salt,
-            F.explode(F.when(repeated, every).otherwise(F.array(F.lit(0)))),
+            r_salt, F.explode(F.sequence(F.lit(0), right_salts - 1))
         )
         match = (col(on) == F.col(f"`{r_key}`")) & (F.col("__salt") == F.col(r_salt))
     if condition is not None:
@@ -56,11 +70,6 @@ def salted_join(left: DataFrame, right: DataFrame, on: str, salt_by: Column, how
     return left_side.join(right_side, match, how).drop("__salt", r_salt, r_key)
 
 
-def broadcast_if_small(df: DataFrame, max_rows=10_000) -> DataFrame:
-    """A broadcast hint only for a side that was counted and is small."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Each row ``times`` times over; large counts are spread over tasks in chunks."""
     chunks = F.sequence(F.lit(0), F.floor((col(times) - 1) / F.lit(_CHUNK)))

@@ -15,8 +15,8 @@ from churnmart.session import materialize
 _POS, _PART, _IDX, _SEQ = "__pos", "__part", "__idx", "__seq"
 # Layout of monotonically_increasing_id (partition above, row below).
 _ROW_BITS = 33
-# Up to this many values one task orders them faster than a range shuffle would.
-SMALL_ROWS = 1_000_000
+# Cells a range of values is cut into per round, and the rows of a range that is sorted.
+_CELLS, _SORTED = 1024, 100_000
 
 
 def _direction(key):
@@ -93,78 +93,98 @@ def surrogate_key(df: DataFrame, name: str, order, start=0) -> DataFrame:
     return keyed.select(name, *quoted(df.columns))
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities, keys=(),
-                    small_rows=SMALL_ROWS, rows: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probabilities, keys=()) -> DataFrame:
     """Exact linear-interpolated quantiles ``q0, q1, ...`` of ``value`` per key, and ``n``.
 
-    Built-in ``percentile`` keeps every distinct value of a group in one buffer. This
-    counts distinct values in parallel (copies collapse before the shuffle), places them
-    in global order, finds the blocks that hold the wanted positions from the block
-    sizes alone, and orders only those blocks. NULL values are left out. Tables counted
-    to hold at most ``small_rows`` rows skip the placement: one window per key is enough.
-    ``rows`` is an upper bound for the row count where the caller knows one.
+    Built-in ``percentile`` keeps every distinct value of a group in one buffer. This cuts
+    the range that holds a wanted position into cells, counts the cells in parallel, and
+    goes on with the cell of the position until few rows are left in it; only those are
+    sorted. Rows are counted, never moved. NULL values are left out.
     """
     keys = list(keys)
     by_key = quoted(keys)
-    counted = (
-        df.where(col(value).isNotNull())
-        .groupBy(*by_key, col(value).cast("double").alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__n"))
+    values = df.where(col(value).isNotNull()).select(*by_key, col(value).cast("double").alias("__v"))
+    each = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("__i"), F.lit(float(p)).alias("__p"))
+        for i, p in enumerate(probabilities)
+    ])).alias("__e")
+    at = F.col("__p") * (F.col("__total") - 1).cast("double")
+    whole = values.groupBy(*by_key).agg(
+        F.count(F.lit(1)).alias("__total"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
+    ).where("__total > 0")
+    ranges = whole.select("*", each).select(*by_key, "__total", "__lo", "__hi", "__e.*").select(
+        "*", F.floor(at).alias("__first"), F.ceil(at).alias("__last"),
+        F.lit(0).cast("long").alias("__before"), F.col("__total").alias("__rows"),
+    )
+    ranges = materialize(ranges, "ranges")
+    left = None
+    while True:
+        ranges = materialize(_narrowed(values, ranges, keys), "ranges")
+        widest = ranges.where("__lo < __hi").agg(F.max("__rows")).first()[0] or 0
+        # Values that arithmetic cannot tell apart end the search as well.
+        if widest <= _SORTED or widest == left:
+            break
+        left = widest
+    inside = _in_range(values, ranges, keys)
+    target = [*by_key, "__i", "__p", "__total", "__first", "__last", "__before"]
+    counted = inside.groupBy(*target, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    upto = F.col("__before") + F.sum("__n").over(
+        Window.partitionBy(*by_key, "__i").orderBy("__v"))
+    placed = counted.withColumn("__upto", upto)
+
+    def value_at(position):
+        covers = (F.col(position) < F.col("__upto")) & (F.col(position) >= F.col("__upto") - F.col("__n"))
+        return F.max(F.when(covers, F.col("__v")))
+
+    picked = placed.groupBy(*by_key, "__i", "__p", "__total", "__first").agg(
+        value_at("__first").alias("__low"), value_at("__last").alias("__high")
+    )
+    low, high, weight = F.col("__low"), F.col("__high"), at - F.col("__first")
+    # Interpolate from the nearer end, so that an exact hit stays exact.
+    from_low = low + (high - low) * weight
+    from_high = high - (high - low) * (F.lit(1.0) - weight)
+    found = F.when(weight >= 0.5, from_high).otherwise(from_low)
+    return picked.groupBy(*by_key).agg(
+        F.max("__total").alias("n"),
+        *[F.max(F.when(F.col("__i") == i, found)).alias(f"q{i}") for i in range(len(probabilities))],
+    )
+
+
+def _in_range(values: DataFrame, ranges: DataFrame, keys) -> DataFrame:
+    """The values of each range; ``ranges`` is a written table of a few rows per key."""
+    renamed = ranges.select(*[col(k).alias(f"__r_{k}") for k in keys],
+                            *[c for c in ranges.columns if c not in keys])
+    match = (F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi"))
+    if not keys:
+        # One row per probability.
+        rows = [F.struct(*[F.lit(r[c]).alias(c) for c in ranges.columns]) for r in ranges.collect()]
+        literals = F.array(*rows) if rows else F.array(F.struct(*[
+            F.lit(None).cast(ranges.schema[c].dataType).alias(c) for c in ranges.columns]))
+        return values.select("*", F.inline(literals)).where(match)
+    for k in keys:
+        match = match & col(k).eqNullSafe(F.col(f"`__r_{k}`"))
+    return values.join(renamed, match).drop(*[f"__r_{k}" for k in keys])
+
+
+def _narrowed(values: DataFrame, ranges: DataFrame, keys) -> DataFrame:
+    """Each range cut down to the cells that hold its wanted positions."""
+    lo, hi, v = F.col("__lo"), F.col("__hi"), F.col("__v")
+    # Halves, so that no difference of two doubles overflows.
+    share = F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2)
+    cell = F.coalesce(F.least(F.floor(F.nanvl(share, F.lit(0.0)) * _CELLS), F.lit(_CELLS - 1)), F.lit(0))
+    target = [*quoted(keys), "__i", "__p", "__total", "__first", "__last", "__before"]
+    cells = _in_range(values, ranges, keys).groupBy(*target, cell.alias("__cell")).agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
+    )
+    # At most _CELLS rows per range.
+    upto = F.sum("__n").over(Window.partitionBy(*quoted(keys), "__i").orderBy("__cell"))
+    placed = cells.withColumn("__upto", F.col("__before") + upto).withColumn(
+        "__from", F.col("__upto") - F.col("__n"))
+    wanted = (F.col("__first") < F.col("__upto")) & (F.col("__last") >= F.col("__from"))
+    return placed.where(wanted).groupBy(*target[:-1]).agg(
+        F.min("__from").alias("__before"), F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"),
+        F.sum("__n").alias("__rows"),
     )
-    def bounds(p):
-        at = F.lit(float(p)) * (F.col("__total") - 1).cast("double")
-        return at, F.floor(at), F.ceil(at)
-
-    def covers(low, size, target):
-        return (target >= low) & (target < low + size)
-
-    if (df.count() if rows is None else rows) <= small_rows:
-        whole = Window.partitionBy(*by_key)
-        held = counted.withColumns({
-            "__low": F.sum("__n").over(whole.orderBy("__v")) - F.col("__n"),
-            "__total": F.sum("__n").over(whole),
-        })
-    else:
-        placed = _place(counted, [*keys, "__v"], "quantile")
-        blocks = placed.groupBy(_PART, *by_key).agg(F.sum("__n").alias("__size"))
-        ordered = Window.partitionBy(*by_key).orderBy(_PART)
-        earlier = F.sum("__size").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-        blocks = blocks.select(
-            F.col(_PART).alias("__b_part"),
-            *[col(k).alias(f"__b_{k}") for k in keys],
-            "__size",
-            F.coalesce(earlier, F.lit(0)).alias("__before"),
-            F.sum("__size").over(Window.partitionBy(*by_key)).alias("__total"),
-        )
-        wanted = F.lit(False)
-        for p in probabilities:
-            for target in bounds(p)[1:]:
-                wanted = wanted | covers(F.col("__before"), F.col("__size"), target)
-        match = F.col(_PART) == F.col("__b_part")
-        for k in keys:
-            match = match & col(k).eqNullSafe(F.col(f"`__b_{k}`"))
-        running = Window.partitionBy(_PART, *by_key).orderBy("__v")
-        # At most two blocks per quantile and key; the join is planned from their true size.
-        wanted_blocks = materialize(blocks.where(wanted), "blocks")
-        held = placed.join(wanted_blocks, match).withColumn(
-            "__low", F.col("__before") + F.sum("__n").over(running) - F.col("__n")
-        )
-    picks = []
-    for i, p in enumerate(probabilities):
-        _, lower, upper = bounds(p)
-        here = F.col("__low"), F.col("__n")
-        picks.append(F.max(F.when(covers(*here, lower), F.col("__v"))).alias(f"__lo{i}"))
-        picks.append(F.max(F.when(covers(*here, upper), F.col("__v"))).alias(f"__hi{i}"))
-    picked = held.groupBy(*by_key).agg(F.max("__total").alias("__total"), *picks)
-    out = []
-    for i, p in enumerate(probabilities):
-        at, lower, _ = bounds(p)
-        low, high, weight = F.col(f"__lo{i}"), F.col(f"__hi{i}"), at - lower
-        # Interpolate from the nearer end, so that an exact hit stays exact.
-        from_low = low + (high - low) * weight
-        from_high = high - (high - low) * (F.lit(1.0) - weight)
-        out.append(F.when(weight >= 0.5, from_high).otherwise(from_low).alias(f"q{i}"))
-    return picked.select(*by_key, F.col("__total").alias("n"), *out)
 
 
 def unpivot_numeric(df: DataFrame, columns, keep=()) -> DataFrame:
@@ -197,6 +217,9 @@ def modes(df: DataFrame, columns) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed=42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows without replacement, the same for any partitioning."""
-    ticket = F.xxhash64(col(key), F.lit(seed))
+    """Exactly ``min(n, rows)`` rows without replacement, the same for any partitioning.
+
+    The order is that of an MD5 over seed and key, which every SQL engine can repeat.
+    """
+    ticket = F.md5(F.concat_ws(":", F.lit(str(seed)), col(key).cast("string")).cast("binary"))
     return df.orderBy(ticket, col(key)).limit(n)

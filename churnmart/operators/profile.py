@@ -15,28 +15,35 @@ from churnmart.functions.exprs import (
     safe_corr,
     share_pct,
 )
-from churnmart.operators.joins import broadcast_if_small
 from churnmart.operators.ordering import exact_quantiles, unpivot_numeric
+from churnmart.session import materialize
 
 
 def numeric_columns(df: DataFrame) -> list:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
+def _wide(df: DataFrame, columns, statistics) -> DataFrame:
+    """One row per column from one aggregate over all columns, without repeating rows."""
+    named = {c: statistics(col(c).cast("double")) for c in columns}
+    flat = df.agg(*[
+        e.alias(f"{i}_{name}") for i, stats in enumerate(named.values()) for name, e in stats.items()
+    ])
+    return flat.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), *[F.col(f"{i}_{name}").alias(name) for name in stats])
+        for i, (c, stats) in enumerate(named.items())
+    ])))
+
+
 def describe_numeric(df: DataFrame, columns=None, digits=2) -> DataFrame:
     """count, mean, std, min, quartiles and max per numeric column."""
     columns = columns or numeric_columns(df)
-    long = unpivot_numeric(df, columns).where("value is not null")
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(
-        long, "value", [0.25, 0.5, 0.75], ["column"], rows=df.count() * len(columns)
-    ).drop("n")
+    moments = _wide(df, columns, lambda v: {
+        "count": F.count(v), "mean": F.avg(v), "std": F.stddev_samp(v),
+        "min": F.min(v), "max": F.max(v),
+    }).where("count > 0")
+    long = unpivot_numeric(df, columns)
+    quartiles = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["column"]).drop("n")
     joined = moments.join(quartiles, "column")
     return joined.select(
         "column",
@@ -51,17 +58,12 @@ def describe_numeric(df: DataFrame, columns=None, digits=2) -> DataFrame:
 
 def univariate_stats(df: DataFrame, columns) -> DataFrame:
     """min, max, mean, median, std and bias-corrected skew per column."""
-    long = unpivot_numeric(df, columns).where("value is not null")
-    v = F.col("value")
-    moments = long.groupBy("column").agg(
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-        round_even(F.avg(v), 1).alias("mean"),
-        round_even(F.stddev_samp(v), 1).alias("std"),
-        round_even(adjusted_skew(v), 3).alias("skew"),
-    )
+    moments = _wide(df, columns, lambda v: {
+        "n": F.count(v), "min": F.min(v), "max": F.max(v), "mean": round_even(F.avg(v), 1),
+        "std": round_even(F.stddev_samp(v), 1), "skew": round_even(adjusted_skew(v), 3),
+    }).where("n > 0")
     medians = exact_quantiles(
-        long, "value", [0.5], ["column"], rows=df.count() * len(columns)
+        unpivot_numeric(df, columns), "value", [0.5], ["column"]
     ).select("column", round_even(F.col("q0"), 1).alias("median"))
     return moments.join(medians, "column").select(
         "column", "min", "max", "mean", "median", "std", "skew"
@@ -163,31 +165,27 @@ def balance_segments(df: DataFrame) -> DataFrame:
         .alias("high_value_churn_rate_pct"),
     )
     positive_rows = df.where(positive).select(balance.alias("value"))
-    found = exact_quantiles(positive_rows, "value", [0.5], rows=df.count())
+    found = exact_quantiles(positive_rows, "value", [0.5])
     median = found.select(round_even(F.col("q0"), 0))
     return stats.withColumn("nonzero_median", median.scalar())
 
 
-def _pairs(df: DataFrame, pairs) -> DataFrame:
-    """Complete (x, y) observations per column pair, long form."""
-    items = [
-        F.struct(
-            F.lit(a).alias("x"), F.lit(b).alias("y"),
-            col(a).cast("double").alias("vx"), col(b).cast("double").alias("vy"),
-        )
-        for a, b in pairs
-    ]
-    return df.select(F.inline(F.array(*items))).where("vx is not null and vy is not null")
-
-
 def correlations(df: DataFrame, pairs, digits: int) -> DataFrame:
     """Pearson correlation per pair, incomplete observations left out pair by pair.
 
-    All pairs in one pass: a wide aggregate of this many moments leaves generated code.
+    All pairs are columns of one aggregate; no row is repeated.
     """
-    return _pairs(df, pairs).groupBy("x", "y").agg(
-        round_even(safe_corr(F.col("vx"), F.col("vy")), digits).alias("corr")
-    )
+    pairs = list(pairs)
+    both = [(col(a).cast("double"), col(b).cast("double")) for a, b in pairs]
+    flat = df.agg(*[
+        round_even(safe_corr(F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)), digits)
+        .alias(f"c{i}")
+        for i, (x, y) in enumerate(both)
+    ])
+    return flat.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"c{i}").alias("corr"))
+        for i, (a, b) in enumerate(pairs)
+    ])))
 
 
 def correlation_matrix(df: DataFrame, columns=C.CORRELATION_COLUMNS, digits=2) -> DataFrame:
@@ -213,44 +211,38 @@ def correlation_with_target(df: DataFrame, columns=C.CORRELATION_COLUMNS, target
     ).orderBy(F.abs("corr").desc(), "column")
 
 
-def _cents(value: Column, scale: int) -> Column:
-    return F.rint(value.cast("double") * scale).cast("long")
-
-
-def histogram(df: DataFrame, column: str, bins: int, by: str | None = None,
-              scale=1) -> DataFrame:
+def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> DataFrame:
     """Equal-width histogram over the column's range, empty bins included.
 
-    Bins are right-open, the last one closed. Values are counted as integers after
-    ``scale`` (100 for money), so bin edges are exact. With ``by`` each group has its
-    own range.
+    Bins are right-open, the last one closed; values are binned as they are. With ``by``
+    each group has its own range.
     """
     keys = [by] if by else []
     values = df.where(col(column).isNotNull()).select(
-        *[col(k) for k in keys], _cents(col(column), scale).alias("v")
+        *[col(k) for k in keys], col(column).cast("double").alias("v")
     )
-    ranges = values.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    ranges = values.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo is not null")
+    # A constant column gets a range of one unit around its value.
+    flat = F.col("lo") == F.col("hi")
+    ranges = ranges.select(
+        *keys, F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+    )
+    # One row per group, written: used twice, and the join is planned from its true size.
+    ranges = materialize(ranges, "histogram-ranges")
     if keys:
-        ranges = broadcast_if_small(ranges)
         joined = values.join(ranges, keys)
     else:
-        edges = ranges.select(F.struct("lo", "hi"))
-        joined = values.withColumn("__r", edges.scalar()).select("v", "__r.*")
-    width = F.col("hi") - F.col("lo")
-    # Exact integer division; the guard only keeps a zero width from being divided by.
-    slot = F.expr(f"((v - lo) * {bins}) div greatest(hi - lo, 1L)").cast("int")
-    bin_no = F.when(width == 0, F.lit(bins // 2)).otherwise(F.least(slot, F.lit(bins - 1)))
+        edges = ranges.select(F.struct("lo", "hi")).scalar()
+        joined = values.withColumn("__r", edges).select("v", "__r.*")
+    slot = F.floor((F.col("v") - F.col("lo")) * F.lit(bins) / (F.col("hi") - F.col("lo")))
+    bin_no = F.least(slot, F.lit(bins - 1)).cast("int")
     # Counts combine before the shuffle: a few rows per bin and task.
     filled = joined.groupBy(*keys, (bin_no + 1).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     every = ranges.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
-    low, high = F.col("lo").cast("double"), F.col("hi").cast("double")
-    # A constant column gets a range of one unit around its value.
-    flat = low == high
-    low_edge = F.when(flat, low - 0.5 * scale).otherwise(low)
-    span = F.when(flat, F.lit(float(scale))).otherwise(high - low)
 
     def edge(i):
-        return round_even((low_edge + span * i / F.lit(float(bins))) / F.lit(float(scale)), 4)
+        return round_even(F.col("lo") + (F.col("hi") - F.col("lo")) * i / F.lit(float(bins)), 4)
 
     return every.join(filled, [*keys, "bin"], "left").select(
         *keys,
@@ -266,10 +258,11 @@ def box_stats(df: DataFrame, column: str, by="Exited") -> DataFrame:
     values = df.where(col(column).isNotNull() & col(by).isNotNull()).select(
         col(by), col(column).cast("double").alias("v")
     )
-    quartiles = exact_quantiles(values, "v", [0.25, 0.5, 0.75], [by], rows=df.count())
+    quartiles = exact_quantiles(values, "v", [0.25, 0.5, 0.75], [by])
     reach = (F.col("q2") - F.col("q0")) * C.IQR_FENCE
     fences = quartiles.withColumns({"lo": F.col("q0") - reach, "hi": F.col("q2") + reach})
-    fenced = values.join(broadcast_if_small(fences), by)
+    # Written: three uses, and the join is planned from its true size.
+    fenced = values.join(materialize(fences, "fences"), by)
     inside = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
     return fenced.groupBy(by).agg(
         F.max("q0").alias("q1"),

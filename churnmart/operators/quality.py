@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from churnmart import constants as C
 from churnmart.functions.exprs import add_up, col, quoted, round_even, share_pct
-from churnmart.operators.joins import repeat_rows, salted_join
+from churnmart.operators import cleanse
+from churnmart.operators.joins import hot_keys, repeat_rows, salted_join
 from churnmart.operators.ordering import exact_quantiles, unpivot_numeric
+from churnmart.session import materialize
 
 
 def _rows(stats: DataFrame, entries) -> DataFrame:
@@ -98,7 +100,8 @@ def duplicate_keys(df: DataFrame, key=C.RAW_KEY, shown=(C.RAW_ORDER, "Surname"))
     rows = df.groupBy(*quoted(wanted)).agg(F.count(F.lit(1)).alias("__n"))
     repeated = rows.groupBy(col(key)).agg(F.sum("__n").alias("__m")).where("__m > 1").select(key)
     members = salted_join(
-        rows, repeated, key, F.xxhash64(*[col(c) for c in shown]), "inner", count_on=df
+        rows, repeated, key, F.xxhash64(*[col(c) for c in shown]), "inner",
+        hot=hot_keys(df, key)[0],
     )
     return repeat_rows(members, "__n").select(*quoted(wanted)).orderBy(key, *shown)
 
@@ -120,9 +123,7 @@ def churn_distribution(df: DataFrame) -> DataFrame:
 def outliers_iqr(df: DataFrame, columns=C.OUTLIER_COLUMNS) -> DataFrame:
     """Tukey fences per column, rows outside, and the column's extremes."""
     long = unpivot_numeric(df, columns)
-    found = exact_quantiles(
-        long, "value", [0.25, 0.75], ["column"], rows=df.count() * len(columns)
-    )
+    found = exact_quantiles(long, "value", [0.25, 0.75], ["column"])
     quartiles = {r["column"]: (r.q0, r.q1) for r in found.collect()}
     fences = {
         c: (q1 - C.IQR_FENCE * (q3 - q1), q3 + C.IQR_FENCE * (q3 - q1))
@@ -152,31 +153,33 @@ def outliers_iqr(df: DataFrame, columns=C.OUTLIER_COLUMNS) -> DataFrame:
 
 
 def step_counts(df: DataFrame, key=C.RAW_KEY) -> DataFrame:
-    """Rows before and after each staging step that can remove rows.
+    """Rows before and after each staging step, counted on what the steps return.
 
-    Counted from one profile instead of an observer on the running job: a stage that is
-    run again after a lost executor would be observed twice.
+    Counts are taken from the steps themselves instead of an observer on the running job: a
+    stage that is run again after a lost executor would be observed twice.
     """
-    p = profile_duplicates(df, key)
-    total = F.col("total_rows")
-    distinct = total - F.col("duplicate_rows")
-    unique = total - F.col("duplicate_keys")
-    steps = [
-        ("Null Treatment", total, total),
-        ("Full Row Deduplication", total, distinct),
-        ("Key Deduplication", distinct, unique),
-        ("Standardization", unique, unique),
-        ("Outlier Capping", unique, unique),
-    ]
-    return _rows(p, [
+    filled = materialize(cleanse.impute(df, cleanse.fit_fill_values(df)), "step-filled")
+    standard = materialize(cleanse.standardize(cleanse.deduplicate(filled, key)), "step-standard")
+    steps = {
+        "Null Treatment": filled,
+        "Full Row Deduplication": filled.distinct(),
+        "Key Deduplication": cleanse.deduplicate(filled, key),
+        "Standardization": standard,
+        "Outlier Capping": cleanse.cap_outliers(standard, cleanse.fit_caps(standard)),
+    }
+    rows = F.count(F.lit(1))
+    counts = df.agg(rows.alias("0")).select("*", *[
+        step.agg(rows).scalar().alias(str(i)) for i, step in enumerate(steps.values(), 1)
+    ])
+    return _rows(counts, [
         {
             "step_no": F.lit(i),
             "step": F.lit(name),
-            "rows_before": before,
-            "rows_after": after,
-            "rows_removed": before - after,
+            "rows_before": col(str(i - 1)),
+            "rows_after": col(str(i)),
+            "rows_removed": col(str(i - 1)) - col(str(i)),
         }
-        for i, (name, before, after) in enumerate(steps, 1)
+        for i, name in enumerate(steps, 1)
     ])
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from churnmart.constants import HIGH_DATE, TRACKED_COLUMNS
 from churnmart.functions.exprs import add_up, col
+from churnmart.operators.cleanse import last_per_key
 from churnmart.operators.ordering import global_rank
 from churnmart.session import materialize
 
@@ -24,12 +25,8 @@ def current_versions(dimension: DataFrame) -> DataFrame:
 
 def latest_per_key(feed: DataFrame, order=None) -> DataFrame:
     """One feed row per customer: the last under ``order`` (ties: the largest row)."""
-    rest = [c for c in feed.columns if c != KEY and c != order]
-    lead = [col(order)] if order else []
-    last = feed.groupBy(KEY).agg(F.max(F.struct(*lead, *[col(c) for c in rest])).alias("last"))
-    return last.select(*[
-        (col(KEY) if c == KEY else F.col("last")[c]).alias(c) for c in feed.columns if c != order
-    ])
+    last = last_per_key(feed, KEY, order)
+    return last.drop(order) if order else last
 
 
 def classify(dimension: DataFrame, feed: DataFrame, tracked=TRACKED_COLUMNS) -> DataFrame:

@@ -14,7 +14,6 @@ from churnmart.functions.exprs import bin_label, col
 from churnmart.operators import cleanse, crosstab, derive, dimensions, facts, ordering, profile
 from churnmart.operators import quality, scd2
 from churnmart.plans import marts, staging, warehouse
-from churnmart.schemas import DIM_CUSTOMER, enforce_schema
 from churnmart.session import materialize, new_path
 from churnmart.sources import bankview, readers, writers
 from churnmart.streaming.scd2_feed import DimensionVersions, merge_stream
@@ -196,7 +195,7 @@ def etl_impute(b: Bank) -> DataFrame:
 
 
 def etl_dedup(b: Bank) -> DataFrame:
-    return cleanse.deduplicate(b.dirty).drop(C.RAW_ORDER)
+    return cleanse.deduplicate(etl_impute(b)).drop(C.RAW_ORDER)
 
 
 def etl_standardize(b: Bank) -> DataFrame:
@@ -280,6 +279,32 @@ def scd2_asof_fact(b: Bank) -> DataFrame:
     return money_as_double(facts.as_of_versions(b.fact, b.dim_customer))
 
 
+def fk_orphans(b: Bank) -> DataFrame:
+    """A fact whose feed lost some keys and invented others, against whole dimensions."""
+    n = F.col("transaction_id")
+    late = b.fact.withColumns({
+        "customer_sk": F.when(n % 89 != 0, F.col("customer_sk")),
+        "product_sk": F.when(n % 97 == 0, F.col("product_sk") + 1_000_000).otherwise(F.col("product_sk")),
+        "date_sk": F.when(n % 83 == 0, 19000101).otherwise(F.col("date_sk")),
+    })
+    return facts.orphan_counts(late, {
+        "customer_sk": b.dim_customer, "product_sk": b.dim_product, "date_sk": b.dim_date,
+    })
+
+
+MONTHLY = """
+SELECT d.year, d.month, d.year_month, COUNT(*) AS transactions,
+       COUNT(DISTINCT f.customer_sk) AS customers, SUM(f.churn_flag) AS churned_txns
+FROM {fact_transactions} f JOIN {dim_date} d ON f.date_sk = d.date_sk
+GROUP BY d.year, d.month, d.year_month
+"""
+
+
+def sql_monthly(b: Bank) -> DataFrame:
+    """A user's SQL text over the warehouse."""
+    return b.warehouse.sql(MONTHLY)
+
+
 # --- profiles --------------------------------------------------------------------------
 
 
@@ -327,8 +352,12 @@ def pivot_credit_value(b: Bank) -> DataFrame:
     )
 
 
+# Fewer than the customers of the smallest tables that are checked.
+SAMPLE = 500
+
+
 def sample_customers(b: Bank) -> DataFrame:
-    sample = ordering.hash_sample(b.raw, "CustomerId", 3000)
+    sample = ordering.hash_sample(b.raw, "CustomerId", SAMPLE)
     return sample.select(
         "CustomerId", "Age", "Balance", "Exited",
         (col("Balance") > C.HIGH_VALUE_BALANCE).cast("int").alias("high_value"),
@@ -396,12 +425,7 @@ CATALOG = {
         facts.build_fact(b.transactions, b.dim_customer, b.dim_product)
     ),
     "fact_key_resolution": lambda b: facts.key_resolution(b.fact),
-    "fk_orphans": lambda b: facts.orphan_counts(b.fact, {
-        "customer_sk": b.dim_customer,
-        # Part of each dimension only, so that there are orphans to find.
-        "product_sk": b.dim_product.where("product_sk <> 2"),
-        "date_sk": b.dim_date.where("month <> 3"),
-    }),
+    "fk_orphans": fk_orphans,
     "warehouse_churn_metric": lambda b: facts.churn_metric(b.dim_customer),
     "fact_profile": lambda b: money_as_double(facts.fact_profile(b.fact)),
     "fact_value_counts": lambda b: profile.value_counts(b.fact, ("transaction_type", "channel")),
@@ -420,6 +444,7 @@ CATALOG = {
     "q8": lambda b: marts.member_status_churn(b.dim_customer),
     "q9": lambda b: marts.tenure_band_churn(b.dim_customer),
     "q10": lambda b: marts.executive_kpis(b.dim_customer),
+    "sql_monthly": sql_monthly,
     "balance_rank_within_group": lambda b: money_as_double(
         marts.balance_rank_within_group(b.dim_customer)
     ),
@@ -435,9 +460,9 @@ CATALOG = {
     "churn_by_active": lambda b: profile.churn_table(b.raw, "IsActiveMember", "is_active_member"),
     "hist_credit_score": lambda b: profile.histogram(b.raw, "CreditScore", 40),
     "hist_age": lambda b: profile.histogram(b.raw, "Age", 30),
-    "hist_balance": lambda b: profile.histogram(positive_balance(b), "Balance", 40, scale=100),
+    "hist_balance": lambda b: profile.histogram(positive_balance(b), "Balance", 40),
     "hist_balance_by_churn": lambda b: profile.histogram(
-        positive_balance(b), "Balance", 30, by="Exited", scale=100
+        positive_balance(b), "Balance", 30, by="Exited"
     ),
     "box_credit_by_churn": lambda b: profile.box_stats(b.raw, "CreditScore"),
     "corr_matrix": lambda b: profile.correlation_matrix(b.dirty),

@@ -34,9 +34,9 @@ class Warehouse:
     def tables(self) -> dict:
         return {name: getattr(self, name) for name in TABLES}
 
-    def sql(self, text: str, *args) -> DataFrame:
-        """The user's own SQL over the five tables."""
-        return run_sql(self.dim_customer.sparkSession, self.tables(), text, *args)
+    def sql(self, text: str, args: dict | None = None) -> DataFrame:
+        """The user's own SQL over the five tables, named in braces."""
+        return run_sql(self.dim_customer.sparkSession, self.tables(), text, args)
 
 
 def customer_history(snapshot: DataFrame, feed: DataFrame, snapshot_date: date,

@@ -1,6 +1,5 @@
 """Session defaults and the shared folder for tables that cut lineage."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,25 +31,18 @@ def build_session(app_name="churnmart", master=None, shuffle_partitions=None, **
     return builder.getOrCreate()
 
 
-# Folder of a local session that names none, per application.
-_LOCAL_DIRS: dict = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session may fall back to a folder of its own: on a cluster a
-    machine-local folder would lose its files together with the executor.
+    A local session that names none uses its warehouse folder: on a cluster a machine-local
+    folder would lose its files together with the executor.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="churnmart-")
-    return _LOCAL_DIRS[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from churnmart.constants import CHURN_REASONS
 from churnmart.functions.exprs import col
-from churnmart.operators.joins import salted_join
+from churnmart.operators.joins import hot_keys, salted_join
 from churnmart.operators.ordering import surrogate_key
 
 # Identity of a transaction, and the order of the feed.
@@ -59,7 +59,8 @@ def raw_customers(spark: SparkSession, sf_dir: str, as_of: date | None = None) -
     key = F.col("c_custkey")
     return (
         _table(spark, sf_dir, "customer")
-        .join(per_customer, key == F.col("o_custkey"))
+        # Customers without an order stay, with no tenure and no activity.
+        .join(per_customer, key == F.col("o_custkey"), "left")
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             (key + 1).alias("RowNumber"),
@@ -75,9 +76,9 @@ def raw_customers(spark: SparkSession, sf_dir: str, as_of: date | None = None) -
             F.least(F.lit(4), F.greatest(F.lit(1), F.col("priorities")))
             .cast("int").alias("NumOfProducts"),
             (key % 10 < 7).cast("int").alias("HasCrCard"),
-            (F.col("recent_orders") >= 2).cast("int").alias("IsActiveMember"),
+            (F.coalesce("recent_orders", F.lit(0)) >= 2).cast("int").alias("IsActiveMember"),
             (30000 + key * 7919 % 120000).cast("double").alias("EstimatedSalary"),
-            (F.col("newest") > 365).cast("int").alias("Exited"),
+            F.coalesce(F.col("newest") > 365, F.lit(True)).cast("int").alias("Exited"),
             (key % 5 == 0).cast("int").alias("Complain"),
             (1 + key % 5).cast("int").alias("Satisfaction Score"),
             F.col("c_mktsegment").alias("Card Type"),
@@ -106,15 +107,17 @@ def dirty_customers(raw: DataFrame) -> DataFrame:
     gappy = noisy.withColumns({
         c: F.when(key % every != 0, col(c)) for c, every in gaps.items()
     })
-    # 0 the row itself, 1 an exact copy, 2 a copy under another row number.
-    kinds = F.array_compact(
-        F.array(F.lit(0), F.when(key % 50 == 0, F.lit(1)), F.when(key % 70 == 0, F.lit(2)))
-    )
+    # 0 the row itself, 1 an exact copy, 2 a copy under another row number, 3 a copy whose
+    # missing balance is filled in: the same row only after imputation.
+    kinds = F.array_compact(F.array(
+        F.lit(0), F.when(key % 50 == 0, F.lit(1)), F.when(key % 70 == 0, F.lit(2)),
+        F.when(key % 34 == 0, F.lit(3)),
+    ))
     rekeyed = F.col("kind") == 2
     return gappy.withColumn("kind", F.explode(kinds)).withColumns({
         "RowNumber": F.col("RowNumber") + F.when(rekeyed, 1_000_000_000).otherwise(0),
         "Balance": F.when(rekeyed, F.coalesce(F.col("Balance"), F.lit(0.0)) + 1000)
-        .otherwise(F.col("Balance")),
+        .when(F.col("kind") == 3, F.lit(0.0)).otherwise(F.col("Balance")),
     }).drop("kind")
 
 
@@ -165,14 +168,13 @@ def transactions(spark: SparkSession, sf_dir: str, raw: DataFrame,
     price = F.col("l_extendedprice").cast("decimal(15,2)")
     keep = 1 - F.col("l_discount").cast("decimal(4,2)")
     # Orders meet their customer first; a hot customer, order or part is spread by row hash.
-    flagged = salted_join(
-        orders, flags, "o_custkey", F.xxhash64("o_orderkey"), count_on=orders
-    )
+    flagged = salted_join(orders, flags, "o_custkey", F.xxhash64("o_orderkey"))
     flagged = flagged.withColumnRenamed("o_orderkey", "l_orderkey")
     line_hash = F.xxhash64(*LINE_KEY)
-    typed = salted_join(lines, parts, "l_partkey", line_hash, "inner", count_on=lines)
+    hot_parts, hot_orders = hot_keys(lines, "l_partkey", "l_orderkey")
+    typed = salted_join(lines, parts, "l_partkey", line_hash, "inner", hot=hot_parts)
     joined = (
-        salted_join(typed, flagged, "l_orderkey", line_hash, "inner", count_on=lines)
+        salted_join(typed, flagged, "l_orderkey", line_hash, "inner", hot=hot_orders)
         .join(product_feed.select("product_id", "product_name"),
               F.col("p_type") == F.col("product_name"))
         .select(
@@ -205,7 +207,7 @@ def exit_survey(spark: SparkSession, sf_dir: str, raw: DataFrame) -> DataFrame:
     )
     labels = F.array(*[F.lit(r) for r in CHURN_REASONS])
     slot = (F.col("customer_id") % len(CHURN_REASONS)).cast("int")
-    return churned.join(last, "customer_id").select(
+    return churned.join(last, "customer_id", "left").select(
         "customer_id",
         F.get(labels, slot).alias("churn_reason"),
         F.date_format("last_day", "yyyy-MM").alias("exit_month"),

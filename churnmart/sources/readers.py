@@ -34,11 +34,11 @@ def read_staged_customers(spark: SparkSession, path: str, fmt=None) -> DataFrame
     return read_table(spark, path, STAGED_CUSTOMERS, fmt)
 
 
-def run_sql(spark: SparkSession, tables: dict, text: str, *args) -> DataFrame:
-    """SQL text over named tables; errors reach the caller.
+def run_sql(spark: SparkSession, tables: dict, text: str, args: dict | None = None) -> DataFrame:
+    """SQL text over tables named in braces, ``FROM {fact_transactions} f``; errors reach the caller.
 
-    ``tables`` maps view names to DataFrames.
+    ``tables`` maps names to DataFrames, for this call only: the session's own views are
+    neither read nor replaced. ``args`` are parameters, ``:name`` in the text.
     """
-    for name, table in tables.items():
-        table.createOrReplaceTempView(name)
-    return spark.sql(text, *args)
+    used = {name: table for name, table in tables.items() if "{" + name + "}" in text}
+    return spark.sql(text, args, **used)

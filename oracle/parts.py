@@ -131,14 +131,14 @@ def raw(name="raw", as_of=None):
             CAST(CAST(greatest(c_acctbal, 0e0) * 20 AS DECIMAL(15,2)) AS DOUBLE) AS "Balance",
             CAST(least(4, greatest(1, prio)) AS INTEGER) AS "NumOfProducts",
             CAST(c_custkey % 10 < 7 AS INTEGER) AS "HasCrCard",
-            CAST(recent >= 2 AS INTEGER) AS "IsActiveMember",
+            CAST(coalesce(recent, 0) >= 2 AS INTEGER) AS "IsActiveMember",
             CAST(30000 + c_custkey * 7919 % 120000 AS DOUBLE) AS "EstimatedSalary",
-            CAST(newest > 365 AS INTEGER) AS "Exited",
+            CAST(coalesce(newest > 365, true) AS INTEGER) AS "Exited",
             CAST(c_custkey % 5 = 0 AS INTEGER) AS "Complain",
             CAST(1 + c_custkey % 5 AS INTEGER) AS "Satisfaction Score",
             c_mktsegment AS "Card Type",
             CAST(119 + c_custkey * 13 % 882 AS INTEGER) AS "Point Earned"
-            FROM customer JOIN {g} ON c_custkey = o_custkey
+            FROM customer LEFT JOIN {g} ON c_custkey = o_custkey
             JOIN nation ON c_nationkey = n_nationkey
             JOIN region ON n_regionkey = r_regionkey"""),
     ]
@@ -172,7 +172,8 @@ def dirty():
         ("gappy", f"SELECT {', '.join(cols)} FROM raw"),
         ("dirty", f"""SELECT * FROM gappy
             UNION ALL SELECT * FROM gappy WHERE "CustomerId" % 50 = 0
-            UNION ALL SELECT {rekeyed} FROM gappy WHERE "CustomerId" % 70 = 0"""),
+            UNION ALL SELECT {rekeyed} FROM gappy WHERE "CustomerId" % 70 = 0
+            UNION ALL SELECT * REPLACE (0e0 AS "Balance") FROM gappy WHERE "CustomerId" % 34 = 0"""),
     ]
 
 

@@ -185,17 +185,18 @@ def _cap_counts():
 
 
 def _step_counts():
-    u = "total_rows - duplicate_keys"
-    d = "total_rows - duplicate_rows"
-    steps = [("Null Treatment", "total_rows", "total_rows"),
-             ("Full Row Deduplication", "total_rows", d), ("Key Deduplication", d, u),
-             ("Standardization", u, u), ("Outlier Capping", u, u)]
+    tables = {"raw": "dirty", "Null Treatment": "dirty_imp",
+              "Full Row Deduplication": "(SELECT DISTINCT * FROM dirty_imp)",
+              "Key Deduplication": "dirty_dd", "Standardization": "dirty_std",
+              "Outlier Capping": "dirty_cap"}
+    names = list(tables)
+    count = lambda name: f"(SELECT COUNT(*) FROM {tables[name]})"
     rows = [
-        f"SELECT {i} AS step_no, '{n}' AS step, CAST({a} AS BIGINT) AS rows_before, "
-        f"CAST({b} AS BIGINT) AS rows_after, CAST(({a}) - ({b}) AS BIGINT) AS rows_removed FROM dups"
-        for i, (n, a, b) in enumerate(steps, 1)
+        f"SELECT {i} AS step_no, '{n}' AS step, {count(names[i - 1])} AS rows_before, "
+        f"{count(n)} AS rows_after, {count(names[i - 1])} - {count(n)} AS rows_removed"
+        for i, n in enumerate(names[1:], 1)
     ]
-    return query(p.dirty() + _dup_profile(), _union(rows))
+    return query(p.dirty() + p.capped("dirty"), _union(rows))
 
 
 def _change_log():
@@ -219,14 +220,17 @@ def _table_inventory():
 
 
 def _orphans():
-    dims = {"customer_sk": "dimc", "product_sk": "(SELECT * FROM prod WHERE product_sk <> 2)",
-            "date_sk": "(SELECT * FROM dimd WHERE month <> 3)"}
+    dims = {"customer_sk": "dimc", "product_sk": "prod", "date_sk": "dimd"}
+    dangling = """SELECT
+        CASE WHEN transaction_id % 89 <> 0 THEN customer_sk END AS customer_sk,
+        CASE WHEN transaction_id % 97 = 0 THEN product_sk + 1000000 ELSE product_sk END AS product_sk,
+        CASE WHEN transaction_id % 83 = 0 THEN 19000101 ELSE date_sk END AS date_sk FROM fact"""
     rows = [
-        f"SELECT '{k}' AS foreign_key, COUNT(*) AS orphans FROM fact f LEFT JOIN "
+        f"SELECT '{k}' AS foreign_key, COUNT(*) AS orphans FROM late f LEFT JOIN "
         f"(SELECT DISTINCT {k} FROM {d}) d ON f.{k} = d.{k} WHERE d.{k} IS NULL"
         for k, d in dims.items()
     ]
-    return query(p.fact() + p.dim_date(), _union(rows))
+    return query(p.fact() + p.dim_date() + [("late", dangling)], _union(rows))
 
 
 def _banded_churn(column, bands):
@@ -249,18 +253,18 @@ def _banded_counts(column, bands):
         FROM bins LEFT JOIN found ON label = flabel GROUP BY ordinal, label""")
 
 
-def _histogram(column, bins, where="true", by=None, scale=1):
+def _histogram(column, bins, where="true", by=None):
     key = f'"{by}", ' if by else ""
     using = f'USING ("{by}")' if by else "ON true"
     using_bin = f'USING ("{by}", bin)' if by else "USING (bin)"
     group = f'GROUP BY "{by}"' if by else ""
     edge = lambda i: round_even(
-        f"((CAST(lo AS DOUBLE) + CAST(hi - lo AS DOUBLE) * {i} / {bins}e0) / {scale}e0)", 4)
+        f"(lo + (hi - lo) * {i} / {bins}e0)", 4)
     return query(p.raw() + [
-        ("vals", f'SELECT {key} CAST(round("{column}" * {scale}) AS BIGINT) AS v FROM raw '
+        ("vals", f'SELECT {key} CAST("{column}" AS DOUBLE) AS v FROM raw '
                  f'WHERE {where} AND "{column}" IS NOT NULL'),
         ("rng", f"SELECT {key} MIN(v) AS lo, MAX(v) AS hi FROM vals {group}"),
-        ("hit", f"SELECT {key} least((v - lo) * {bins} // (hi - lo), {bins - 1}) + 1 AS bin, "
+        ("hit", f"SELECT {key} CAST(least(floor((v - lo) * {bins}e0 / (hi - lo)), {bins - 1}) AS INTEGER) + 1 AS bin, "
                 f"COUNT(*) AS n FROM vals JOIN rng {using} GROUP BY ALL"),
         ("slots", f"SELECT {key} lo, hi, unnest(range(1, {bins + 1})) AS bin FROM rng"),
     ], f"""SELECT {key} CAST(bin AS INTEGER) AS bin, {edge('(bin - 1)')} AS lower, {edge('bin')} AS upper,
@@ -427,8 +431,12 @@ def oracle_sql() -> dict:
         "value_counts": _value_counts(),
         "report_validation": _report_validation(),
         "etl_impute": query(dirty + p.imputed("dirty"), f"SELECT {_names(p.RAW_COLUMNS)} FROM dirty_imp"),
-        "etl_dedup": query(dirty + p.dedup("dirty", "dd"), f"SELECT {_names(no_row)} FROM dd"),
+        "etl_dedup": query(dirty + p.imputed("dirty") + p.dedup("dirty_imp", "dd"),
+                           f"SELECT {_names(no_row)} FROM dd"),
         "etl_standardize": query(dirty, f"SELECT * REPLACE ({p.standard_columns()}) FROM dirty"),
+        "sample_customers": query(p.raw(), """SELECT "CustomerId", "Age", "Balance", "Exited",
+            CAST("Balance" > 100000 AS INTEGER) AS high_value FROM raw
+            ORDER BY md5('42:' || CAST("CustomerId" AS VARCHAR)), "CustomerId" LIMIT 500"""),
         "etl_cap": query(dirty + p.capped("dirty"), f"SELECT {_names(no_row)} FROM dirty_cap"),
         "etl_cap_counts": _cap_counts(),
         "etl_step_counts": _step_counts(),
@@ -519,6 +527,10 @@ def oracle_sql() -> dict:
         "q3": _q3(),
         "q4": _q4(),
         "q5": _q5(),
+        "sql_monthly": query(p.fact() + p.dim_date(), """SELECT d.year, d.month, d.year_month,
+            COUNT(*) AS transactions, COUNT(DISTINCT f.customer_sk) AS customers,
+            CAST(SUM(f.churn_flag) AS BIGINT) AS churned_txns
+            FROM fact f JOIN dimd d ON f.date_sk = d.date_sk GROUP BY ALL"""),
         "q6": _mart("""SELECT customer_id, surname, geography, age, age_group, credit_tier, tenure,
             tenure_band, CAST(balance AS DOUBLE) AS balance, num_of_products, is_active_member,
             risk_score, risk_category, CAST(estimated_ltv AS DOUBLE) AS estimated_ltv,
@@ -564,8 +576,8 @@ def oracle_sql() -> dict:
         "churn_by_active": query(p.raw(), _churn_table("raw", '"IsActiveMember"', "is_active_member")),
         "hist_credit_score": _histogram("CreditScore", 40),
         "hist_age": _histogram("Age", 30),
-        "hist_balance": _histogram("Balance", 40, '"Balance" > 0', scale=100),
-        "hist_balance_by_churn": _histogram("Balance", 30, '"Balance" > 0', "Exited", 100),
+        "hist_balance": _histogram("Balance", 40, '"Balance" > 0'),
+        "hist_balance_by_churn": _histogram("Balance", 30, '"Balance" > 0', "Exited"),
         "box_credit_by_churn": _box(),
         "corr_matrix": _corr_matrix(),
         "corr_with_churn": _corr_with_churn(),

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from churnmart.operators.joins import broadcast_if_small, hot_keys, repeat_rows, salted_join
+from churnmart.operators.joins import hot_keys, repeat_rows, salted_join
 
 
 @pytest.fixture(scope="module")
@@ -17,17 +17,27 @@ def sides(spark):
     )
 
 
-def test_hot_keys_are_found_and_few(sides):
+def test_hot_keys_get_tasks_by_their_rows(sides, spark, monkeypatch):
     left, _ = sides
-    # NULL keys are a fiftieth of the rest, key 1 is a third of all.
-    assert set(hot_keys(left, "k", left.count())) == {1, None}
+    # NULL keys are a fiftieth of the rest, key 1 is a third of all; four shuffle partitions.
+    assert hot_keys(left, "k") == [{1: 2}]
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        found, ids = hot_keys(left, "k", "id")
+        assert set(found) == {1, None} and 30 <= found[1] <= 36 and ids == {}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert hot_keys(left.limit(0), "k") == [{}]
+
+
+HOT = {1: 8, None: 3}
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("min_rows", [1, 10**9])
-def test_salted_join_equals_the_plain_join(sides, how, min_rows):
+@pytest.mark.parametrize("hot", [HOT, {}, {1: 4}, {None: 2}, None])
+def test_salted_join_equals_the_plain_join(sides, how, hot):
     left, right = sides
-    got = salted_join(left, right, "k", F.xxhash64("id"), how, min_rows=min_rows, salts=8)
+    got = salted_join(left, right, "k", F.xxhash64("id"), how, hot=hot)
     want = left.join(right, "k", how)
     key = lambda row: tuple(str(v) for v in row)
     assert sorted(map(tuple, got.select("id", "k", "w", "version").collect()), key=key) == sorted(
@@ -37,7 +47,7 @@ def test_salted_join_equals_the_plain_join(sides, how, min_rows):
 def test_salted_join_with_a_residual_condition(sides):
     left, right = sides
     got = salted_join(
-        left, right, "k", F.xxhash64("id"), "left", F.col("version") == 1, min_rows=1, salts=4
+        left, right, "k", F.xxhash64("id"), "left", F.col("version") == 1, hot=HOT
     )
     assert got.count() == left.count()
     assert got.where("version is not null").count() == left.where("k = 1").count()
@@ -45,7 +55,7 @@ def test_salted_join_with_a_residual_condition(sides):
 
 def test_salted_join_spreads_a_hot_key(sides, spark):
     left, right = sides
-    joined = salted_join(left, right, "k", F.xxhash64("id"), "inner", min_rows=1, salts=8)
+    joined = salted_join(left, right, "k", F.xxhash64("id"), "inner", hot=HOT)
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "pmod(xxhash64" in plan
 
@@ -56,17 +66,9 @@ def test_repeat_rows(spark):
     assert got == {"a": 3, "b": 250_001, "d": 1}
 
 
-def test_broadcast_only_when_counted_small(spark):
-    def hinted(df):
-        return "hint" in df._jdf.queryExecution().analyzed().toString().lower()
-
-    assert hinted(broadcast_if_small(spark.range(10), 10))
-    assert not hinted(broadcast_if_small(spark.range(11), 10))
-
-
 def test_only_null_keys_are_hot(spark):
     left = spark.range(5000).selectExpr("id", "if(id % 2 = 0, null, id) AS k")
     right = spark.range(5000).selectExpr("id AS k", "id * 2 AS w")
-    got = salted_join(left, right, "k", F.xxhash64("id"), min_rows=1, salts=4)
+    got = salted_join(left, right, "k", F.xxhash64("id"))
     assert got.count() == 5000 and got.where("w = id * 2").count() == 2500
     assert got.where("w is null").count() == 2500

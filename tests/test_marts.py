@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,11 +86,11 @@ def test_marts_of_an_empty_dimension(dim):
 def test_user_sql_runs_over_the_warehouse(bank):
     got = bank.warehouse.sql("""
         SELECT d.year_month, COUNT(*) AS n, SUM(f.amount) AS amount
-        FROM fact_transactions f JOIN dim_date d ON f.date_sk = d.date_sk
+        FROM {fact_transactions} f JOIN {dim_date} d ON f.date_sk = d.date_sk
         GROUP BY d.year_month ORDER BY year_month""")
     assert got.agg(F.sum("n")).first()[0] == bank.fact.count()
     with pytest.raises(Exception, match="no_such_column"):
-        bank.warehouse.sql("SELECT no_such_column FROM dim_customer").collect()
+        bank.warehouse.sql("SELECT no_such_column FROM {dim_customer}").collect()
 
 
 def test_unresolved_keys_stay_null_and_count_as_orphans(bank):
@@ -122,6 +123,14 @@ def test_histogram_counts_everything_once(bank):
     assert np.allclose([r.lower for r in got], edges[:-1], atol=1e-3)
 
 
+def test_histogram_bins_fractions_as_they_are(spark):
+    values = [0.1, 0.2, 0.4, 0.6, 0.9]
+    counts, edges = np.histogram(values, bins=4)
+    got = profile.histogram(spark.createDataFrame([(v,) for v in values], "x DOUBLE"), "x", 4).collect()
+    assert [r.customers for r in got] == counts.tolist()
+    assert [r.lower for r in got] == [round(e, 4) for e in edges[:-1].tolist()]
+
+
 def test_histogram_of_a_constant(spark):
     import numpy as np
 

@@ -60,10 +60,11 @@ def test_ntile_formula(spark, rows, n):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-@pytest.mark.parametrize("small_rows", [1_000_000, 0])
-def test_quantiles_equal_numpy_on_both_paths(hot, small_rows):
+@pytest.mark.parametrize("sorted_rows", [100_000, 0])
+def test_quantiles_equal_numpy(hot, sorted_rows, monkeypatch):
+    monkeypatch.setattr(O, "_SORTED", sorted_rows)
     probabilities = [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0]
-    got = O.exact_quantiles(hot, "v", probabilities, ["g"], small_rows=small_rows).collect()
+    got = O.exact_quantiles(hot, "v", probabilities, ["g"]).collect()
     assert len(got) == 2
     data = rows_with_hot_keys()
     for row in got:
@@ -73,15 +74,24 @@ def test_quantiles_equal_numpy_on_both_paths(hot, small_rows):
         assert [row[f"q{i}"] for i in range(7)] == list(want)
 
 
-@pytest.mark.parametrize("small_rows", [1_000_000, 0])
-def test_quantiles_of_one_hot_value_nulls_and_no_keys(spark, small_rows):
+@pytest.mark.parametrize("sorted_rows", [100_000, 0])
+def test_quantiles_of_one_hot_value_nulls_and_no_keys(spark, sorted_rows, monkeypatch):
+    monkeypatch.setattr(O, "_SORTED", sorted_rows)
     rows = [(5.0,)] * 900 + [(float(i),) for i in range(100)] + [(None,)] * 50
     df = spark.createDataFrame(rows, "v DOUBLE")
-    row = O.exact_quantiles(df, "v", [0.05, 0.5, 0.97], small_rows=small_rows).first()
+    row = O.exact_quantiles(df, "v", [0.05, 0.5, 0.97]).first()
     want = np.quantile([v for (v,) in rows if v is not None], [0.05, 0.5, 0.97])
     assert (row.n, row.q0, row.q1, row.q2) == (1000, *want)
 
 
+def test_quantiles_of_far_apart_values_and_of_nothing(spark):
+    values = [-1.7e308, -1.0, 0.0, 1e-300, 2e-300, 1.0, 1.7e308] + [3e-300] * 4
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    row = O.exact_quantiles(df, "v", [0.0, 0.2, 0.5, 1.0]).first()
+    assert [row.n, row.q0, row.q2, row.q3] == [11, -1.7e308, sorted(values)[5], 1.7e308]
+    assert O.exact_quantiles(df.limit(0), "v", [0.5]).first().n is None
+
+
 def test_modes_break_ties_to_the_smallest_and_skip_nulls(spark):
     rows = [(10, "b"), (9, "a"), (9, "b"), (10, "a"), (None, None), (None, None), (None, None)]
     df = spark.createDataFrame(rows, "x INT, y STRING")

@@ -23,6 +23,20 @@ def test_filters_reach_the_scan(bank):
     assert "TakeOrderedAndProject" in plan
 
 
+def test_deduplication_has_no_sort_aggregate(bank):
+    from churnmart.operators import cleanse
+
+    plan = plan_of(cleanse.deduplicate(bank.dirty))
+    assert "SortAggregate" not in plan and "WindowGroupLimit" in plan
+
+
+def test_profiles_repeat_no_row(bank):
+    from churnmart.operators import profile
+
+    optimized = profile.correlation_matrix(bank.raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in optimized.split("Aggregate", 1)[1]
+
+
 def test_top_segments_do_not_sort_everything(bank):
     assert "TakeOrderedAndProject" in plan_of(marts.revenue_at_risk(bank.dim_customer))
 

@@ -163,3 +163,11 @@ def test_describe_matches_pandas(bank):
         want = pdf[r["column"]].describe().round(2)
         got = pd.Series([r["count"], r["mean"], r["std"], r["min"], r.p25, r.p50, r.p75, r["max"]])
         assert np.allclose(got, want.values, atol=0.011)
+
+
+def test_step_counts_see_rows_that_only_imputation_makes_equal(spark, bank):
+    from churnmart.operators import quality
+
+    plain = {r.step: r for r in quality.step_counts(bank.dirty).collect()}
+    assert plain["Full Row Deduplication"].rows_after < bank.dirty.distinct().count()
+    assert plain["Key Deduplication"].rows_after == bank.raw.count()
