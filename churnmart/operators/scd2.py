@@ -32,13 +32,14 @@ def latest_per_key(feed: DataFrame, order=None) -> DataFrame:
 def classify(dimension: DataFrame, feed: DataFrame, tracked=TRACKED_COLUMNS) -> DataFrame:
     """Feed rows with ``status`` new, changed or unchanged and the current version beside.
 
-    Adds ``old_<column>`` per tracked column, ``old_sk`` and ``old_version``. ``feed`` holds
+    Adds ``old_<column>`` per tracked column, ``old_sk``, ``old_version`` and ``old_start``. ``feed`` holds
     one row per customer. Values compare NULL-safe and typed.
     """
     current = current_versions(dimension).select(
         col(KEY).alias("__key"),
         F.col("customer_sk").alias("old_sk"),
         F.col("record_version").alias("old_version"),
+        F.col("effective_start_date").alias("old_start"),
         *[col(c).alias(f"old_{c}") for c in tracked],
     )
     differs = add_up([
@@ -80,12 +81,19 @@ def merge(dimension: DataFrame, feed: DataFrame, load_date: date,
 
     New keys are one contiguous run after the largest key: versions first, then new
     customers, each in customer order. Customers absent from the feed stay as they are;
-    the same feed again changes nothing. ``dimension`` is read, never overwritten. It may
-    hold the current versions only, then ``last_key`` is the largest key ever given.
+    the same feed again changes nothing. A change on the day a version was opened replaces
+    that version, so that no validity ends before it starts. Feed rows without a key are
+    refused (``ValueError``). ``dimension`` is read, never overwritten; only its current
+    rows meet the feed, closed ones pass through. It may hold the current versions only,
+    then ``last_key`` is the largest key ever given.
     """
+    keyless = feed.where(col(KEY).isNull()).count()
+    if keyless:
+        raise ValueError(f"{keyless} feed rows without {KEY}")
     delta = materialize(
         classify(dimension, feed, tracked).where("status <> 'unchanged'"), "scd2-delta"
     )
+    same_day = F.col("old_start") >= F.lit(load_date)
     if last_key is None:
         last_key = largest_key(dimension)
     ranked = global_rank(
@@ -96,18 +104,22 @@ def merge(dimension: DataFrame, feed: DataFrame, load_date: date,
         "effective_start_date": F.lit(load_date),
         "effective_end_date": F.lit(HIGH_DATE),
         "is_current": F.lit(1),
-        "record_version": F.coalesce(F.col("old_version"), F.lit(0)) + 1,
-    }).drop("status", "old_sk", "old_version", *[f"old_{c}" for c in tracked])
-
-    expiring = delta.where("status = 'changed'").select(F.col("old_sk").alias("__sk"))
-    joined = dimension.join(expiring, F.col("customer_sk") == F.col("__sk"), "left")
+        "record_version": F.when(same_day, F.col("old_version"))
+        .otherwise(F.coalesce(F.col("old_version"), F.lit(0)) + 1),
+    }).drop("status", "old_sk", "old_version", "old_start", *[f"old_{c}" for c in tracked])
+
+    expiring = delta.where("status = 'changed'").select(
+        F.col("old_sk").alias("__sk"), same_day.alias("__replaced"))
+    current = current_versions(dimension)
+    joined = current.join(expiring, F.col("customer_sk") == F.col("__sk"), "left")
     ends = F.col("__sk").isNotNull()
-    kept = joined.withColumns({
+    kept = joined.where(~F.coalesce("__replaced", F.lit(False))).withColumns({
         "effective_end_date": F.when(ends, F.lit(load_date - timedelta(days=1)))
         .otherwise(F.col("effective_end_date")),
         "is_current": F.when(ends, 0).otherwise(F.col("is_current")),
-    }).drop("__sk")
-    return kept.unionByName(inserts, allowMissingColumns=True)
+    }).drop("__sk", "__replaced")
+    closed = dimension.where(~F.col("is_current").eqNullSafe(F.lit(1)))
+    return closed.unionByName(kept).unionByName(inserts, allowMissingColumns=True)
 
 
 def verify(dimension: DataFrame) -> DataFrame:

@@ -262,17 +262,26 @@ def scd2_classify(b: Bank) -> DataFrame:
 
 
 def scd2_stream(b: Bank) -> DataFrame:
-    """The feed as four files through a file stream, merged batch by batch."""
+    """The feed through a file stream, one micro-batch per file.
+
+    Four files hold every customer once. A fifth repeats every third customer as they were
+    earlier: rows that arrive late and must change nothing. Keys follow the arrival and are
+    left out.
+    """
     root = new_path(b.spark, "stream")
-    feed = b.incoming.withColumn("feed_order", col("customer_id"))
-    feed.repartition(4, (col("customer_id") % 4).cast("int")).write.parquet(f"{root}/feed")
+    feed = b.incoming.withColumn("feed_order", F.lit(2))
+    late = feed.where("customer_id % 3 = 0").withColumns({
+        "feed_order": F.lit(1), "is_active_member": 1 - F.col("is_active_member")})
+    files = [feed.where(F.col("customer_id") % 4 == i) for i in range(4)] + [late]
     versions = DimensionVersions(b.spark, f"{root}/dimension")
     versions.write(0, b.dimension)
-    reached = merge_stream(
-        b.spark, f"{root}/feed", feed.schema, versions, bankview.FEED_LOAD, "feed_order",
-        checkpoint=f"{root}/state",
-    )
-    return versions.read(reached)
+    for rows in files:
+        rows.write.mode("append").parquet(f"{root}/feed")
+        reached = merge_stream(
+            b.spark, f"{root}/feed", feed.schema, versions, bankview.FEED_LOAD, "feed_order",
+            checkpoint=f"{root}/state",
+        )
+    return versions.read(reached).drop("customer_sk")
 
 
 def scd2_asof_fact(b: Bank) -> DataFrame:

@@ -468,7 +468,7 @@ def oracle_sql() -> dict:
             is_active_member, effective_start_date, effective_end_date, is_current, record_version
             FROM merged WHERE customer_id IN (
                 SELECT customer_id FROM merged WHERE is_current = 0)"""),
-        "scd2_stream": merged,
+        "scd2_stream": f"SELECT * EXCLUDE (customer_sk) FROM ({merged})",
         "scd2_asof_fact": query(p.fact(), """SELECT f.transaction_id, f.customer_id,
             f.transaction_date, CAST(f.amount AS DOUBLE) AS amount, d.customer_sk AS version_sk,
             d.record_version, d.geography FROM fact f LEFT JOIN dimc d

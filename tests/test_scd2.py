@@ -3,6 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from churnmart.constants import TRACKED_COLUMNS
 from churnmart.operators import scd2
 from churnmart.session import new_path
 from churnmart.sources import bankview
@@ -160,7 +161,7 @@ def test_stream_of_many_batches_equals_one_merge(spark, bank):
 def test_a_batch_replayed_after_a_crash_ends_in_the_same_state(spark, bank):
     root, feed, versions = stream_parts(spark, bank, 1)
     # What an unfinished attempt at version 1 may leave behind.
-    versions.write(1, bank.dimension.limit(3))
+    bank.dimension.limit(3).write.partitionBy("is_current").parquet(versions.path(1))
     reached = merge_stream(
         spark, f"{root}/feed", feed.schema, versions, bankview.FEED_LOAD, "at",
         checkpoint=f"{root}/state",
@@ -168,3 +169,76 @@ def test_a_batch_replayed_after_a_crash_ends_in_the_same_state(spark, bank):
     assert reached == 1
     got = versions.read(1).select(bank.merged.columns)
     assert got.exceptAll(bank.merged).count() == 0 and got.count() == bank.merged.count()
+
+
+def small_stream(spark, rows, label):
+    """A stream over a dimension of three customers; ``feed(rows)`` adds a file and merges."""
+    root = new_path(spark, label)
+    columns = ("customer_id LONG, geography STRING, num_of_products INT, is_active_member INT, at INT")
+    versions = DimensionVersions(spark, f"{root}/dimension")
+    start = spark.createDataFrame(
+        [(i, i, "A", 1, 1, date(2020, 1, 1), scd2.HIGH_DATE, 1, 1) for i in (1, 2, 3)],
+        "customer_sk LONG, customer_id LONG, geography STRING, num_of_products INT, is_active_member INT, "
+        "effective_start_date DATE, effective_end_date DATE, is_current INT, record_version INT")
+    rest = {c: F.lit(1) for c in TRACKED_COLUMNS if c not in start.columns}
+    versions.write(0, start.withColumns(rest))
+
+    def feed(rows, day=date(2020, 6, 1), state="state"):
+        df = spark.createDataFrame(rows, columns).withColumns(rest)
+        df.coalesce(1).write.mode("append").parquet(f"{root}/feed")
+        return merge_stream(spark, f"{root}/feed", df.schema, versions, day, "at", f"{root}/{state}")
+
+    return versions, feed
+
+
+def shown(versions, version):
+    rows = versions.read(version).collect()
+    return sorted((r.customer_id, r.record_version, r.geography, r.is_current) for r in rows)
+
+
+def test_stream_keeps_what_another_checkpoint_merged(spark):
+    versions, feed = small_stream(spark, [], "stream-again")
+    assert feed([(1, "B", 1, 1, 1), (7, "B", 1, 1, 1)]) == 1
+    # A new checkpoint starts at batch 0 and merges the old file again.
+    assert feed([(8, "C", 1, 1, 1)], state="other") == 2
+    assert shown(versions, 2) == [(1, 1, "A", 0), (1, 2, "B", 1), (2, 1, "A", 1), (3, 1, "A", 1), (7, 1, "B", 1), (8, 1, "C", 1)]
+    with pytest.raises(ValueError, match="finished"):
+        versions.write(2, versions.read(1))
+
+
+def test_late_rows_change_nothing_and_order_outlives_unchanged_rows(spark):
+    versions, feed = small_stream(spark, [], "stream-late")
+    feed([(1, "B", 1, 1, 9), (2, "A", 1, 1, 9)])
+    reached = feed([(1, "Z", 1, 1, 2), (2, "Z", 1, 1, 2), (3, "C", 1, 1, 2)])
+    assert shown(versions, reached) == [(1, 1, "A", 0), (1, 2, "B", 1), (2, 1, "A", 1), (3, 1, "A", 0), (3, 2, "C", 1)]
+
+
+def test_same_day_change_replaces_the_version_of_the_day(spark):
+    versions, feed = small_stream(spark, [], "stream-day")
+    feed([(1, "B", 1, 1, 1)])
+    reached = feed([(1, "C", 1, 1, 2)])
+    assert shown(versions, reached) == [(1, 1, "A", 0), (1, 2, "C", 1), (2, 1, "A", 1), (3, 1, "A", 1)]
+    reached = feed([(1, "D", 1, 1, 3)], day=date(2020, 6, 2))
+    rows = versions.read(reached).where("customer_id = 1").orderBy("record_version").collect()
+    assert [(r.geography, r.record_version) for r in rows] == [("A", 1), ("C", 2), ("D", 3)]
+    assert all(r.effective_start_date <= r.effective_end_date for r in rows)
+
+
+def test_rows_without_a_key_are_set_aside(spark):
+    versions, feed = small_stream(spark, [], "stream-null")
+    reached = feed([(None, "B", 1, 1, 1), (1, "B", 1, 1, 1)])
+    assert versions.read(reached).where("customer_id is null").count() == 0
+    assert versions.rejected().count() == 1
+
+
+def test_merge_refuses_rows_without_a_key(dimension, feed):
+    keyless = feed.withColumn("customer_id", F.when(F.col("customer_id") > 0, None))
+    with pytest.raises(ValueError, match="without customer_id"):
+        scd2.merge(dimension, keyless, LOAD)
+
+
+def test_closed_versions_do_not_meet_the_feed(bank):
+    plan = scd2.merge(bank.merged, bank.incoming, date(2030, 1, 1))._jdf.queryExecution().optimizedPlan().toString()
+    # The join reads current rows only.
+    left = plan.split("Join")[1]
+    assert "is_current" in left and "= 1" in left
