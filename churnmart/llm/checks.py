@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express; the rest is tested by brute force."""
 
+from churnmart.llm import secrets
+
 OP3 = """
 WITH whole AS (
     SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
@@ -18,5 +20,35 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <=
 
 
 
+def _op4():
+    """Matches by DuckDB's own expressions; what lies between them gives the positions."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    parts = [
+        f"SELECT n, {quoted(r.kind)} AS kind, {rank} AS rank, {r.shortest} AS shortest, "
+        f"regexp_extract_all(text, {quoted(r.java)}, 0) AS found, "
+        f"regexp_extract_all(text, {quoted(r.java)}, {r.value}) AS value, "
+        f"string_split_regex(text, {quoted(r.java)}) AS gaps FROM texts"
+        for rank, r in enumerate(secrets.RULES)
+    ]
+    told = "string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank)"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE)
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
+matches AS ({" UNION ALL ".join(parts)}),
+each AS (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM matches WHERE len(found) > 0),
+spans AS (
+    SELECT n, kind, rank, length(found[i]) AS size, (
+        list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+        + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0)
+    )::BIGINT AS a FROM each WHERE length(value[i]) >= shortest
+), placed AS (SELECT *, a + size AS b FROM spans), told AS (
+    SELECT n, {counts}, {told} FILTER (WHERE rank < {len(secrets.BASE)}) AS base, {told} AS spans FROM placed GROUP BY n
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.BASE)},
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN told USING (n)
+"""
+
+
 def oracle_sql():
-    return {"op3_topk": OP3}
+    return {"op3_topk": OP3, "op4_secrets": _op4()}
