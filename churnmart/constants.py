@@ -119,16 +119,7 @@ PRODUCT_CATALOG = (
 )
 PRODUCT_LAUNCH_YEAR = 2015
 
-# Churn reasons and the default of the lookup.
-CHURN_REASONS = (
-    "Better rates elsewhere",
-    "Poor customer service",
-    "Moved to another country",
-    "Too many fees",
-    "Digital experience issues",
-    "Product not suitable",
-    "Peer recommendation",
-)
+# Fixed value: the default of the churn reason lookup.
 NO_CHURN_REASON = "N/A - Active Customer"
 
 # Mart labels.

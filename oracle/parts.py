@@ -449,14 +449,10 @@ def dim_date():
 
 
 def churn_reasons():
-    reasons = ["Better rates elsewhere", "Poor customer service", "Moved to another country",
-               "Too many fees", "Digital experience issues", "Product not suitable",
-               "Peer recommendation"]
-    pick = " ".join(f"WHEN {i} THEN '{r}'" for i, r in enumerate(reasons))
     return raw() + [("dimr", f"""SELECT row_number() OVER (
             ORDER BY "Exited" DESC, "CustomerId") AS churn_reason_sk,
             "CustomerId" AS customer_id, "Exited" AS churn_flag,
-            CASE WHEN "Exited" = 1 THEN CASE "CustomerId" % 7 {pick} END
+            CASE WHEN "Exited" = 1 THEN concat('Reason ', CAST("CustomerId" % 7 + 1 AS VARCHAR))
             ELSE 'N/A - Active Customer' END AS churn_reason,
             CASE WHEN "Exited" = 1 THEN (SELECT strftime(MAX(CAST(o_orderdate AS DATE)), '%Y-%m')
             FROM orders WHERE o_custkey = "CustomerId") END AS exit_month FROM raw""")]

@@ -18,6 +18,7 @@ def spark():
         "churnmart-tests", master="local[4]", shuffle_partitions=4,
         **{"spark.ui.enabled": "false", "spark.driver.memory": "4g",
            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="churnmart-tables-"),
+           "spark.checkpoint.dir": tempfile.mkdtemp(prefix="churnmart-tests-"),
            "spark.sql.maxMetadataStringLength": "10000", "spark.sql.debug.maxToStringFields": "500"},
     )
     session.sparkContext.setLogLevel("OFF")
