@@ -1,9 +1,14 @@
 """Session defaults and the shared folder for tables that cut lineage."""
 
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Paths written inside the innermost ``temporary_tables`` block.
+_written: ContextVar[list | None] = ContextVar("written", default=None)
+
 
 def build_session(app_name="churnmart", master=None, shuffle_partitions=None, **conf):
     """A session with the settings the library is tuned for.
@@ -48,7 +53,30 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     """A path nobody has written yet, below the shared folder."""
     app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/churnmart/{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/churnmart/{app}/{label}-{uuid.uuid4().hex}"
+    if (owned := _written.get()) is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Deletes, at its end, the tables that operators wrote inside the block.
+
+    Results are lazy: write or collect them inside the block. Without it the tables stay
+    until the shared folder's retention rule removes them.
+    """
+    paths: list = []
+    token = _written.set(paths)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        # No DataFrame call deletes files; the folder may be in any Hadoop file system.
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in map(hadoop.Path, paths):
+            path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str, partition_by=()) -> DataFrame:

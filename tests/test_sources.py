@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -137,3 +138,17 @@ def test_shared_folder_comes_from_the_session():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(_Session("yarn"))
     assert shared_dir(_Session("local[2]")) == "file:/tables"
+
+
+def test_temporary_tables_leave_nothing(spark, bank, folder):
+    from churnmart.plans.catalog import queries
+    from churnmart.session import new_path, temporary_tables
+
+    queries()["q3"](spark, folder).collect()  # the bank's own tables
+    root = os.path.dirname(new_path(spark, "probe"))
+    before = sorted(os.listdir(root))
+    for _ in range(2):
+        with temporary_tables(spark):
+            assert queries()["q3"](spark, folder).count() > 0
+            assert sorted(os.listdir(root)) != before
+        assert sorted(os.listdir(root)) == before
