@@ -87,3 +87,16 @@ def test_packed_pieces_hold_every_document(stages):
     assert set(pieces) == ids(before)
     for rows in pieces.values():
         assert sum(r.length for r in rows) == rows[0].doc_tokens
+
+
+def test_stages_keep_odd_rows(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [(None, "token=abcdefgh", "en", "s", 14, "x"), (1, None, "en", "s", 3, "x"), (2, "", None, None, None, "x"), (2, "", None, None, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, spans string")
+    out = {name: f(spark, docs, folder) for name, f in corpus_pipeline.STAGES}
+    assert out["toxicity"].count() == out["benchmark decontamination"].count() == 4
+    assert sorted(r.text or "" for r in out["simhash near-dedup"].collect()) == ["", "token=abcdefgh"]
+    masked = {(r.doc_id, r.text, r.n_chars, r.spans) for r in out["secret scans"].collect()}
+    assert masked == {(None, "[secret]", 8, "x"), (1, None, 3, "x"), (2, "", 0, "x")}
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), folder).count() == 0
