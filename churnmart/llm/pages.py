@@ -8,8 +8,8 @@ same on every page of a host, while its pages differ, are cut from each page, as
 whose own markup names them menus, adverts, forms and the like. Of the rest the article is
 taken, or everything if a page marks none.
 
-A host is never gathered: counts are partial aggregates, and a page meets the short list of
-its host's unimportant nodes in a join that AQE can split.
+A host is never gathered: counts are partial aggregates, and pages meet the short list of
+their host's unimportant nodes in a join that spreads the pages of large hosts.
 """
 
 import html as entities
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnmart.llm.common import arrow_map, id_type, slices, struct
+from churnmart.operators.joins import hot_keys, salted_join
 from churnmart.session import materialize
 
 # Weight of content against presentation, and the importance, as a share of that of the whole
@@ -240,7 +241,10 @@ def extract(pages: DataFrame) -> DataFrame:
     # The host is read with the same function on both sides of the join.
     host = F.udf(host_of, "string", useArrow=True)("url")
     rows = pages.select("page_id", "url", "html", host.alias("host"))
-    joined = rows.join(unimportant_nodes(pages), "host", "left").select("page_id", "url", "html", "paths")
+    # Pages of a host with more rows than a task should have are spread by their content.
+    hot = hot_keys(rows.select("host"), "host")[0]
+    joined = salted_join(rows, unimportant_nodes(pages), "host", F.xxhash64("url", "html"), hot=hot)
+    joined = joined.select("page_id", "url", "html", "paths")
     schema = struct(page_id=id_type(pages, "page_id"), url=T.StringType(), text=T.StringType(), n_chars=T.LongType())
 
     def task(batches):
