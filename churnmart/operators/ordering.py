@@ -116,10 +116,12 @@ def exact_quantiles(df: DataFrame, value: str, probabilities, keys=()) -> DataFr
         "*", F.floor(at).alias("__first"), F.ceil(at).alias("__last"),
         F.lit(0).cast("long").alias("__before"), F.col("__total").alias("__rows"),
     )
-    ranges = materialize(ranges, "ranges")
     left = None
     while True:
-        ranges = materialize(_narrowed(values, ranges, keys), "ranges")
+        ranges = _narrowed(values, ranges, keys)
+        # A few rows per key, written; without keys a few rows at all.
+        ranges = materialize(ranges, "ranges") if keys else df.sparkSession.createDataFrame(
+            ranges.collect(), ranges.schema)
         widest = ranges.where("__lo < __hi").agg(F.max("__rows")).first()[0] or 0
         # Values that arithmetic cannot tell apart end the search as well.
         if widest <= _SORTED or widest == left:

@@ -3,6 +3,8 @@
 Group keys that are NULL are left out here (marts keep them).
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from churnmart import constants as C
@@ -19,6 +21,10 @@ from churnmart.operators.ordering import exact_quantiles, unpivot_numeric
 from churnmart.session import materialize
 
 
+# Pairs of one aggregate: ten buffers each, and code is generated for up to a hundred.
+_PAIRS = 9
+
+
 def numeric_columns(df: DataFrame) -> list:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
@@ -173,9 +179,15 @@ def balance_segments(df: DataFrame) -> DataFrame:
 def correlations(df: DataFrame, pairs, digits: int) -> DataFrame:
     """Pearson correlation per pair, incomplete observations left out pair by pair.
 
-    All pairs are columns of one aggregate; no row is repeated.
+    No row is repeated: pairs are columns of wide aggregates, as many in one as its generated
+    code can hold.
     """
     pairs = list(pairs)
+    parts = [_correlations(df, pairs[i : i + _PAIRS], digits) for i in range(0, len(pairs), _PAIRS)]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _correlations(df: DataFrame, pairs, digits: int) -> DataFrame:
     both = [(col(a).cast("double"), col(b).cast("double")) for a, b in pairs]
     flat = df.agg(*[
         round_even(safe_corr(F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)), digits)

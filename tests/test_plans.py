@@ -34,7 +34,8 @@ def test_profiles_repeat_no_row(bank):
     from churnmart.operators import profile
 
     optimized = profile.correlation_matrix(bank.raw)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Generate" not in optimized.split("Aggregate", 1)[1]
+    below = [part.split("Relation")[0] for part in optimized.split("Aggregate [")[1:]]
+    assert below and all("Generate" not in part for part in below)
 
 
 def test_top_segments_do_not_sort_everything(bank):
