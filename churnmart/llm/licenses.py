@@ -1,12 +1,13 @@
 """License scan with a positional index of rare words.
 
 Templates are word sequences with mandatory key phrases. The index keeps, for each word of a
-template, its positions there. Document frequencies of the licence words, counted over all
-texts, rank them. For each file and template the two highest-IDF template words that the file
-has are looked up; their places minus their positions in the template are possible places of
-the template, and only places on which both words agree remain. There the key phrases must
-stand word by word, and the share of template words in place is the score. A place of a whole
-phrase has all its words, so it is always among those that remain.
+template's first key phrase, its positions there. Document frequencies of the licence words, counted over all
+texts, rank them. For each file and template the two highest-IDF words of that phrase are
+looked up; their places minus their positions there are possible places of the
+template, and only places on which both words agree remain. There the key phrases must stand
+word by word, and the share of template words in place is the score. A place where the key
+phrases stand has all their words, so it is always among those that remain, whatever the
+frequencies; the score is the confidence and rejects none of them.
 """
 
 import math
@@ -33,7 +34,8 @@ class Template:
     text: str
     # Word sequences of ``text`` that must stand in place; the whole text if none is named.
     phrases: tuple = ()
-    least: float = 0.7
+    # Least share of template words in place, besides the phrases.
+    least: float = 0.0
     base: bool = False
     words: list = field(init=False)
     musts: list = field(init=False)
@@ -46,7 +48,9 @@ class Template:
             part = words_of(phrase)
             at = next(i for i in range(len(self.words)) if self.words[i : i + len(part)] == part)
             self.musts.append((at, part))
-        self.places = {w: [i for i, x in enumerate(self.words) if x == w] for w in self.words}
+        # Positions in the template of the words of the first key phrase.
+        at, part = self.musts[0]
+        self.places = {w: [at + i for i, x in enumerate(part) if x == w] for w in part}
         self.needed = frozenset(w for _, part in self.musts for w in part)
 
 
@@ -100,14 +104,12 @@ class Scanner:
     def __init__(self, idf, templates=TEMPLATES):
         self.vocabulary = frozenset(w for t in templates for w in t.words)
         # Rarest first; equal ones by spelling.
-        self.ranked = [(t, sorted(t.places, key=lambda w: (-idf[w], w))) for t in templates]
+        self.ranked = [(t, sorted(t.places, key=lambda w: (-idf[w], w))[:2]) for t in templates]
 
     def __call__(self, words):
         """[(template, place, score)] for the words of a text."""
         have = self.vocabulary.intersection(words)
-        possible = [
-            (t, [w for w in ranked if w in have][:2]) for t, ranked in self.ranked if t.needed <= have
-        ]
+        possible = [(t, rare) for t, rare in self.ranked if t.needed <= have]
         if not possible:
             return []
         index = {w: [] for _, rare in possible for w in rare}

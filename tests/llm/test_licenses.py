@@ -56,3 +56,21 @@ def test_odd_rows(spark):
     got = lic.scan(df).collect()
     assert sorted(r.n_base for r in got) == [0, 1, 1, 1, 40_000]
     assert lic.scan(df.limit(0)).count() == 0
+
+
+def test_key_phrases_are_found_whatever_the_frequencies():
+    texts = {
+        "licensed under GNU General Public License version 3": "gpl-3.0",
+        "Apache License, Version 2.0": "apache-2.0",
+        "x Mozilla Public License y": "mpl-2.0",
+        "MIT license": "mit",
+        "CC BY-SA 4.0": "cc-by-sa-4.0",
+    }
+    words = sorted({w for t in lic.TEMPLATES for w in t.words})
+    for order in (words, words[::-1]):
+        scanner = lic.Scanner({w: float(i) for i, w in enumerate(order)})
+        for text, label in texts.items():
+            assert label in {t.label for t, _, _ in scanner(lic.words_of(text))}, text
+    for only in words:
+        scanner = lic.Scanner({w: float(w == only) for w in words})
+        assert "gpl-3.0" in {t.label for t, _, _ in scanner(lic.words_of("licensed under GNU General Public License version 3"))}
