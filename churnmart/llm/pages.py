@@ -42,6 +42,24 @@ _NOISE_NAMES = frozenset(
     "disqus footer login menu modal nav navbar navigation newsletter notice notices pager pagination popup promo recommended "
     "related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+# Names that are parts of pages in an article too; of the others the style tree decides there.
+_ADVERTS = frozenset("ad ads advert adverts advertisement advertising promo sponsor sponsored".split())
+_COMMENTS = frozenset("comment comments disqus".split())
+_SURE_NAMES = _ADVERTS | _COMMENTS | frozenset(
+    "breadcrumb breadcrumbs login modal nav navbar navigation newsletter pager pagination popup share sharing sidebar signup "
+    "social subscribe toolbar".split()
+)
+# Words beside such a name that make it no other thing; "has" or "open" would tell a state.
+_BESIDE = frozenset(
+    "area bar block bottom box button buttons col column container content footer form global group head inner item items "
+    "left link links list main message mobile outer page panel policy post primary right secondary section site slot text "
+    "thread top unit wrap wrapper".split()
+)
+# Elements that no name makes noise, and those that only the name of an advert does.
+_NEVER_NAMED = frozenset("article body h1 h2 h3 h4 h5 h6 html main".split())
+_CONTAINERS = frozenset(
+    "aside button center details dialog div dl fieldset figure footer form header menu nav ol section select table ul".split()
+)
 _NOISE_ROLES = frozenset("alert banner complementary contentinfo dialog form menu navigation search".split())
 _ENDS_AT_SAME = {"li": ("li",), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",)}
 _STOPS = frozenset("ul ol dl table tbody thead tfoot tr select menu".split())
@@ -55,7 +73,7 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)|<[a-z][^>]*\Z",
     re.S | re.I,
 )
-_NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_NAMED = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
@@ -67,19 +85,37 @@ class _Element:
         self.children, self.content = [], 0
 
 
-def _names(rest):
-    """(class text, whether class, id or role name noise) of the attributes of a tag."""
-    classes, noisy, header = "", False, False
+def _named(tokens, names):
+    """Whether a token is one of the names, alone or among words that only place it."""
+    for token in tokens:
+        parts = {p.lower() for p in _PARTS.findall(token) if not p.isdigit()}
+        if not parts.isdisjoint(names) and parts <= _NOISE_NAMES | _BESIDE | names:
+            return True
+    return False
+
+
+def _names(tag, rest, in_article):
+    """(class text, whether class, id or role name noise, or a header) of the attributes of a tag.
+
+    Only whole class and id tokens count. No name makes the page, its article or a heading
+    noise, and text inside a container only that of an advert. Ids in an article often
+    come from its headings: there they name adverts and comments only.
+    """
+    found = {"class": "", "id": "", "role": ""}
     for key, *values in _NAMED.findall(rest):
-        value = next((v for v in values if v), "")
-        parts = {p.lower() for p in _PARTS.findall(value)}
-        if key.lower() == "role":
-            noisy |= value.lower() in _NOISE_ROLES
-            continue
-        if key.lower() == "class":
-            classes = ".".join(sorted(value.lower().split()))
-        noisy |= not parts.isdisjoint(_NOISE_NAMES)
-        header |= bool(parts & {"header", "masthead"})
+        found[key.lower()] = next((v for v in values if v), "")
+    class_, id_ = found["class"].split(), found["id"].split()
+    classes = ".".join(sorted(found["class"].lower().split()))
+    if tag in _NEVER_NAMED:
+        return classes, False, False
+    if tag not in _CONTAINERS:
+        noisy = _named(class_, _ADVERTS)
+    elif in_article:
+        noisy = _named(class_, _SURE_NAMES) or _named(id_, _ADVERTS | _COMMENTS)
+    else:
+        noisy = _named(class_ + id_, _NOISE_NAMES)
+    noisy |= found["role"].lower() in _NOISE_ROLES
+    header = tag in _CONTAINERS and _named(class_ + id_, frozenset(("header", "masthead")))
     return classes, noisy, header
 
 
@@ -135,7 +171,7 @@ def read_page(source: str, unimportant=frozenset(), nodes=None) -> str:
                 close(depth)
             continue
         rest = token["rest"]
-        classes, noisy, header = _names(rest) if "=" in rest else ("", False, False)
+        classes, noisy, header = _names(tag, rest, stack[-1].article) if "=" in rest else ("", False, False)
         if not block and not noisy and tag not in _NOISE_TAGS:
             continue
         if block:

@@ -24,6 +24,18 @@ def test_one_page(source, text):
     assert pages.read_page(source) == text
 
 
+@pytest.mark.parametrize("source, text", [
+    ("<body class='single has-sidebar'><p>a</p><div class=sidebar>b</div></body>", "a"),
+    ("<main class='content nav-open'><p>a</p></main>", "a"), ("<article class='post comments-open'><p>a</p></article>", "a"),
+    ("<div class='content has-sidebar'><p>a</p></div><div class='cookie-notice'>b</div><div id='site-nav'>c</div>", "a"),
+    ("<article><h2 id='search'>a</h2><p id='related-work'>b <span class='notice'>c</span></p><section id='cookies'>d</section></article>", "a\nb c\nd"),
+    ("<article><p data-id='ad'>a</p><div class='share-buttons'>b</div><p>c <span class='ad'>d</span></p><div id='comments'>e</div></article>", "a\nc"),
+    ("<h1 class='page-header'>a</h1><div class='site-header'>b</div>", "a"), ("<html class='modal-open'><p>a</p></html>", "a"),
+])
+def test_names_mark_parts_and_no_states(source, text):
+    assert pages.read_page(source) == text
+
+
 def test_given_pages(spark, folder):
     rows = spark.read.parquet(f"{folder}/pages.parquet")
     got = {r.page_id: r for r in pages.extract(rows).collect()}
