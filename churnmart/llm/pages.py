@@ -25,8 +25,9 @@ from churnmart.operators.joins import hot_keys, salted_join
 from churnmart.session import materialize
 
 # Weight of content against presentation, and the importance, as a share of that of the whole
-# page, below which a branch goes. Nodes on fewer pages of a host are not judged.
-CONTENT_WEIGHT, UNIMPORTANT, LEAST_PAGES = 0.9, 0.1, 10
+# page, below which a branch goes. A node counts as seen on ``PRIOR`` more pages that differ:
+# little enough that a branch equal on two pages goes if these differ otherwise.
+CONTENT_WEIGHT, UNIMPORTANT, PRIOR = 0.9, 0.1, 0.15
 
 # Fixed values of HTML and of common class names.
 _BLOCKS = frozenset(
@@ -215,8 +216,10 @@ def _signed(x):
 
 
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """(host, path, shape, content, root): each node of each page, once per page."""
-    schema = struct(host=T.StringType(), path=T.LongType(), shape=T.LongType(), content=T.LongType(), root=T.BooleanType())
+    """(host, path, shape, content, root, page): each node of each page, once per page, with the page's content."""
+    schema = struct(
+        host=T.StringType(), path=T.LongType(), shape=T.LongType(), content=T.LongType(), root=T.BooleanType(), page=T.LongType()
+    )
 
     def task(batches):
         for batch in batches:
@@ -233,36 +236,50 @@ def style_nodes(pages: DataFrame) -> DataFrame:
                         merged[path] = (old[0] * 31 + shape) % (1 << 64), (old[1] * 31 + content) % (1 << 64)
                     # The page as a whole, against which its branches are measured.
                     whole = sum(content for _, content in merged.values()) % (1 << 64)
-                    rows.append((host, 0, 0, _signed(whole), True))
-                    rows += [(host, _signed(p), _signed(s), _signed(c), False) for p, (s, c) in merged.items()]
-                yield list(zip(*rows)) if rows else [[]] * 5
+                    page = _signed(whole)
+                    rows.append((host, 0, 0, page, True, page))
+                    rows += [(host, _signed(p), _signed(s), _signed(c), False, page) for p, (s, c) in merged.items()]
+                yield list(zip(*rows)) if rows else [[]] * 6
 
     return arrow_map(pages.select("url", "html"), schema, task)
 
 
 def importance(nodes: DataFrame) -> DataFrame:
-    """(host, path, root, pages, importance): entropies of a node's shapes and contents."""
+    """(host, path, root, pages, importance): entropies of a node's shapes and contents.
+
+    With a column ``page`` also ``differ``: whether the pages that have the node differ.
+    """
+    paged = "page" in nodes.columns
 
-    def spread(column):
-        counts = nodes.groupBy("host", "path", "root", column).agg(F.count("*").alias("n"))
+    def spread(column, *others):
+        ends = [x for o in others for x in (F.min(o).alias("low"), F.max(o).alias("high"))]
+        counts = nodes.groupBy("host", "path", "root", column).agg(F.count("*").alias("n"), *ends)
+        differ = [(F.min("low") < F.max("high")).alias("differ") for _ in others]
         return counts.groupBy("host", "path", "root").agg(
-            F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s")
-        ).select("host", "path", "root", "pages", F.when(
+            F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"), *differ
+        ).select("host", "path", "root", "pages", *(["differ"] if others else []), F.when(
             F.col("pages") > 1, (F.log("pages") - F.col("s") / F.col("pages")) / F.log("pages")
         ).otherwise(1.0).alias(column))
 
-    shape, content = spread("shape"), spread("content").drop("pages")
+    shape, content = spread("shape", *(["page"] if paged else [])), spread("content").drop("pages")
     weight = F.lit(CONTENT_WEIGHT)
     return shape.join(content, ["host", "path", "root"]).select(
-        "host", "path", "root", "pages", ((1 - weight) * F.col("shape") + weight * F.col("content")).alias("importance")
+        "host", "path", "root", "pages", *(["differ"] if paged else []),
+        ((1 - weight) * F.col("shape") + weight * F.col("content")).alias("importance"),
     )
 
 
 def unimportant_nodes(pages: DataFrame) -> DataFrame:
-    """(host, paths): the nodes to cut from the pages of a host."""
-    found = materialize(importance(style_nodes(pages)).where(F.col("pages") >= LEAST_PAGES), "importance")
+    """(host, paths): the nodes to cut from the pages of a host.
+
+    Every node on two or more pages is judged, unless those pages are copies: they cannot
+    tell what differs. One page of a host tells nothing either.
+    """
+    found = importance(style_nodes(pages)).where("pages > 1 AND differ")
+    found = materialize(found.drop("differ"), "importance")
     whole = found.where("root").select("host", F.col("importance").alias("whole"))
-    low = found.where("not root").join(whole, "host").where(F.col("importance") < UNIMPORTANT * F.col("whole"))
+    few = (F.col("importance") * F.col("pages") + PRIOR) / (F.col("pages") + PRIOR)
+    low = found.where("not root").join(whole, "host").where(few < UNIMPORTANT * F.col("whole"))
     return low.groupBy("host").agg(F.collect_list("path").alias("paths"))
 
 

@@ -59,6 +59,19 @@ def test_repeated_branches_of_a_site_go(spark):
     assert got[100] == "Welcome to us\nstory number 0\nCall us" and got[205] == "Welcome to us\nstory number same\nCall us"
 
 
+def test_small_hosts_are_judged_too(spark):
+    page = "<body><div class=top>Welcome</div><div class=text><p>story {0}</p></div><div class=low>Call us</div></body>"
+    rows = [(10 * n + i, f"http://h{n}.example/{i}", page.format(i)) for n in (2, 3, 9) for i in range(n)]
+    # Two copies and another page: the node that only the copies have tells nothing.
+    other = "<body><div class=top>Welcome</div><div class=kind>{0}</div></body>"
+    rows += [(500 + i, f"http://c.example/{i}", other.format("the same text").replace("kind", "kind-a")) for i in range(2)]
+    rows += [(502, "http://c.example/2", other.format("one more"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.extract(df).collect()}
+    assert all(got[10 * n + i] == f"story {i}" for n in (2, 3, 9) for i in range(n))
+    assert got[500] == got[501] == "the same text" and got[502] == "one more"
+
+
 def test_importance_is_entropy(spark):
     nodes = spark.createDataFrame(
         [("h", 1, 5, i, False) for i in range(8)] + [("h", 2, 5, 7, False)] * 8, "host string, path long, shape long, content long, root boolean"
