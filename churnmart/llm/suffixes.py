@@ -10,11 +10,14 @@ two occurrences of its anchor. An occurrence's context is the bytes of all its w
 2. Those contexts are sorted twice within each anchor, by what follows and by what precedes
    it. Two suffixes are compared by their longest common extension, found by binary search
    over prefix polynomial hashes, in a merge sort whose steps run on all suffixes at once;
-   the bytes of neighbours are compared at the end, so a collision cannot pass. Windows are
+   the bytes of neighbours are compared at the end, so a collision cannot pass here. Windows are
    equal if they lie in one class of both orders, at depths that add up to the window.
    An anchor with more than ``MOST_CONTEXTS`` contexts is not gathered: its windows are
    counted by hash over all tasks.
 3. Occurrences meet the outcome of their context in joins, and each text its intervals.
+
+Only the sorted contexts are verified by their bytes. Contexts that occur twice rest on a
+64-bit hash within that of their anchor, windows of crowded anchors on two 64-bit hashes.
 """
 
 import numpy as np
