@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnmart.llm import decontaminate, nearcopies, packing, secrets, toxicity
+from churnmart.llm import decontaminate, packing, secrets, simhash, toxicity
 from churnmart.llm.common import fresh_name, read_table, with_row_key
 
 
@@ -20,9 +20,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies (Jaccard of five-word shingles): that of the smallest id."""
+    """One document of each component of near copies by SimHash: that of the smallest id."""
     key = fresh_name(docs, "row_key")
-    return nearcopies.keep_one(with_row_key(docs, key, "documents"), key).drop(key)
+    return simhash.keep_one(with_row_key(docs, key, "documents"), key).drop(key)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
