@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from churnmart.llm import decontaminate, licenses, packing, pages, quality, secrets, simhash, suffixes, topk, toxicity
+from churnmart.llm import decontaminate, langid, licenses, packing, pages, quality, secrets, simhash, suffixes, topk, toxicity
 from churnmart.llm.common import read_table
 
 
@@ -49,5 +49,9 @@ def op7_suffixes(spark, sf_dir):
     return suffixes.digest(read_table(spark, sf_dir, "documents"))
 
 
+def op11_langid(spark, sf_dir):
+    return langid.predict(read_table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
