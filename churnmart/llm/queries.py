@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from churnmart.llm import decontaminate, langid, licenses, packing, pages, quality, secrets, simhash, suffixes, topk, toxicity
+from churnmart.llm import decontaminate, langid, licenses, merkle, packing, pages, quality, secrets, simhash, suffixes, topk, toxicity, whitening
 from churnmart.llm.common import read_table
 
 
@@ -53,5 +53,13 @@ def op11_langid(spark, sf_dir):
     return langid.predict(read_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle(spark, sf_dir):
+    return merkle.drill(read_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}

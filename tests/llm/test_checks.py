@@ -22,4 +22,4 @@ def test_query_equals_sql(spark, folder, name):
 
 
 def test_every_operator_is_registered_once():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
