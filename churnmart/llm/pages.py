@@ -8,6 +8,11 @@ same on every page of a host, while its pages differ, are cut from each page, as
 whose own markup names them menus, adverts, forms and the like. Of the rest the article is
 taken, or everything if a page marks none.
 
+Pages whose main blocks are equal (one article under two addresses) count as one page. The
+fewer pages a node is on, the smaller its part of the host and the larger its part of the
+text, the more equal pages it takes to cut it: see ``_prior``. An article, and what holds one,
+is never cut; a branch inside one only if it stands on most pages of its host.
+
 A host is never gathered: counts are partial aggregates, and pages meet the short list of
 their host's unimportant nodes in a join that spreads the pages of large hosts.
 """
@@ -26,8 +31,10 @@ from churnmart.session import materialize
 
 # Weight of content against presentation, and the importance, as a share of that of the whole
 # page, below which a branch goes. A node counts as seen on ``PRIOR`` more pages that differ:
-# little enough that a branch equal on two pages goes if these differ otherwise.
+# little enough that a branch equal on two pages goes if these differ otherwise. More are
+# added by its share of the text above ``LARGE_FROM``, and inside an article.
 CONTENT_WEIGHT, UNIMPORTANT, PRIOR = 0.9, 0.1, 0.15
+LARGE_FROM, LARGE_PRIOR, ARTICLE_PRIOR = 0.4, 4.0, 0.5
 
 # Fixed values of HTML and of common class names.
 _BLOCKS = frozenset(
@@ -63,6 +70,7 @@ _CONTAINERS = frozenset(
 )
 _NOISE_ROLES = frozenset("alert banner complementary contentinfo dialog form menu navigation search".split())
 _ENDS_AT_SAME = {"li": ("li",), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",)}
+_ARTICLES = frozenset(("article", "main"))
 _STOPS = frozenset("ul ol dl table tbody thead tfoot tr select menu".split())
 # Elements that are nodes of the style tree.
 _NODES = frozenset("article aside blockquote body details div dl figure footer form header main nav ol section table ul".split())
@@ -78,12 +86,18 @@ _NAMED = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|(
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
+def _digest(text):
+    import xxhash
+
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
+
+
 class _Element:
-    __slots__ = ("article", "children", "content", "noise", "path", "tag")
+    __slots__ = ("article", "children", "content", "holds", "noise", "path", "size", "tag")
 
     def __init__(self, tag, path, noise, article):
         self.tag, self.path, self.noise, self.article = tag, path, noise, article
-        self.children, self.content = [], 0
+        self.children, self.content, self.size, self.holds = [], 0, 0, tag in _ARTICLES
 
 
 def _named(tokens, names):
@@ -121,10 +135,12 @@ def _names(tag, rest, in_article):
 
 
 def read_page(source: str, unimportant=frozenset(), nodes=None) -> str:
-    """The main text of a page; ``nodes`` gets (path hash, children hash, content hash) of each node."""
-    import xxhash
+    """The main text of a page.
 
-    digest = lambda text: xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
+    ``nodes`` gets (path hash, children hash, content hash, characters outside noise, whether
+    it is or holds an article, whether it lies in one) of each node.
+    """
+    digest = _digest
     root = _Element("", 0, False, False)
     stack, open_text, blocks, in_article, marked = [root], [], [], [], False
     counted = nodes is not None
@@ -139,6 +155,7 @@ def read_page(source: str, unimportant=frozenset(), nodes=None) -> str:
                     mark = digest(text)
                     for element in stack:
                         element.content = (element.content * 31 + mark) % (1 << 64)
+                        element.size += 0 if top.noise else len(text)
                 if not top.noise:
                     (in_article if top.article else blocks).append(text)
 
@@ -146,7 +163,11 @@ def read_page(source: str, unimportant=frozenset(), nodes=None) -> str:
         while len(stack) > depth:
             element = stack.pop()
             if counted and element.tag in _NODES:
-                nodes.append((element.path, digest(" ".join(element.children)), element.content))
+                nodes.append((
+                    element.path, digest(" ".join(element.children)), element.content, element.size, element.holds, element.article,
+                ))
+            if stack:
+                stack[-1].holds |= element.holds
 
     at = 0
     for token in _TOKEN.finditer(source):
@@ -190,10 +211,10 @@ def read_page(source: str, unimportant=frozenset(), nodes=None) -> str:
         name = f"{tag}.{classes}" if classes else tag
         above.children.append(name)
         path = digest(f"{above.path}/{name}") if tag in _NODES else above.path
-        article = above.article or tag in ("article", "main")
+        article = above.article or tag in _ARTICLES
         noise = (
             above.noise or noisy or tag in _NOISE_TAGS or (not above.article and (tag == "header" or header))
-            or (tag in _NODES and path in unimportant)
+            or (tag in _NODES and tag not in _ARTICLES and path in unimportant)
         )
         marked |= article and not noise
         stack.append(_Element(tag, path, noise, article))
@@ -215,10 +236,21 @@ def _signed(x):
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
+def page_mark(text: str) -> int:
+    """Hash of the blocks at least half as long as the longest: short ones (a counter, a date) do not tell pages apart."""
+    blocks = text.split("\n")
+    least = max(map(len, blocks)) / 2
+    return _digest("\n".join(b for b in blocks if len(b) >= least))
+
+
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """(host, path, shape, content, root, page): each node of each page, once per page, with the page's content."""
+    """One row per host, path and differing page: shape, content, share of the text, and the place to articles.
+
+    The row with ``root`` stands for the page as a whole, against which its branches are measured.
+    """
     schema = struct(
-        host=T.StringType(), path=T.LongType(), shape=T.LongType(), content=T.LongType(), root=T.BooleanType(), page=T.LongType()
+        host=T.StringType(), path=T.LongType(), root=T.BooleanType(), page=T.LongType(), shape=T.LongType(), content=T.LongType(),
+        share=T.DoubleType(), holds=T.BooleanType(), inside=T.BooleanType(),
     )
 
     def task(batches):
@@ -229,57 +261,78 @@ def style_nodes(pages: DataFrame) -> DataFrame:
                     if not (host := host_of(url)):
                         continue
                     nodes = []
-                    read_page(source or "", nodes=nodes)
+                    text = read_page(source or "", nodes=nodes)
+                    mark, all_ = _signed(page_mark(text)), max(1, sum(map(len, text.split("\n"))))
                     merged = {}
-                    for path, shape, content in nodes:
-                        old = merged.get(path, (0, 0))
-                        merged[path] = (old[0] * 31 + shape) % (1 << 64), (old[1] * 31 + content) % (1 << 64)
-                    # The page as a whole, against which its branches are measured.
-                    whole = sum(content for _, content in merged.values()) % (1 << 64)
-                    page = _signed(whole)
-                    rows.append((host, 0, 0, page, True, page))
-                    rows += [(host, _signed(p), _signed(s), _signed(c), False, page) for p, (s, c) in merged.items()]
-                yield list(zip(*rows)) if rows else [[]] * 6
-
-    return arrow_map(pages.select("url", "html"), schema, task)
+                    for path, shape, content, size, holds, inside in nodes:
+                        old = merged.get(path, (0, 0, 0, False, False))
+                        merged[path] = (
+                            (old[0] * 31 + shape) % (1 << 64), (old[1] * 31 + content) % (1 << 64),
+                            old[2] + size, old[3] or holds, old[4] or inside,
+                        )
+                    rows.append((host, 0, True, mark, 0, mark, 1.0, True, False))
+                    rows += [
+                        (host, _signed(p), False, mark, _signed(s), _signed(c), min(1.0, n / all_), h, i)
+                        for p, (s, c, n, h, i) in merged.items()
+                    ]
+                yield list(zip(*rows)) if rows else [[]] * 9
+
+    seen = arrow_map(pages.select("url", "html"), schema, task)
+    one = F.max(F.struct("shape", "content", "share", "holds", "inside")).alias("one")
+    return seen.groupBy("host", "path", "root", "page").agg(one).select("host", "path", "root", "page", "one.*")
 
 
 def importance(nodes: DataFrame) -> DataFrame:
     """(host, path, root, pages, importance): entropies of a node's shapes and contents.
 
-    With a column ``page`` also ``differ``: whether the pages that have the node differ.
+    Of the columns share, holds and inside, where there are any, also the mean and the largest.
     """
-    paged = "page" in nodes.columns
+    more = [c for c in ("share", "holds", "inside") if c in nodes.columns]
 
-    def spread(column, *others):
-        ends = [x for o in others for x in (F.min(o).alias("low"), F.max(o).alias("high"))]
-        counts = nodes.groupBy("host", "path", "root", column).agg(F.count("*").alias("n"), *ends)
-        differ = [(F.min("low") < F.max("high")).alias("differ") for _ in others]
+    def spread(column, others=()):
+        found = [F.sum(c).alias(c) if c == "share" else F.max(c).alias(c) for c in others]
+        counts = nodes.groupBy("host", "path", "root", column).agg(F.count("*").alias("n"), *found)
         return counts.groupBy("host", "path", "root").agg(
-            F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"), *differ
-        ).select("host", "path", "root", "pages", *(["differ"] if others else []), F.when(
+            F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"), *found
+        ).select("host", "path", "root", "pages", *[
+            (F.col(c) / F.col("pages") if c == "share" else F.col(c)).alias(c) for c in others
+        ], F.when(
             F.col("pages") > 1, (F.log("pages") - F.col("s") / F.col("pages")) / F.log("pages")
         ).otherwise(1.0).alias(column))
 
-    shape, content = spread("shape", *(["page"] if paged else [])), spread("content").drop("pages")
+    shape, content = spread("shape", more), spread("content").drop("pages")
     weight = F.lit(CONTENT_WEIGHT)
     return shape.join(content, ["host", "path", "root"]).select(
-        "host", "path", "root", "pages", *(["differ"] if paged else []),
+        "host", "path", "root", "pages", *more,
         ((1 - weight) * F.col("shape") + weight * F.col("content")).alias("importance"),
     )
 
 
+def _prior():
+    """On how many more, differing, pages a node counts as seen.
+
+    Without spread, a node goes when its pages are over nine times as many: two pages for a
+    small branch that all pages of a host have, ten for one that few have, twenty for one
+    that is almost the whole text.
+    """
+    return (
+        PRIOR
+        + (1 - F.col("pages") / F.col("all_pages"))
+        + LARGE_PRIOR * F.greatest(F.col("share") - LARGE_FROM, F.lit(0.0))
+        + F.when(F.col("inside"), ARTICLE_PRIOR).otherwise(0.0)
+    )
+
+
 def unimportant_nodes(pages: DataFrame) -> DataFrame:
     """(host, paths): the nodes to cut from the pages of a host.
 
-    Every node on two or more pages is judged, unless those pages are copies: they cannot
-    tell what differs. One page of a host tells nothing either.
+    Every node on two or more pages that differ is judged. One page of a host tells nothing.
     """
-    found = importance(style_nodes(pages)).where("pages > 1 AND differ")
-    found = materialize(found.drop("differ"), "importance")
-    whole = found.where("root").select("host", F.col("importance").alias("whole"))
-    few = (F.col("importance") * F.col("pages") + PRIOR) / (F.col("pages") + PRIOR)
-    low = found.where("not root").join(whole, "host").where(few < UNIMPORTANT * F.col("whole"))
+    found = materialize(importance(materialize(style_nodes(pages), "nodes")).where("pages > 1"), "importance")
+    whole = found.where("root").select("host", F.col("importance").alias("whole"), F.col("pages").alias("all_pages"))
+    few = (F.col("importance") * F.col("pages") + _prior()) / (F.col("pages") + _prior())
+    free = ~F.col("holds") & (~F.col("inside") | (2 * F.col("pages") > F.col("all_pages")))
+    low = found.where("not root").join(whole, "host").where(free & (few < UNIMPORTANT * F.col("whole")))
     return low.groupBy("host").agg(F.collect_list("path").alias("paths"))
 
 

@@ -62,7 +62,7 @@ def test_repeated_branches_of_a_site_go(spark):
 def test_small_hosts_are_judged_too(spark):
     page = "<body><div class=top>Welcome</div><div class=text><p>story {0}</p></div><div class=low>Call us</div></body>"
     rows = [(10 * n + i, f"http://h{n}.example/{i}", page.format(i)) for n in (2, 3, 9) for i in range(n)]
-    # Two copies and another page: the node that only the copies have tells nothing.
+    # Two copies and another page: the copies are one page, and few have their node.
     other = "<body><div class=top>Welcome</div><div class=kind>{0}</div></body>"
     rows += [(500 + i, f"http://c.example/{i}", other.format("the same text").replace("kind", "kind-a")) for i in range(2)]
     rows += [(502, "http://c.example/2", other.format("one more"))]
@@ -72,6 +72,44 @@ def test_small_hosts_are_judged_too(spark):
     assert got[500] == got[501] == "the same text" and got[502] == "one more"
 
 
+def extracted(spark, rows):
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    return [r.text for r in pages.extract(df).orderBy("page_id").collect()]
+
+
+@pytest.mark.parametrize("story", [
+    "<article><h1>Head</h1><p>a long story of some words</p></article>", "<main><h1>Head</h1><p>a long story of some words</p></main>",
+    "<div class=top><h1>Head</h1></div><div class=story><p>a long story of some words</p></div>",
+])
+def test_one_article_under_two_addresses(spark, story):
+    page = "<body>{0}<div class=count>visits {1}</div></body>"
+    got = extracted(spark, [(f"http://x.example/a{q}", page.format(story, n)) for n, q in enumerate(("", "?print=1"))])
+    assert all(t.startswith("Head\na long story of some words") for t in got)
+
+
+@pytest.mark.parametrize("same, hosts_pages", [
+    ("<blockquote><p>to be or not</p></blockquote>", 30), ("<ul><li>flour<li>eggs</ul>", 2), ("<ul><li>flour<li>eggs</ul>", 7),
+])
+@pytest.mark.parametrize("box", ["article", "main"])
+def test_what_two_articles_share_stays(spark, same, hosts_pages, box):
+    page = f"<body><div class=low>Call us</div><{box}><h1>Head {{0}}</h1><p>story number {{0}} of this site</p>{{1}}</{box}></body>"
+    got = extracted(spark, [(f"http://x.example/{i}", page.format(i, same if i < 2 else "")) for i in range(hosts_pages)])
+    words = "to be or not" if "quote" in same else "flour\neggs"
+    assert got[0] == f"Head 0\nstory number 0 of this site\n{words}" and got[1].endswith(words)
+
+
+def test_repeats_inside_articles_go_if_most_pages_have_them(spark):
+    page = "<body><article><h1>Head {0}</h1><p>story number {0} of this site</p><div class=k>Read on, dear reader</div></article></body>"
+    got = extracted(spark, [(f"http://x.example/{i}", page.format(i)) for i in range(12)])
+    assert got == [f"Head {i}\nstory number {i} of this site" for i in range(12)]
+
+
+def test_what_holds_an_article_is_never_cut(spark):
+    page = "<body><div class=w><section><main><p>same text</p></main></section></div><div class=n>{0}</div></body>"
+    got = extracted(spark, [(f"http://x.example/{i}", page.format("other words here %d" % i)) for i in range(30)])
+    assert got == ["same text"] * 30
+
+
 def test_importance_is_entropy(spark):
     nodes = spark.createDataFrame(
         [("h", 1, 5, i, False) for i in range(8)] + [("h", 2, 5, 7, False)] * 8, "host string, path long, shape long, content long, root boolean"
