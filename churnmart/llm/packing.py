@@ -7,7 +7,8 @@ When nothing fits whole, the best example is cut to close the gap, if cutting is
 
 Packing needs no shuffle: each task packs the rows of its input split through a bounded
 pool, so memory is a batch of texts plus the pool. A task that runs again reads the same
-split and gives the same rows. Padding can only be left at the end of a task.
+split and gives the same rows. A sequence that the limit of segments or of loss-bearing tokens
+ends early, and the last one of a task, becomes several whose lengths are powers of two.
 """
 
 import base64
@@ -77,7 +78,8 @@ class Packer:
                 break
             if not self.cut:
                 raise ValueError(f"an example of {tokens} tokens is over the limits {self.limits}")
-            self.closed.append([(example, start, length)])
+            whole = [(example, start, length)]
+            self.closed.extend([whole] if length == self.limits[0] else _powers_of_two(whole))
             start += length
             if start == tokens:
                 return
@@ -87,9 +89,7 @@ class Packer:
 
     def finish(self):
         self._place()
-        if self.open:
-            self.closed.extend(_powers_of_two(self.open) if self.cut else [self.open])
-        self.open, self.left = [], self.limits.copy()
+        self._close()
 
     @staticmethod
     def _need(start, tokens, loss_from):
@@ -134,15 +134,17 @@ class Packer:
             self._close()
 
     def _close(self):
+        """Ends the open sequence. One that another limit than that of tokens ended is cut to lengths without padding."""
         if self.open:
-            self.closed.append(self.open)
+            short = self.cut and self.left[0] >= 1
+            self.closed.extend(_powers_of_two(self.open) if short else [self.open])
         self.open, self.left = [], self.limits.copy()
 
 
 def _powers_of_two(pieces):
     """The pieces of an unfilled sequence as sequences whose lengths are powers of two.
 
-    Such lengths need no padding; there are at most log2 of the limit, once per task.
+    Such lengths need no padding; there are at most log2 of the limit.
     """
     total, out, room = sum(p[2] for p in pieces), [], 0
     for example, start, length in pieces:
@@ -171,6 +173,7 @@ def pack(
     """Every example of ``df`` in sequences of at most ``max_tokens`` tokens, one row per piece.
 
     ``prompt_col`` names a text before ``text_col`` that bears no loss (instruction data).
+    Without ``max_segments`` or ``max_loss_tokens`` only tokens limit a sequence.
     Rows: the id, ``start`` and ``length`` in the example, ``ids_crc32`` of its ids,
     ``doc_tokens``, ``loss_tokens`` of the piece, ``sequence_id`` and ``offset`` there.
 
@@ -178,7 +181,7 @@ def pack(
     rows are packed like any other, each row for itself. Long texts become full sequences and
     a rest. An empty table gives no rows. Other columns are not read.
     """
-    limits = (max_tokens, max_segments, max_loss_tokens or max_tokens)
+    limits = (max_tokens, max_segments or max_tokens, max_loss_tokens or max_tokens)
     schema = struct(
         **{id_col: id_type(df, id_col)},
         start=T.LongType(), length=T.LongType(), ids_crc32=T.LongType(), doc_tokens=T.LongType(),

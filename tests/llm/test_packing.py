@@ -78,6 +78,26 @@ def test_all_three_limits_hold():
     assert placed == {n: t for n, (t, _) in asked.items()}
 
 
+def test_short_texts_leave_no_padding(spark, tokenizer):
+    rng = random.Random(4)
+    texts = {n: " ".join(rng.choice(("a", "the", "of", "no")) for _ in range(rng.randint(0, 8))) for n in range(20_000)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    lengths = check(packing.pack(df, RANKS).collect(), texts, tokenizer)
+    padded = sum(n if n & (n - 1) == 0 else 2048 for n in lengths)
+    assert sum(lengths) > 0.99 * padded
+    whole = packing.pack(df.limit(3000).coalesce(1), RANKS, max_segments=None).groupBy("sequence_id").sum("length").collect()
+    assert max(r[1] for r in whole) == 2048
+
+
+def test_a_loss_limit_leaves_no_padding():
+    packer = packing.Packer((128, 100, 50))
+    for n in range(40):
+        packer.add(n, 90 + n)
+    packer.finish()
+    lengths = [sum(p[2] for p in s) for s in packer.closed]
+    assert sum(lengths) == sum(range(90, 130)) and all(n & (n - 1) == 0 for n in lengths)
+
+
 def test_without_cutting_examples_stay_whole():
     packer = packing.Packer((100, 10, 100), cut=False)
     for n in (60, 40, 50, 50, 30, 30, 40):
