@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from churnmart import constants as C
 from churnmart.functions.exprs import clip, col, round_even, strip_ws, title_case
-from churnmart.operators.ordering import exact_quantiles, modes, unpivot_numeric
+from churnmart.operators.ordering import modes, wide_quantiles
 
 MEDIAN_FILLED = ("CreditScore", "EstimatedSalary", "Age", "Tenure")
 WHOLE_MEDIAN_FILLED = ("Age", "Tenure")
@@ -34,10 +34,7 @@ class Caps:
 def fit_fill_values(df: DataFrame) -> FillValues:
     """Medians and modes over all rows, duplicates included (imputation precedes dedup)."""
     values = {"Balance": 0.0}
-    medians = exact_quantiles(
-        unpivot_numeric(df, MEDIAN_FILLED), "value", [0.5], ["column"]
-    )
-    for row in medians.collect():
+    for row in wide_quantiles(df, MEDIAN_FILLED, [0.5]).collect():
         values[row["column"]] = int(row.q0) if row["column"] in WHOLE_MEDIAN_FILLED else row.q0
     for row in modes(df, MODE_FILLED).collect():
         values[row["column"]] = row.text if row.number is None else int(row.number)
@@ -86,9 +83,7 @@ def standardize(df: DataFrame) -> DataFrame:
 
 def fit_caps(df: DataFrame) -> Caps:
     """1st and 99th percentile of each capped column, exact."""
-    found = exact_quantiles(
-        unpivot_numeric(df, C.CAPPED_COLUMNS), "value", C.CAP_PROBABILITIES, ["column"]
-    )
+    found = wide_quantiles(df, C.CAPPED_COLUMNS, C.CAP_PROBABILITIES)
     return Caps({row["column"]: (row.q0, row.q1) for row in found.collect()})
 
 

@@ -7,6 +7,8 @@ partitions before it. Sampled range bounds may differ between executions, theref
 placement is written once and everything after reads the written table.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from churnmart.functions.exprs import col, quoted
@@ -15,7 +17,10 @@ from churnmart.session import materialize
 _POS, _PART, _IDX, _SEQ = "__pos", "__part", "__idx", "__seq"
 # Layout of monotonically_increasing_id (partition above, row below).
 _ROW_BITS = 33
-# Cells a range of values is cut into per round, and the rows of a range that is sorted.
+# One over the error of the sketch of a column, and how far from a quantile its bracket ends.
+_ACCURACY = 10_000
+_NEAR, _FAR, _FEW = 2.5 / _ACCURACY, 0.02, 200
+# Cells a bracket is cut into if it holds more different values than are sorted.
 _CELLS, _SORTED = 1024, 100_000
 
 
@@ -96,105 +101,207 @@ def surrogate_key(df: DataFrame, name: str, order, start=0) -> DataFrame:
 def exact_quantiles(df: DataFrame, value: str, probabilities, keys=()) -> DataFrame:
     """Exact linear-interpolated quantiles ``q0, q1, ...`` of ``value`` per key, and ``n``.
 
-    Built-in ``percentile`` keeps every distinct value of a group in one buffer. This cuts
-    the range that holds a wanted position into cells, counts the cells in parallel, and
-    goes on with the cell of the position until few rows are left in it; only those are
-    sorted. Rows are counted, never moved. NULL values are left out.
+    Without keys there is one row, of NULLs if there are no values. See ``wide_quantiles``.
     """
-    keys = list(keys)
-    by_key = quoted(keys)
-    values = df.where(col(value).isNotNull()).select(*by_key, col(value).cast("double").alias("__v"))
-    each = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("__i"), F.lit(float(p)).alias("__p"))
-        for i, p in enumerate(probabilities)
-    ])).alias("__e")
-    at = F.col("__p") * (F.col("__total") - 1).cast("double")
-    whole = values.groupBy(*by_key).agg(
-        F.count(F.lit(1)).alias("__total"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
-    ).where("__total > 0")
-    ranges = whole.select("*", each).select(*by_key, "__total", "__lo", "__hi", "__e.*").select(
-        "*", F.floor(at).alias("__first"), F.ceil(at).alias("__last"),
-        F.lit(0).cast("long").alias("__before"), F.col("__total").alias("__rows"),
-    )
-    left = None
+    found = wide_quantiles(df, [value], probabilities, keys).drop("column")
+    if keys:
+        return found
+    return found.agg(*[F.max(c).alias(c) for c in found.columns])
+
+
+def wide_quantiles(df: DataFrame, columns, probabilities, keys=(), statistics=None) -> DataFrame:
+    """Exact linear-interpolated quantiles of many columns, one row per key and column.
+
+    Built-in ``percentile`` keeps every distinct value of a group in one buffer. Here one pass
+    fills a mergeable sketch per column, whose error is bounded: it gives two values with the
+    wanted positions between them. The second pass counts what lies below and keeps only the
+    values in between, a few in ten thousand; their counts are sorted. No row is repeated and
+    no value outside a bracket leaves the scan. Should a bracket turn out to miss its position,
+    its pass is done again from the smallest to the largest value.
+
+    Result: the keys, column, ``n``, the aggregates that ``statistics`` (a function of a
+    column) names, computed in the first pass, and ``q0, q1, ...``. NULL values are left out,
+    NaN is larger than any number; columns without values have no row.
+    """
+    keys, columns, probabilities = list(keys), list(columns), [float(p) for p in probabilities]
+    values = df.select(*quoted(keys), *[col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(columns)])
+    summary = materialize(_sketched(values, columns, probabilities, keys, statistics or (lambda v: {})), "summary")
+    wanted = _wanted(summary, columns, probabilities, keys)
+    widened = False
     while True:
-        ranges = _narrowed(values, ranges, keys)
-        # A few rows per key, written; without keys a few rows at all.
-        ranges = materialize(ranges, "ranges") if keys else df.sparkSession.createDataFrame(
-            ranges.collect(), ranges.schema)
-        widest = ranges.where("__lo < __hi").agg(F.max("__rows")).first()[0] or 0
+        brackets = _brackets(summary, columns, probabilities, keys, widened)
+        entries = materialize(_entries(values, brackets, len(probabilities), keys), "entries")
+        widest, missed = _widest(entries, wanted, keys)
+        if not missed:
+            break
+        widened = True
+    while widest > _SORTED:
+        entries, before = materialize(_thinned(entries, wanted, keys), "entries"), widest
+        widest, _ = _widest(entries, wanted, keys)
         # Values that arithmetic cannot tell apart end the search as well.
-        if widest <= _SORTED or widest == left:
+        if widest == before:
             break
-        left = widest
-    inside = _in_range(values, ranges, keys)
-    target = [*by_key, "__i", "__p", "__total", "__first", "__last", "__before"]
-    counted = inside.groupBy(*target, "__v").agg(F.count(F.lit(1)).alias("__n"))
-    upto = F.col("__before") + F.sum("__n").over(
-        Window.partitionBy(*by_key, "__i").orderBy("__v"))
-    placed = counted.withColumn("__upto", upto)
+    return _interpolated(entries, wanted, len(probabilities), keys)
 
-    def value_at(position):
-        covers = (F.col(position) < F.col("__upto")) & (F.col(position) >= F.col("__upto") - F.col("__n"))
-        return F.max(F.when(covers, F.col("__v")))
 
-    picked = placed.groupBy(*by_key, "__i", "__p", "__total", "__first").agg(
-        value_at("__first").alias("__low"), value_at("__last").alias("__high")
+def _sketched(values, columns, probabilities, keys, statistics):
+    """One row per key with a struct per column: count, ends, values around the quantiles, statistics."""
+    around = [min(max(p + s, 0.0), 1.0) for p in probabilities for s in (-_NEAR, _NEAR, -_FAR, _FAR)]
+
+    def all_of(v):
+        named = {"__n": F.count(v), "__least": F.min(v), "__most": F.max(v),
+                 "__around": F.percentile_approx(v, around, _ACCURACY), **statistics(v)}
+        return F.struct(*[e.alias(name) for name, e in named.items()])
+
+    return values.groupBy(*quoted(keys)).agg(*[
+        all_of(F.col(f"__v{i}")).alias(f"__c{i}") for i in range(len(columns))
+    ])
+
+
+def _brackets(summary, columns, probabilities, keys, widened):
+    """Per key the lower and upper ends, ``__lo`` and ``__hi``, of column 0 probability 0, 1, ..., column 1 ...
+
+    Near ends where the values are many enough for the sketch's error and rounding to fit in
+    between, far ones for fewer, the smallest and largest value for few.
+    """
+    def end(i, number, p, side):
+        c, outer = f"__c{i}", "__most" if side else "__least"
+        if widened:
+            return F.col(f"{c}.{outer}")
+
+        def at(reach, offset):
+            beyond = p + reach >= 1 if side else p - reach <= 0
+            return F.col(f"{c}.{outer}") if beyond else F.col(f"{c}.__around")[4 * number + offset + side]
+
+        n = F.col(f"{c}.__n")
+        return F.when(n >= 2 * _ACCURACY, at(_NEAR, 0)).when(n >= _FEW, at(_FAR, 2)).otherwise(F.col(f"{c}.{outer}"))
+
+    every = [(i, number, p) for i in range(len(columns)) for number, p in enumerate(probabilities)]
+    return summary.select(*quoted(keys), *[
+        F.array(*[end(*one, side) for one in every]).alias(name) for side, name in enumerate(("__lo", "__hi"))
+    ])
+
+
+def _entries(values, brackets, per_column, keys):
+    """(keys, __j, __v, __n): counts of the values in each bracket, ends included; NULL: how many are below.
+
+    A task folds its rows into one row of counts and the few values strictly inside.
+    """
+    if keys:
+        renamed = brackets.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+        match = reduce(lambda a, b: a & b, [col(k).eqNullSafe(F.col(f"`__r_{k}`")) for k in keys])
+        both = values.join(renamed, match)
+    else:
+        ends = brackets.select(F.struct("__lo", "__hi")).scalar()
+        both = values.withColumn("__ends", ends).select("*", "__ends.*").drop("__ends")
+    part = both.withColumn("__task", F.spark_partition_id())
+    lanes = [
+        (j, F.col(f"__v{j // per_column}"), F.col("__lo")[j], F.col("__hi")[j])
+        for j in range((len(values.columns) - len(keys)) * per_column)
+    ]
+    inside = F.filter(
+        F.array(*[F.struct(F.lit(j).alias("__j"), F.when((v > lo) & (v < hi), v).alias("__v"), F.lit(1).cast("long").alias("__n"))
+                  for j, v, lo, hi in lanes]),
+        lambda x: x["__v"].isNotNull(),
     )
-    low, high, weight = F.col("__low"), F.col("__high"), at - F.col("__first")
-    # Interpolate from the nearer end, so that an exact hit stays exact.
-    from_low = low + (high - low) * weight
-    from_high = high - (high - low) * (F.lit(1.0) - weight)
-    found = F.when(weight >= 0.5, from_high).otherwise(from_low)
-    return picked.groupBy(*by_key).agg(
-        F.max("__total").alias("n"),
-        *[F.max(F.when(F.col("__i") == i, found)).alias(f"q{i}") for i in range(len(probabilities))],
+    counts = F.array(*[
+        F.struct(F.lit(j).alias("__j"), end.alias("__v"), F.count_if(where).alias("__n"))
+        for j, v, lo, hi in lanes
+        for end, where in (
+            (F.lit(None).cast("double"), v < lo),
+            (F.any_value(lo), v == lo),
+            (F.any_value(hi), (v == hi) & (hi > lo)),
+        )
+    ])
+    folded = part.groupBy(*quoted(keys), "__task").agg(
+        F.concat(counts, F.flatten(F.collect_list(F.when(F.size(inside) > 0, inside)))).alias("__all")
+    )
+    each = folded.select(*quoted(keys), F.inline(F.filter("__all", lambda x: x["__n"] > 0)))
+    return each.groupBy(*quoted(keys), "__j", "__v").agg(F.sum("__n").alias("__n"))
+
+
+def _wanted(summary, columns, probabilities, keys):
+    """(keys, __j, column, __i, __p, n, statistics, __first, __last): the positions of each quantile."""
+    named = [f.name for f in summary.schema["__c0"].dataType if f.name not in ("__n", "__least", "__most", "__around")]
+    rows = [
+        F.struct(
+            F.lit(i * len(probabilities) + number).alias("__j"), F.lit(c).alias("column"), F.lit(number).alias("__i"),
+            F.lit(p).alias("__p"), F.col(f"__c{i}.__n").alias("n"),
+            F.struct(*([F.col(f"__c{i}.{name}") for name in named] or [F.lit(0).alias("__none")])).alias("__stats"),
+        )
+        for i, c in enumerate(columns) for number, p in enumerate(probabilities)
+    ]
+    at = F.col("__p") * (F.col("n") - 1).cast("double")
+    return summary.select(*quoted(keys), F.inline(F.array(*rows))).where("n > 0").select(
+        "*", F.floor(at).alias("__first"), F.ceil(at).alias("__last")
     )
 
 
-def _in_range(values: DataFrame, ranges: DataFrame, keys) -> DataFrame:
-    """The values of each range; ``ranges`` is a written table of a few rows per key."""
-    renamed = ranges.select(*[col(k).alias(f"__r_{k}") for k in keys],
-                            *[c for c in ranges.columns if c not in keys])
-    match = (F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi"))
-    if not keys:
-        # One row per probability.
-        rows = [F.struct(*[F.lit(r[c]).alias(c) for c in ranges.columns]) for r in ranges.collect()]
-        literals = F.array(*rows) if rows else F.array(F.struct(*[
-            F.lit(None).cast(ranges.schema[c].dataType).alias(c) for c in ranges.columns]))
-        return values.select("*", F.inline(literals)).where(match)
+def _on_bracket(left, right, keys, how="inner"):
+    """Join by key (NULL is one) and bracket; both sides have a few rows per key."""
+    renamed = right.withColumnsRenamed({c: f"__r_{c}" for c in [*keys, "__j"]})
+    match = F.col("__j") == F.col("__r___j")
     for k in keys:
         match = match & col(k).eqNullSafe(F.col(f"`__r_{k}`"))
-    return values.join(renamed, match).drop(*[f"__r_{k}" for k in keys])
+    return left.join(renamed, match, how).drop(*[f"__r_{c}" for c in [*keys, "__j"]])
 
 
-def _narrowed(values: DataFrame, ranges: DataFrame, keys) -> DataFrame:
-    """Each range cut down to the cells that hold its wanted positions."""
-    lo, hi, v = F.col("__lo"), F.col("__hi"), F.col("__v")
+def _widest(entries, wanted, keys):
+    """The most entries of a bracket, and how many brackets miss their positions."""
+    held = entries.groupBy(*quoted(keys), "__j").agg(
+        F.count("__v").alias("__values"), F.sum("__n").alias("__upto"),
+        F.coalesce(F.sum(F.when(F.col("__v").isNull(), F.col("__n"))), F.lit(0)).alias("__below"),
+    )
+    missed = F.col("__upto").isNull() | (F.col("__below") > F.col("__first")) | (F.col("__upto") <= F.col("__last"))
+    found = _on_bracket(wanted, held, keys, "left").agg(F.max("__values"), F.count_if(missed)).first()
+    return found[0] or 0, found[1]
+
+
+def _thinned(entries, wanted, keys):
+    """The entries of each bracket in those of ``_CELLS`` equal cells that hold its positions."""
+    v, lo, hi = F.col("__v"), F.col("__lo"), F.col("__hi")
+    ends = entries.groupBy(*quoted(keys), "__j").agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     # Halves, so that no difference of two doubles overflows.
     share = F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2)
     cell = F.coalesce(F.least(F.floor(F.nanvl(share, F.lit(0.0)) * _CELLS), F.lit(_CELLS - 1)), F.lit(0))
-    target = [*quoted(keys), "__i", "__p", "__total", "__first", "__last", "__before"]
-    cells = _in_range(values, ranges, keys).groupBy(*target, cell.alias("__cell")).agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
-    )
-    # At most _CELLS rows per range.
-    upto = F.sum("__n").over(Window.partitionBy(*quoted(keys), "__i").orderBy("__cell"))
-    placed = cells.withColumn("__upto", F.col("__before") + upto).withColumn(
-        "__from", F.col("__upto") - F.col("__n"))
-    wanted = (F.col("__first") < F.col("__upto")) & (F.col("__last") >= F.col("__from"))
-    return placed.where(wanted).groupBy(*target[:-1]).agg(
-        F.min("__from").alias("__before"), F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"),
-        F.sum("__n").alias("__rows"),
+    celled = _on_bracket(entries, ends, keys).withColumn("__cell", F.when(v.isNull(), -1).otherwise(cell))
+    # At most _CELLS + 1 rows per bracket.
+    upto = F.sum("__n").over(Window.partitionBy(*quoted(keys), "__j").orderBy("__cell"))
+    cells = celled.groupBy(*quoted(keys), "__j", "__cell").agg(F.sum("__n").alias("__n")).withColumn("__upto", upto)
+    from_ = F.col("__upto") - F.col("__n")
+    kept = _on_bracket(cells, wanted, keys).where(
+        (F.col("__cell") >= 0) & (F.col("__first") < F.col("__upto")) & (F.col("__last") >= from_)
+    ).groupBy(*quoted(keys), "__j").agg(
+        F.min("__cell").alias("__from"), F.max("__cell").alias("__to"), F.min(from_).alias("__before")
     )
+    inner = _on_bracket(celled, kept, keys).where("__cell BETWEEN __from AND __to")
+    below = kept.where("__before > 0").select(
+        *quoted(keys), "__j", F.lit(None).cast("double").alias("__v"), F.col("__before").alias("__n"))
+    return inner.select(*quoted(keys), "__j", "__v", "__n").union(below)
 
 
-def unpivot_numeric(df: DataFrame, columns, keep=()) -> DataFrame:
-    """Long form ``(column, value double)`` of numeric columns."""
-    pairs = [
-        F.struct(F.lit(c).alias("column"), col(c).cast("double").alias("value")) for c in columns
-    ]
-    return df.select(*quoted(keep), F.inline(F.array(*pairs)))
+def _interpolated(entries, wanted, n_probabilities, keys):
+    # At most _SORTED rows per bracket.
+    upto = F.sum("__n").over(Window.partitionBy(*quoted(keys), "__j").orderBy(F.col("__v").asc_nulls_first()))
+    placed = _on_bracket(entries.withColumn("__upto", upto), wanted, keys).where("__v IS NOT NULL")
+
+    def value_at(position):
+        return F.min(F.when(F.col(position) < F.col("__upto"), F.col("__v")))
+
+    target = ["column", "__i", "__p", "n", "__first"]
+    picked = placed.groupBy(*quoted(keys), *target).agg(
+        value_at("__first").alias("__low"), value_at("__last").alias("__high"), F.any_value("__stats").alias("__stats")
+    )
+    low, high = F.col("__low"), F.col("__high")
+    weight = F.col("__p") * (F.col("n") - 1).cast("double") - F.col("__first")
+    # Interpolate from the nearer end, so that an exact hit stays exact.
+    from_low = low + (high - low) * weight
+    from_high = high - (high - low) * (F.lit(1.0) - weight)
+    found = F.when(low == high, low).when(weight >= 0.5, from_high).otherwise(from_low)
+    return picked.groupBy(*quoted(keys), "column").agg(
+        F.max("n").alias("n"), F.any_value("__stats").alias("__stats"),
+        *[F.max(F.when(F.col("__i") == i, found)).alias(f"q{i}") for i in range(n_probabilities)],
+    ).select(*quoted(keys), "column", "n", "__stats.*", *[f"q{i}" for i in range(n_probabilities)]).drop("__none")
 
 
 def modes(df: DataFrame, columns) -> DataFrame:

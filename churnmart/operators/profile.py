@@ -17,7 +17,7 @@ from churnmart.functions.exprs import (
     safe_corr,
     share_pct,
 )
-from churnmart.operators.ordering import exact_quantiles, unpivot_numeric
+from churnmart.operators.ordering import exact_quantiles, wide_quantiles
 from churnmart.session import materialize
 
 
@@ -29,31 +29,15 @@ def numeric_columns(df: DataFrame) -> list:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
-def _wide(df: DataFrame, columns, statistics) -> DataFrame:
-    """One row per column from one aggregate over all columns, without repeating rows."""
-    named = {c: statistics(col(c).cast("double")) for c in columns}
-    flat = df.agg(*[
-        e.alias(f"{i}_{name}") for i, stats in enumerate(named.values()) for name, e in stats.items()
-    ])
-    return flat.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), *[F.col(f"{i}_{name}").alias(name) for name in stats])
-        for i, (c, stats) in enumerate(named.items())
-    ])))
-
-
 def describe_numeric(df: DataFrame, columns=None, digits=2) -> DataFrame:
     """count, mean, std, min, quartiles and max per numeric column."""
     columns = columns or numeric_columns(df)
-    moments = _wide(df, columns, lambda v: {
-        "count": F.count(v), "mean": F.avg(v), "std": F.stddev_samp(v),
-        "min": F.min(v), "max": F.max(v),
-    }).where("count > 0")
-    long = unpivot_numeric(df, columns)
-    quartiles = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["column"]).drop("n")
-    joined = moments.join(quartiles, "column")
-    return joined.select(
+    found = wide_quantiles(df, columns, [0.25, 0.5, 0.75], statistics=lambda v: {
+        "mean": F.avg(v), "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v),
+    })
+    return found.select(
         "column",
-        "count",
+        F.col("n").alias("count"),
         *[
             round_even(F.col(c), digits).alias(name)
             for c, name in (("mean", "mean"), ("std", "std"), ("min", "min"), ("q0", "p25"),
@@ -64,16 +48,12 @@ def describe_numeric(df: DataFrame, columns=None, digits=2) -> DataFrame:
 
 def univariate_stats(df: DataFrame, columns) -> DataFrame:
     """min, max, mean, median, std and bias-corrected skew per column."""
-    moments = _wide(df, columns, lambda v: {
-        "n": F.count(v), "min": F.min(v), "max": F.max(v), "mean": round_even(F.avg(v), 1),
+    found = wide_quantiles(df, columns, [0.5], statistics=lambda v: {
+        "min": F.min(v), "max": F.max(v), "mean": round_even(F.avg(v), 1),
         "std": round_even(F.stddev_samp(v), 1), "skew": round_even(adjusted_skew(v), 3),
-    }).where("n > 0")
-    medians = exact_quantiles(
-        unpivot_numeric(df, columns), "value", [0.5], ["column"]
-    ).select("column", round_even(F.col("q0"), 1).alias("median"))
-    return moments.join(medians, "column").select(
-        "column", "min", "max", "mean", "median", "std", "skew"
-    )
+    })
+    median = round_even(F.col("q0"), 1).alias("median")
+    return found.select("column", "min", "max", "mean", median, "std", "skew")
 
 
 def _row_count(df: DataFrame) -> Column:

@@ -8,7 +8,7 @@ from churnmart import constants as C
 from churnmart.functions.exprs import add_up, col, quoted, round_even, share_pct
 from churnmart.operators import cleanse
 from churnmart.operators.joins import hot_keys, repeat_rows, salted_join
-from churnmart.operators.ordering import exact_quantiles, unpivot_numeric
+from churnmart.operators.ordering import wide_quantiles
 from churnmart.session import materialize
 
 
@@ -122,22 +122,17 @@ def churn_distribution(df: DataFrame) -> DataFrame:
 
 def outliers_iqr(df: DataFrame, columns=C.OUTLIER_COLUMNS) -> DataFrame:
     """Tukey fences per column, rows outside, and the column's extremes."""
-    long = unpivot_numeric(df, columns)
-    found = exact_quantiles(long, "value", [0.25, 0.75], ["column"])
-    quartiles = {r["column"]: (r.q0, r.q1) for r in found.collect()}
+    found = wide_quantiles(df, columns, [0.25, 0.75], statistics=lambda v: {
+        "least": F.min(v), "most": F.max(v),
+    })
+    quartiles = {r["column"]: r for r in found.collect()}
     fences = {
-        c: (q1 - C.IQR_FENCE * (q3 - q1), q3 + C.IQR_FENCE * (q3 - q1))
-        for c, (q1, q3) in quartiles.items()
+        c: (r.q0 - C.IQR_FENCE * (r.q1 - r.q0), r.q1 + C.IQR_FENCE * (r.q1 - r.q0))
+        for c, r in quartiles.items()
     }
-    parts = []
-    for c, (low, high) in fences.items():
-        outside = (col(c) < low) | (col(c) > high)
-        parts += [
-            F.count_if(outside).alias(f"n_{c}"),
-            F.min(col(c)).cast("double").alias(f"min_{c}"),
-            F.max(col(c)).cast("double").alias(f"max_{c}"),
-        ]
-    stats = df.agg(F.count(F.lit(1)).alias("__rows"), *parts)
+    stats = df.agg(F.count(F.lit(1)).alias("__rows"), *[
+        F.count_if((col(c) < low) | (col(c) > high)).alias(f"n_{c}") for c, (low, high) in fences.items()
+    ])
     return _rows(stats, [
         {
             "column": F.lit(c),
@@ -145,8 +140,8 @@ def outliers_iqr(df: DataFrame, columns=C.OUTLIER_COLUMNS) -> DataFrame:
             "upper_fence": F.lit(high),
             "outliers": col(f"n_{c}"),
             "outlier_pct": share_pct(col(f"n_{c}"), F.col("__rows"), 1),
-            "min_value": col(f"min_{c}"),
-            "max_value": col(f"max_{c}"),
+            "min_value": F.lit(quartiles[c].least),
+            "max_value": F.lit(quartiles[c].most),
         }
         for c, (low, high) in fences.items()
     ])

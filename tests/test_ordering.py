@@ -112,3 +112,66 @@ def test_rank_never_puts_all_rows_in_one_partition(hot):
     # The single partition holds block sizes; rows come straight from the written table.
     scan = plan.split("BroadcastExchange")[0]
     assert "SinglePartition" not in scan and "Window" not in scan
+
+
+def columns_of_all_kinds(spark, n=30_000):
+    r = random.Random(9)
+    rows = [
+        (r.choice([0.0, 0.0, r.gauss(0, 1e5)]), None if i % 7 else i % 50, r.randint(0, 3), None, float(i), "x" if i % 3 else None)
+        for i in range(n)
+    ]
+    return rows, spark.createDataFrame(rows, "a DOUBLE, b INT, c INT, d DOUBLE, e DOUBLE, g STRING").repartition(5)
+
+
+@pytest.mark.parametrize("broken", [False, True])
+def test_quantiles_of_many_columns_equal_numpy(spark, broken, monkeypatch):
+    """Also where the sketch's brackets are useless and everything has to lie between the ends."""
+    if broken:
+        monkeypatch.setattr(O, "_NEAR", 0.0)
+        monkeypatch.setattr(O, "_SORTED", 500)
+    rows, df = columns_of_all_kinds(spark)
+    p = [0.0, 0.013, 0.5, 0.999, 1.0]
+    got = O.wide_quantiles(df, ["a", "b", "c", "d", "e"], p, ["g"], lambda v: {"mean": F.avg(v)}).collect()
+    assert len(got) == 2 * 4
+    for row in got:
+        values = [x["abcde".index(row.column)] for x in rows if x[5] == row.g]
+        values = [v for v in values if v is not None]
+        assert row.n == len(values) and row.mean == pytest.approx(np.mean(values))
+        assert [row[f"q{i}"] for i in range(5)] == pytest.approx(list(np.quantile(values, p)), rel=1e-14)
+    whole = {r.column: r.q0 for r in O.wide_quantiles(df, ["a", "d", "e"], [0.25]).collect()}
+    assert whole == {c: np.quantile([x["abcde".index(c)] for x in rows], 0.25) for c in "ae"}
+
+
+def test_quantiles_read_a_table_twice_and_repeat_no_row(spark, monkeypatch):
+    _, df = columns_of_all_kinds(spark)
+    plans, written = [], O.materialize
+
+    def spy(table, label, *more):
+        plans.append((label, table._jdf.queryExecution().optimizedPlan().toString()))
+        return written(table, label, *more)
+
+    df = written(df, "values")
+    monkeypatch.setattr(O, "materialize", spy)
+    out = O.wide_quantiles(df, ["a", "b", "c", "e"], [0.25, 0.5, 0.75])
+    assert [label for label, _ in plans] == ["summary", "entries"]
+    for _, plan in plans:
+        lines = plan.splitlines()
+        scan = next(i for i, line in enumerate(lines) if "Relation [a" in line)
+        innermost = max(i for i in range(scan) if "Aggregate" in lines[i])
+        assert not any("Generate" in line for line in lines[innermost:scan])
+    # Few of the 30,000 rows are left to sort, and the result reads none of the source.
+    assert "Relation [a" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_values_in_brackets_are_kept(spark, monkeypatch):
+    _, df = columns_of_all_kinds(spark, 60_000)
+    kept = []
+    monkeypatch.setattr(O, "_widest", lambda entries, *a, f=O._widest: kept.append(entries.count()) or f(entries, *a))
+    row = O.wide_quantiles(df, ["e"], [0.5]).first()
+    assert row.q0 == 29_999.5 and kept[0] < 100
+
+
+def test_quantiles_with_nan(spark):
+    rows = [(float(i),) for i in range(500)] + [(float("nan"),)] * 100
+    row = O.exact_quantiles(spark.createDataFrame(rows, "v DOUBLE"), "v", [0.5, 0.9]).first()
+    assert row.q0 == 299.5 and np.isnan(row.q1)
