@@ -75,32 +75,30 @@ def largest_key(dimension: DataFrame) -> int:
     return dimension.agg(F.coalesce(F.max("customer_sk"), F.lit(0))).first()[0]
 
 
-def merge(dimension: DataFrame, feed: DataFrame, load_date: date,
-          tracked=TRACKED_COLUMNS, last_key: int | None = None) -> DataFrame:
-    """The dimension after ``feed``: expired versions, new versions, new customers.
-
-    New keys are one contiguous run after the largest key: versions first, then new
-    customers, each in customer order. Customers absent from the feed stay as they are;
-    the same feed again changes nothing. A change on the day a version was opened replaces
-    that version, so that no validity ends before it starts. Feed rows without a key are
-    refused (``ValueError``). ``dimension`` is read, never overwritten; only its current
-    rows meet the feed, closed ones pass through. It may hold the current versions only,
-    then ``last_key`` is the largest key ever given.
+def changes(current: DataFrame, feed: DataFrame, load_date: date,
+            tracked=TRACKED_COLUMNS, last_key: int | None = None) -> DataFrame:
+    """What ``feed`` does to the current versions: the rows it closes and the rows it opens.
+
+    New keys are one contiguous run after ``last_key`` (by default the largest in
+    ``current``): versions first, then new customers, each in customer order. Customers absent
+    from the feed, and unchanged ones, have no row here. A change on the day a version was
+    opened replaces that version, so that no validity ends before it starts: nothing is closed
+    then. Feed rows without a key are refused (``ValueError``).
     """
     keyless = feed.where(col(KEY).isNull()).count()
     if keyless:
         raise ValueError(f"{keyless} feed rows without {KEY}")
     delta = materialize(
-        classify(dimension, feed, tracked).where("status <> 'unchanged'"), "scd2-delta"
+        classify(current, feed, tracked).where("status <> 'unchanged'"), "scd2-delta"
     )
     same_day = F.col("old_start") >= F.lit(load_date)
     if last_key is None:
-        last_key = largest_key(dimension)
+        last_key = largest_key(current)
     ranked = global_rank(
         delta.withColumn("__new", (F.col("status") == "new").cast("int")),
         ["__new", KEY], "customer_sk", start=last_key,
     )
-    inserts = ranked.drop("__new").withColumns({
+    opened = ranked.drop("__new").withColumns({
         "effective_start_date": F.lit(load_date),
         "effective_end_date": F.lit(HIGH_DATE),
         "is_current": F.lit(1),
@@ -108,18 +106,41 @@ def merge(dimension: DataFrame, feed: DataFrame, load_date: date,
         .otherwise(F.coalesce(F.col("old_version"), F.lit(0)) + 1),
     }).drop("status", "old_sk", "old_version", "old_start", *[f"old_{c}" for c in tracked])
 
-    expiring = delta.where("status = 'changed'").select(
-        F.col("old_sk").alias("__sk"), same_day.alias("__replaced"))
-    current = current_versions(dimension)
-    joined = current.join(expiring, F.col("customer_sk") == F.col("__sk"), "left")
-    ends = F.col("__sk").isNotNull()
-    kept = joined.where(~F.coalesce("__replaced", F.lit(False))).withColumns({
-        "effective_end_date": F.when(ends, F.lit(load_date - timedelta(days=1)))
-        .otherwise(F.col("effective_end_date")),
-        "is_current": F.when(ends, 0).otherwise(F.col("is_current")),
-    }).drop("__sk", "__replaced")
+    ending = delta.where("status = 'changed'").where(~same_day).select(F.col("old_sk").alias("__sk"))
+    closed = current_versions(current).join(ending, F.col("customer_sk") == F.col("__sk"), "left_semi")
+    closed = closed.withColumns({
+        "effective_end_date": F.lit(load_date - timedelta(days=1)), "is_current": F.lit(0),
+    })
+    return closed.unionByName(opened, allowMissingColumns=True)
+
+
+def merge(dimension: DataFrame, feed: DataFrame, load_date: date,
+          tracked=TRACKED_COLUMNS, last_key: int | None = None) -> DataFrame:
+    """The dimension after ``feed``: expired versions, new versions, new customers.
+
+    The whole dimension as a plan, for those who go on with it; a stored dimension takes
+    only the ``changes``, see ``DimensionVersions``. Customers absent from the feed stay as
+    they are; the same feed again changes nothing. ``dimension`` is read, never overwritten;
+    only its current rows meet the feed, closed ones pass through.
+    """
+    if last_key is None:
+        last_key = largest_key(dimension)
+    delta = changes(current_versions(dimension), feed, load_date, tracked, last_key)
+    opened = delta.where("is_current = 1").select(col(KEY).alias("__key"))
+    kept = current_versions(dimension).join(opened, col(KEY) == F.col("__key"), "left_anti")
     closed = dimension.where(~F.col("is_current").eqNullSafe(F.lit(1)))
-    return closed.unionByName(kept).unionByName(inserts, allowMissingColumns=True)
+    return closed.unionByName(kept).unionByName(delta, allowMissingColumns=True)
+
+
+def load(versions, feed: DataFrame, load_date: date, base: int | None = None) -> int:
+    """Merges ``feed`` into a stored dimension (``DimensionVersions``); returns the new version.
+
+    Only the changed and new rows are written. ``base`` is the version to start from, by
+    default the latest.
+    """
+    base = versions.latest() if base is None else base
+    delta = changes(versions.current(base), feed, load_date, last_key=versions.last_key(base))
+    return versions.change(delta, base=base)
 
 
 def verify(dimension: DataFrame) -> DataFrame:

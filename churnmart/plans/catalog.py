@@ -16,7 +16,8 @@ from churnmart.operators import quality, scd2
 from churnmart.plans import marts, staging, warehouse
 from churnmart.session import materialize, new_path
 from churnmart.sources import bankview, readers, writers
-from churnmart.streaming.scd2_feed import DimensionVersions, merge_stream
+from churnmart.sources.history import DimensionVersions
+from churnmart.streaming.scd2_feed import merge_stream
 
 
 class Bank:
@@ -47,10 +48,16 @@ class Bank:
         return materialize(staged, "staged")
 
     @cached_property
-    def dimension(self) -> DataFrame:
-        """Initial load of the earlier snapshot."""
+    def history(self) -> DimensionVersions:
+        """The stored dimension; version 0 is the initial load of the earlier snapshot."""
         feed = materialize(bankview.snapshot_customers(self.spark, self.folder), "snapshot")
-        return materialize(staging.stage_customers(feed, bankview.DIMENSION_LOAD), "dimension")
+        versions = DimensionVersions(self.spark, new_path(self.spark, "history"))
+        versions.write(0, staging.stage_customers(feed, bankview.DIMENSION_LOAD))
+        return versions
+
+    @cached_property
+    def dimension(self) -> DataFrame:
+        return self.history.read(0)
 
     @cached_property
     def incoming(self) -> DataFrame:
@@ -65,8 +72,7 @@ class Bank:
 
     @cached_property
     def merged(self) -> DataFrame:
-        merged = scd2.merge(self.dimension, self.incoming, bankview.FEED_LOAD)
-        return materialize(merged, "merged")
+        return self.history.read(scd2.load(self.history, self.incoming, bankview.FEED_LOAD, base=0))
 
     @cached_property
     def products(self) -> DataFrame:
@@ -284,6 +290,11 @@ def scd2_stream(b: Bank) -> DataFrame:
     return versions.read(reached).drop("customer_sk")
 
 
+def scd2_merge(b: Bank) -> DataFrame:
+    """The feed loaded into the stored dimension, as a version after the initial load."""
+    return b.history.read(scd2.load(b.history, b.incoming, bankview.FEED_LOAD, base=0))
+
+
 def scd2_asof_fact(b: Bank) -> DataFrame:
     return money_as_double(facts.as_of_versions(b.fact, b.dim_customer))
 
@@ -418,7 +429,7 @@ CATALOG = {
     "scd2_current": lambda b: scd2.current_versions(b.merged),
     "scd2_classify": scd2_classify,
     "scd2_change_log": lambda b: scd2.change_log(b.classified, bankview.FEED_LOAD),
-    "scd2_merge": lambda b: scd2.merge(b.dimension, b.incoming, bankview.FEED_LOAD),
+    "scd2_merge": scd2_merge,
     "scd2_verify": lambda b: scd2.verify(b.merged),
     "scd2_history": lambda b: scd2.history(b.merged),
     "scd2_stream": scd2_stream,

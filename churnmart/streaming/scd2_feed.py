@@ -2,88 +2,14 @@
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from churnmart.functions.exprs import col
 from churnmart.operators import scd2
 from churnmart.operators.cleanse import last_per_key
 from churnmart.schemas import clean_numbers
-
-# Order of the last feed row that a current row reflects; kept with the data, not shown.
-_SEEN = "feed_order_seen"
-_LOG = "version INT, stream STRING, batch LONG"
-
-
-class DimensionVersions:
-    """A dimension as a series of written versions; a finished version is never overwritten.
-
-    A version holds all current rows of its state, and of the closed rows only those it
-    closed: history is appended to and never written again. A version is finished once it
-    is in the log, with the stream and micro-batch that made it, so a batch replayed after
-    a failure is recognised, whatever its number, and what an unfinished attempt left is
-    written anew. Readers of a finished version never see a half-written one.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/data/version={version}"
-
-    def write(self, version: int, rows: DataFrame, stream: str | None = None,
-              batch: int | None = None) -> None:
-        if version <= self.latest():
-            raise ValueError(f"version {version} is finished")
-        if _SEEN not in rows.columns:
-            rows = rows.withColumn(_SEEN, F.lit(None).cast("string"))
-        # Replaces only what an unfinished attempt at this version may have left.
-        rows.write.mode("overwrite").partitionBy("is_current").parquet(self.path(version))
-        done = self.spark.createDataFrame([(version, stream, batch)], _LOG)
-        done.coalesce(1).write.mode("append").parquet(f"{self.root}/log")
-
-    def reject(self, version: int, rows: DataFrame) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/rejected/version={version}")
-
-    def rejected(self) -> DataFrame:
-        """Feed rows without a key, by the version whose batch brought them."""
-        return self.spark.read.option("basePath", f"{self.root}/rejected").parquet(f"{self.root}/rejected")
-
-    def _log(self) -> DataFrame:
-        return self.spark.read.schema(_LOG).parquet(f"{self.root}/log")
-
-    def latest(self) -> int:
-        """The highest finished version, -1 before the first."""
-        try:
-            return self._log().agg(F.max("version")).first()[0]
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return -1
-
-    def made_by(self, stream: str, batch: int) -> int | None:
-        """The finished version of a micro-batch."""
-        found = self._log().where((F.col("stream") == stream) & (F.col("batch") == batch))
-        return found.agg(F.max("version")).first()[0]
-
-    def _rows(self, condition) -> DataFrame:
-        stored = self.spark.read.option("basePath", f"{self.root}/data").parquet(f"{self.root}/data")
-        return stored.where(condition).drop("version")
-
-    def with_order(self, version: int) -> DataFrame:
-        """Current rows only, with the feed order they reflect: one folder."""
-        base = self.spark.read.option("basePath", self.path(version))
-        return base.parquet(self.path(version)).where("is_current = 1")
-
-    def current(self, version: int) -> DataFrame:
-        return self.with_order(version).drop(_SEEN)
-
-    def read(self, version: int) -> DataFrame:
-        """Current and closed rows as of ``version``."""
-        current = (F.col("version") == version) & (F.col("is_current") == 1)
-        closed = (F.col("version") <= version) & (F.col("is_current") == 0)
-        return self._rows(current | closed).drop(_SEEN)
-
+from churnmart.session import materialize
+from churnmart.sources.history import SEEN, DimensionVersions
 
 def merge_stream(spark: SparkSession, feed_dir: str, schema, versions: DimensionVersions,
                  load_date: date, order: str, checkpoint: str,
@@ -95,7 +21,8 @@ def merge_stream(spark: SparkSession, feed_dir: str, schema, versions: Dimension
     with new files only, on another one it merges all files again, which changes nothing.
     Batches go on from the latest finished version. ``order`` counts over all batches: a row
     that arrives late, with a smaller order than the customer's current row reflects, is
-    ignored. Rows without a key are set aside, see ``DimensionVersions.rejected``.
+    ignored. Rows without a key are set aside, see ``DimensionVersions.rejected``. A batch
+    reads the buckets of its customers and writes the rows of its customers, no others.
     """
     reader = spark.readStream.schema(schema)
     if files_per_batch:
@@ -112,21 +39,26 @@ def merge_stream(spark: SparkSession, feed_dir: str, schema, versions: Dimension
         if not keyless.isEmpty():
             versions.reject(base + 1, keyless)
         newest = last_per_key(rows.where(col(scd2.KEY).isNotNull()), scd2.KEY, order)
-        before = versions.with_order(base)
+        # At most as many numbers as there are buckets.
+        touched = {r[0] for r in newest.select(versions.bucket_of()).distinct().collect()}
+        before = versions.with_order(base, touched)
         # Stored as text, compared in the type of the feed.
         seen = before.select(
-            col(scd2.KEY).alias("__key"), F.col(_SEEN).cast(newest.schema[order].dataType).alias("__seen"))
+            col(scd2.KEY).alias("__key"), F.col(SEEN).cast(newest.schema[order].dataType).alias("__seen"))
         fresh = newest.join(seen, col(scd2.KEY) == F.col("__key"), "left").where(
             F.col("__seen").isNull() | (col(order) >= F.col("__seen"))).drop("__key", "__seen")
-        # The largest key ever given belongs to a current row.
-        merged = scd2.merge(
-            before.drop(_SEEN), fresh.drop(order), load_date, last_key=scd2.largest_key(before))
-        reflects = fresh.select(col(scd2.KEY).alias("__key"), col(order).cast("string").alias("__now")).join(
-            seen.select(F.col("__key").alias("__old_key"), F.col("__seen").cast("string").alias("__seen")),
-            F.col("__key") == F.col("__old_key"), "full",
-        ).select(F.coalesce("__key", "__old_key").alias("__key"), F.coalesce("__now", "__seen").alias(_SEEN))
-        ordered = merged.join(reflects, col(scd2.KEY) == F.col("__key"), "left").drop("__key")
-        versions.write(base + 1, ordered, checkpoint, batch_id)
+        # Read three times: written, so that the batch is parsed once.
+        fresh = materialize(fresh, "stream-batch")
+        delta = scd2.changes(before.drop(SEEN), fresh.drop(order), load_date, last_key=versions.last_key(base))
+        delta = materialize(delta, "stream-delta")
+        now = fresh.select(col(scd2.KEY).alias("__key"), col(order).cast("string").alias(SEEN))
+        opened = delta.where("is_current = 1").join(now, col(scd2.KEY) == F.col("__key")).drop("__key")
+        # Unchanged rows reflect a later order from now on.
+        changed = opened.select(col(scd2.KEY).alias("__changed"))
+        again = before.drop(SEEN).join(now, col(scd2.KEY) == F.col("__key")).drop("__key").join(
+            changed, col(scd2.KEY) == F.col("__changed"), "left_anti")
+        closed = delta.where("is_current = 0").withColumn(SEEN, F.lit(None).cast("string"))
+        versions.change(closed.unionByName(opened).unionByName(again, allowMissingColumns=True), checkpoint, batch_id)
 
     query = (
         source.writeStream.foreachBatch(merge_batch)

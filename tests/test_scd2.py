@@ -238,7 +238,105 @@ def test_merge_refuses_rows_without_a_key(dimension, feed):
 
 
 def test_closed_versions_do_not_meet_the_feed(bank):
-    plan = scd2.merge(bank.merged, bank.incoming, date(2030, 1, 1))._jdf.queryExecution().optimizedPlan().toString()
+    plan = scd2.merge(bank.dim_customer, bank.incoming, date(2030, 1, 1))._jdf.queryExecution().optimizedPlan().toString()
     # The join reads current rows only.
-    left = plan.split("Join")[1]
+    left = plan.split("Join")[1].split("Relation")[0]
     assert "is_current" in left and "= 1" in left
+
+
+def stored(spark, label, n=400, **options):
+    """A stored dimension of ``n`` customers, and feeds that change some of them."""
+    versions = DimensionVersions(spark, f"{new_path(spark, label)}/dimension", **options)
+    rest = {c: F.lit(1) for c in TRACKED_COLUMNS if c not in ("geography", "num_of_products")}
+    rows = spark.range(1, n + 1).selectExpr(
+        "id customer_sk", "id customer_id", "'A' geography", "1 num_of_products", "date'2020-01-01' effective_start_date",
+        "date'9999-12-31' effective_end_date", "1 is_current", "1 record_version")
+    versions.write(0, rows.withColumns(rest))
+
+    def feed(ids, value):
+        return spark.createDataFrame([(i, value, 1) for i in ids], "customer_id LONG, geography STRING, num_of_products INT").withColumns(rest)
+
+    return versions, feed
+
+
+def files_of(versions):
+    """Path and write time of every data file."""
+    import os
+
+    root = versions.root.removeprefix("file:")
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(f"{root}/data") for f in names if f.endswith(".parquet")}
+
+
+def rows_in(spark, files):
+    return spark.read.parquet(*files).count() if files else 0
+
+
+def test_a_load_writes_its_changes_and_touches_no_file(spark):
+    versions, feed = stored(spark, "load")
+    before = files_of(versions)
+    assert scd2.load(versions, feed([1, 2, 500], "B"), date(2020, 2, 1)) == 1
+    after = files_of(versions)
+    assert {f: t for f, t in after.items() if f in before} == before
+    # Two closed rows, two new versions, one new customer.
+    assert rows_in(spark, set(after) - set(before)) == 5
+    assert scd2.load(versions, feed([1], "C"), date(2020, 3, 1)) == 2
+    last = files_of(versions)
+    assert {f: t for f, t in last.items() if f in after} == after and rows_in(spark, set(last) - set(after)) == 2
+    invariants(versions.read(2))
+    rows = versions.read(2).where("customer_id in (1, 2, 500)").orderBy("customer_id", "record_version").collect()
+    assert [(r.customer_id, r.customer_sk, r.geography, r.is_current) for r in rows] == [
+        (1, 1, "A", 0), (1, 401, "B", 0), (1, 404, "C", 1), (2, 2, "A", 0), (2, 402, "B", 1), (500, 403, "B", 1)]
+    assert versions.read(0).count() == 400 and versions.read(1).count() == 403 and versions.last_key(2) == 404
+
+
+def test_a_version_may_start_from_an_earlier_one(spark):
+    versions, feed = stored(spark, "branch")
+    scd2.load(versions, feed([1, 2], "B"), date(2020, 2, 1))
+    reached = scd2.load(versions, feed([3], "C"), date(2020, 2, 1), base=0)
+    assert reached == 2
+    changed = versions.current(2).where("geography <> 'A'").collect()
+    assert [(r.customer_id, r.customer_sk) for r in changed] == [(3, 401)]
+
+
+@pytest.mark.parametrize("options", [{"buckets": 3, "most_deltas": 2, "compact_at": 9}, {"buckets": 2, "compact_at": 0.3}])
+def test_compaction_changes_no_result(spark, options):
+    plain, feed = stored(spark, "plain", 60, buckets=4, most_deltas=100, compact_at=100)
+    packed, _ = stored(spark, "packed", 60, **options)
+    for n in range(1, 4):
+        rows = feed([*range(n, 60, 7), 100 + n], f"V{n}")
+        day = date(2020, 1 + n, 1)
+        assert scd2.load(plain, rows, day) == scd2.load(packed, rows, day) == n
+        got, want = packed.read(n), plain.read(n)
+        assert got.exceptAll(want.select(got.columns)).count() == 0 and got.count() == want.count()
+        invariants(got)
+    kinds = {p["part"] for p in packed._manifest(3) if p["version"] > 0}
+    assert "base" in kinds
+    deltas: dict = {}
+    for p in packed._manifest(3):
+        deltas[p["bucket"]] = deltas.get(p["bucket"], 0) + (p["part"] == "delta")
+    assert max(deltas.values()) <= options.get("most_deltas", 8)
+
+
+def test_a_stream_batch_writes_as_much_as_it_changes(spark):
+    versions, feed = stored(spark, "stream-size", 3000)
+    root = versions.root.removesuffix("/dimension")
+    written = []
+    for n, ids in enumerate(([5], [6, 7], list(range(1, 301)))):
+        df = feed(ids, f"V{n}").withColumn("at", F.lit(n))
+        df.coalesce(1).write.mode("append").parquet(f"{root}/feed")
+        before = files_of(versions)
+        merge_stream(spark, f"{root}/feed", df.schema, versions, date(2020, 2 + n, 1), "at", f"{root}/state")
+        after = files_of(versions)
+        assert {f: t for f, t in after.items() if f in before} == before
+        written.append(rows_in(spark, set(after) - set(before)))
+    # A closed and an open row for each customer of the batch.
+    assert written == [2, 4, 600]
+
+
+def test_a_reader_lists_no_other_version(spark):
+    versions, feed = stored(spark, "listing", 50, buckets=2)
+    for n in range(1, 4):
+        scd2.load(versions, feed([n], "B"), date(2020, 1 + n, 1))
+    files = versions.read(1).inputFiles()
+    assert files and not any("version=2" in f or "version=3" in f for f in files)
