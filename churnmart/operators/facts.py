@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, functions as F
 
 from churnmart.functions.exprs import col, rate_pct
-from churnmart.operators.joins import hot_keys, salted_join
-from churnmart.operators.ordering import surrogate_key
+from churnmart.operators.joins import HotKeys, salted_join
+from churnmart.operators.ordering import dense_start, surrogate_key
 from churnmart.schemas import FACT_TRANSACTIONS, enforce_schema
 
 
@@ -21,24 +21,28 @@ def build_fact(transactions: DataFrame, dim_customer: DataFrame,
     """Transactions with resolved keys; a failed lookup leaves the key NULL.
 
     ``transactions`` should be a written table: its hot customers and products are
-    counted first, and their rows are spread by transaction.
+    counted first, where a dimension is too large to broadcast, and their rows are spread by
+    transaction. Keys follow the transaction ids; if these are one run without gaps, as the
+    feed numbers them, the keys are that run from one on and nothing is sorted.
     """
     feed = transactions.select(
         "transaction_id", "customer_id", "transaction_date", "transaction_year",
         "transaction_month", "transaction_type", "channel", "product_id", "amount", "churn_flag",
     )
-    hot_customers, hot_products = hot_keys(transactions, "customer_id", "product_id")
+    hot = HotKeys(transactions, "customer_id", "product_id")
     keyed = salted_join(
-        feed, customer_lookup(dim_customer), "customer_id", F.xxhash64("transaction_id"),
-        hot=hot_customers,
+        feed, customer_lookup(dim_customer), "customer_id", F.xxhash64("transaction_id"), hot=hot,
     )
     products = dim_product.select("product_id", "product_sk")
     resolved = salted_join(
-        keyed, products, "product_id", F.xxhash64("transaction_id"), hot=hot_products
+        keyed, products, "product_id", F.xxhash64("transaction_id"), hot=hot
     ).withColumn("date_sk", F.date_format("transaction_date", "yyyyMMdd").cast("int"))
-    return enforce_schema(
-        surrogate_key(resolved, "transaction_sk", ["transaction_id"]), FACT_TRANSACTIONS
-    )
+    first = dense_start(transactions, "transaction_id")
+    if first is None:
+        numbered = surrogate_key(resolved, "transaction_sk", ["transaction_id"], key_source=transactions)
+    else:
+        numbered = resolved.withColumn("transaction_sk", F.col("transaction_id") - first + 1)
+    return enforce_schema(numbered, FACT_TRANSACTIONS)
 
 
 def key_resolution(fact: DataFrame) -> DataFrame:
@@ -93,7 +97,7 @@ def as_of_versions(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     rows = fact.select("transaction_id", "customer_id", "transaction_date", "amount")
     joined = salted_join(
         rows, versions, "customer_id", F.xxhash64("transaction_id"), "left", valid,
-        hot=hot_keys(fact, "customer_id")[0],
+        hot=HotKeys(fact, "customer_id"),
     )
     return joined.drop("effective_start_date", "effective_end_date")
 

@@ -2,7 +2,7 @@
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from churnmart.functions.exprs import col, quoted
 
@@ -33,17 +33,40 @@ def hot_keys(df: DataFrame, *keys: str) -> list[dict]:
     ]
 
 
+class HotKeys:
+    """Hot values of some key columns of a table, looked for when a join first needs one of them."""
+
+    def __init__(self, df: DataFrame, *keys: str):
+        self._df, self._keys, self._found = df, keys, None
+
+    def of(self, key: str) -> dict:
+        if self._found is None:
+            self._found = dict(zip(self._keys, hot_keys(self._df, *self._keys)))
+        return self._found[key]
+
+
+def is_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst knows ``df`` to be small enough to send it whole to every task."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def salted_join(left: DataFrame, right: DataFrame, on: str, salt_by: Column, how="left",
-                condition=None, hot: dict | None = None) -> DataFrame:
+                condition=None, hot: "dict | HotKeys | None" = None) -> DataFrame:
     """Equi-join on ``on`` (plus an optional extra ``condition``) that splits hot left keys.
 
     Rows of a hot key are spread over as many salts as it deserves tasks by ``salt_by``, a
     hash that differs between the rows of the key; only the right rows of those keys are
-    repeated, once per salt. Other keys keep salt 0. No side is broadcast by hint: Catalyst
-    and AQE choose from real sizes. ``hot`` is what ``hot_keys`` found for the key, on a
-    table rather than a long plan where possible; by default ``left`` is looked at.
+    repeated, once per salt. Other keys keep salt 0. The hot keys and their salts are a table
+    of at most ``_MOST_HOT`` rows that each side looks up. No other side is broadcast by hint:
+    Catalyst and AQE choose from real sizes. ``hot`` is what ``hot_keys`` found for the key, on
+    a table rather than a long plan where possible, or ``HotKeys`` to look only if needed: a
+    right side that Catalyst broadcasts by its size moves no left row, so nothing is looked for.
+    By default ``left`` is looked at.
     """
-    hot = hot_keys(left, on)[0] if hot is None else hot
+    if not isinstance(hot, dict):
+        hot = {} if is_broadcast(right) else (hot or HotKeys(left, on)).of(on)
     r_key, r_salt = f"__r_{on}", "__r_salt"
     renamed = right.withColumnRenamed(on, r_key)
     if not hot:
@@ -51,19 +74,18 @@ def salted_join(left: DataFrame, right: DataFrame, on: str, salt_by: Column, how
         left_side, right_side = left, renamed
     else:
         # NULL keys find no partner, but an outer join must still carry their rows.
-        salts = F.lit(1)
-        if None in hot:
-            salts = F.when(col(on).isNull(), hot[None]).otherwise(salts)
-        named = {k: n for k, n in hot.items() if k is not None}
-        right_salts = F.lit(1)
-        if named:
-            table = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
-            salts = F.coalesce(F.try_element_at(table, col(on)), salts)
-            right_salts = F.coalesce(F.try_element_at(table, F.col(f"`{r_key}`")), right_salts)
-        left_side = left.withColumn("__salt", F.pmod(salt_by, salts).cast("int"))
-        right_side = renamed.withColumn(
-            r_salt, F.explode(F.sequence(F.lit(0), right_salts - 1))
-        )
+        named = [(k, n) for k, n in hot.items() if k is not None]
+        key_type = left.schema[on].dataType
+        schema = T.StructType([T.StructField("__hot", key_type), T.StructField("__salts", T.IntegerType())])
+        table = F.broadcast(left.sparkSession.createDataFrame(named, schema))
+
+        def looked_up(side, key):
+            return side.join(table, F.col(f"`{key}`") == F.col("__hot"), "left") if named else side.withColumn("__salts", F.lit(None))
+
+        salts = F.coalesce("__salts", F.when(col(on).isNull(), hot.get(None, 1)), F.lit(1))
+        left_side = looked_up(left, on).withColumn("__salt", F.pmod(salt_by, salts).cast("int")).drop("__hot", "__salts")
+        every = F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)
+        right_side = looked_up(renamed, r_key).withColumn(r_salt, F.explode(every)).drop("__hot", "__salts")
         match = (col(on) == F.col(f"`{r_key}`")) & (F.col("__salt") == F.col(r_salt))
     if condition is not None:
         match = match & condition

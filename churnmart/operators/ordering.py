@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from churnmart.functions.exprs import col, quoted
 from churnmart.session import materialize
 
-_POS, _PART, _IDX, _SEQ = "__pos", "__part", "__idx", "__seq"
+_POS, _PART, _IDX, _TIE = "__pos", "__part", "__idx", "__tie"
+# Keys that are sampled for each partition of an explicit order.
+_SAMPLED = 50
 # Layout of monotonically_increasing_id (partition above, row below).
 _ROW_BITS = 33
 # One over the error of the sketch of a column, and how far from a quantile its bracket ends.
@@ -28,29 +30,78 @@ def _direction(key):
     return key if isinstance(key, Column) else F.col(f"`{key}`").asc()
 
 
-def _place(df: DataFrame, order, label: str) -> DataFrame:
+def _place(df: DataFrame, order, label: str, key_source: DataFrame | None = None) -> DataFrame:
     """Globally sorted, written once, with (partition, index in partition) per row.
 
     Rows that tie on the full key are spread by a random last key: any order among them
     is right, and a large group of copies does not end up in one task.
     """
     position = F.monotonically_increasing_id()
-    placed = df.orderBy(*[_direction(k) for k in order], F.rand(17)).withColumn(_POS, position)
+    if key_source is None:
+        ordered = df.orderBy(*[_direction(k) for k in order], F.rand(17))
+    else:
+        ordered = _placed_by(df, order, key_source)
+    placed = ordered.withColumn(_POS, position)
     placed = placed.withColumn(_PART, F.shiftright(_POS, _ROW_BITS).cast("int"))
     placed = placed.withColumn(_IDX, F.col(_POS).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
     return materialize(placed.drop(_POS), label)
 
 
-def global_rank(df: DataFrame, order, name: str, within=(), total=None, start=0) -> DataFrame:
+def _placed_by(df: DataFrame, order, key_source: DataFrame) -> DataFrame:
+    """``df`` sorted by the columns ``order``, with bounds from a sample of ``key_source``.
+
+    A sort of ``df`` itself would run all of its plan once more to sample it.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = min(1.0, _SAMPLED * parts / max(1, key_source.count()))
+    key = F.struct(*[col(c) for c in order], F.col(_TIE))
+    # A few dozen keys per partition.
+    sample = key_source.select(*quoted(order)).sample(share, seed=17).withColumn(_TIE, F.rand(18))
+    keys = sample.agg(F.array_sort(F.collect_list(key)).alias("keys"))
+    bounds = keys.select(F.transform(
+        F.sequence(F.lit(1), F.lit(max(1, parts - 1))), lambda i: F.get("keys", F.floor(i * F.size("keys") / parts).cast("int"))
+    )).scalar()
+    halves = [1 << i for i in reversed(range(max(1, parts - 1).bit_length()))]
+    # Binary search: the number of bounds that are not above the key.
+    block = F.aggregate(F.array(*map(F.lit, halves)), F.lit(0), lambda at, step: F.when(
+        (at + step < parts) & (F.get("__bounds", at + step - 1) <= F.col("__key")), at + step
+    ).otherwise(at))
+    keyed = df.withColumn(_TIE, F.rand(17)).withColumns({"__bounds": bounds, "__key": key})
+    placed = keyed.withColumn("__block", block).drop("__bounds", "__key")
+    return placed.repartitionById(parts, "__block").sortWithinPartitions(*quoted(order), _TIE).drop("__block", _TIE)
+
+
+def dense_start(df: DataFrame, key: str) -> int | None:
+    """The smallest ``key`` if the keys of ``df`` are one run without gaps, copies or NULLs, else None.
+
+    Keys are set in bitmaps of 32768 bits that combine before the shuffle.
+    """
+    buckets = df.groupBy(F.bitmap_bucket_number(col(key)).alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(col(key))).alias("__bits"),
+        F.count(F.lit(1)).alias("__n"), F.min(col(key)).alias("__least"), F.max(col(key)).alias("__most"),
+    )
+    found = buckets.agg(
+        F.sum("__n").alias("n"), F.sum(F.bitmap_count("__bits")).alias("different"),
+        F.min("__least").alias("least"), F.max("__most").alias("most"),
+    ).first()
+    if found.n is None or found.least is None:
+        return None
+    return found.least if found.n == found.different == found.most - found.least + 1 else None
+
+
+def global_rank(df: DataFrame, order, name: str, within=(), total=None, start=0,
+                key_source: DataFrame | None = None) -> DataFrame:
     """Dense ``start + 1 .. start + N`` position of every row under ``order``.
 
     ``order`` holds column names or sort expressions and should end in a unique key.
     ``within`` restarts the count per group (a hot group still spans many tasks).
     ``total`` names an extra column with the number of rows counted.
-    One range shuffle of the rows, then a broadcast join with the block offsets.
+    One range shuffle of the rows, then a broadcast join with the block offsets. Where ``df``
+    is costly and ``order`` holds columns that lie in a table, ascending, ``key_source`` is
+    that table: it is sampled for the ranges instead, and ``df`` runs once.
     """
     within = list(within)
-    placed = _place(df, [*within, *order], f"rank-{name}")
+    placed = _place(df, [*within, *order], f"rank-{name}", key_source)
     blocks = placed.groupBy(_PART, *quoted(within)).agg(
         F.count(F.lit(1)).alias("__n"), F.min(_IDX).alias("__first")
     )
@@ -92,9 +143,9 @@ def ntile_from_rank(rank: Column, total: Column, n: int) -> Column:
     )
 
 
-def surrogate_key(df: DataFrame, name: str, order, start=0) -> DataFrame:
-    """``df`` with a dense key ``name`` in front, counted on from ``start``."""
-    keyed = global_rank(df, order, name, start=start)
+def surrogate_key(df: DataFrame, name: str, order, start=0, key_source: DataFrame | None = None) -> DataFrame:
+    """``df`` with a dense key ``name`` in front, counted on from ``start``; see ``global_rank``."""
+    keyed = global_rank(df, order, name, start=start, key_source=key_source)
     return keyed.select(name, *quoted(df.columns))
 
 

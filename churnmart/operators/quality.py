@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from churnmart import constants as C
 from churnmart.functions.exprs import add_up, col, quoted, round_even, share_pct
 from churnmart.operators import cleanse
-from churnmart.operators.joins import hot_keys, repeat_rows, salted_join
+from churnmart.operators.joins import HotKeys, repeat_rows, salted_join
 from churnmart.operators.ordering import wide_quantiles
 from churnmart.session import materialize
 
@@ -101,7 +101,7 @@ def duplicate_keys(df: DataFrame, key=C.RAW_KEY, shown=(C.RAW_ORDER, "Surname"))
     repeated = rows.groupBy(col(key)).agg(F.sum("__n").alias("__m")).where("__m > 1").select(key)
     members = salted_join(
         rows, repeated, key, F.xxhash64(*[col(c) for c in shown]), "inner",
-        hot=hot_keys(df, key)[0],
+        hot=HotKeys(df, key),
     )
     return repeat_rows(members, "__n").select(*quoted(wanted)).orderBy(key, *shown)
 

@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from churnmart.functions.exprs import col
-from churnmart.operators.joins import hot_keys, salted_join
+from churnmart.operators.joins import HotKeys, salted_join
 from churnmart.operators.ordering import surrogate_key
 
 # Identity of a transaction, and the order of the feed.
@@ -170,10 +170,10 @@ def transactions(spark: SparkSession, sf_dir: str, raw: DataFrame,
     flagged = salted_join(orders, flags, "o_custkey", F.xxhash64("o_orderkey"))
     flagged = flagged.withColumnRenamed("o_orderkey", "l_orderkey")
     line_hash = F.xxhash64(*LINE_KEY)
-    hot_parts, hot_orders = hot_keys(lines, "l_partkey", "l_orderkey")
-    typed = salted_join(lines, parts, "l_partkey", line_hash, "inner", hot=hot_parts)
+    hot = HotKeys(lines, "l_partkey", "l_orderkey")
+    typed = salted_join(lines, parts, "l_partkey", line_hash, "inner", hot=hot)
     joined = (
-        salted_join(typed, flagged, "l_orderkey", line_hash, "inner", hot=hot_orders)
+        salted_join(typed, flagged, "l_orderkey", line_hash, "inner", hot=hot)
         .join(product_feed.select("product_id", "product_name"),
               F.col("p_type") == F.col("product_name"))
         .select(
@@ -187,7 +187,8 @@ def transactions(spark: SparkSession, sf_dir: str, raw: DataFrame,
             "churn_flag",
         )
     )
-    numbered = surrogate_key(joined, "transaction_id", LINE_KEY)
+    # Lines are placed by their own keys, so that the joins run once.
+    numbered = surrogate_key(joined, "transaction_id", LINE_KEY, key_source=lines)
     return numbered.drop(*LINE_KEY).withColumns({
         "transaction_year": F.year("transaction_date"),
         "transaction_month": F.month("transaction_date"),

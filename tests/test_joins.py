@@ -72,3 +72,26 @@ def test_only_null_keys_are_hot(spark):
     got = salted_join(left, right, "k", F.xxhash64("id"))
     assert got.count() == 5000 and got.where("w = id * 2").count() == 2500
     assert got.where("w is null").count() == 2500
+
+
+def test_hot_keys_are_a_table_that_is_looked_up(sides):
+    left, right = sides
+    plan = salted_join(left, right, "k", F.xxhash64("id"), "inner", hot=HOT)._jdf.queryExecution().optimizedPlan().toString()
+    assert "map(" not in plan and "map_" not in plan and plan.count("rightHint=(strategy=broadcast)") == 2
+
+
+def test_a_broadcast_side_needs_no_hot_keys(sides, spark, monkeypatch):
+    from churnmart.operators import joins
+
+    left, right = sides[0], spark.range(1, 3000).selectExpr("cast(id as int) k", "id * 10 w")
+    monkeypatch.setattr(joins, "hot_keys", lambda *a: pytest.fail("looked for"))
+    assert salted_join(left, right, "k", F.xxhash64("id"), "inner").count() > 0
+    monkeypatch.undo()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not joins.is_broadcast(right)
+        plan = salted_join(left, right, "k", F.xxhash64("id"), "inner")._jdf.queryExecution().optimizedPlan().toString()
+        assert "pmod(xxhash64" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -175,3 +175,38 @@ def test_quantiles_with_nan(spark):
     rows = [(float(i),) for i in range(500)] + [(float("nan"),)] * 100
     row = O.exact_quantiles(spark.createDataFrame(rows, "v DOUBLE"), "v", [0.5, 0.9]).first()
     assert row.q0 == 299.5 and np.isnan(row.q1)
+
+
+@pytest.mark.parametrize("parts", ["4", "1", "37"])
+def test_rank_with_bounds_from_a_table_runs_the_rows_once(spark, hot, parts):
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        seen = spark.sparkContext.accumulator(0)
+        keys = hot.select("k", "id")
+        costly = hot.where("id % 3 <> 1").rdd.map(lambda r: (seen.add(1), r)[1]).toDF(hot.schema)
+        ranked = O.global_rank(costly, ["k", "id"], "r", total="n", key_source=keys).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    n = hot.where("id % 3 <> 1").count()
+    assert seen.value == n
+    got = sorted(ranked, key=lambda x: x.r)
+    assert [x.r for x in got] == list(range(1, n + 1)) and {x.n for x in got} == {n}
+    order = [(x.k is not None, x.k or 0, x.id) for x in got]
+    assert order == sorted(order)
+
+
+def test_rank_with_bounds_spreads_copies_and_takes_empty_tables(spark):
+    same = spark.range(20_000).selectExpr("1 a", "id b")
+    placed = O._placed_by(same, ["a"], same)
+    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 10_000
+    assert O.global_rank(same, ["a"], "r", key_source=same.limit(0)).agg(F.max("r")).first()[0] == 20_000
+    assert O.global_rank(same.limit(0), ["a"], "r", key_source=same).count() == 0
+
+
+@pytest.mark.parametrize("ids, want", [
+    ([5, 6, 7], 5), ([7, 5, 6], 5), ([5, 7], None), ([5, 5, 7], None), ([], None), ([None], None), ([1, None], None),
+    ([-1, 0, 1], -1), (list(range(32_760, 32_780)), 32_760),
+])
+def test_dense_start(spark, ids, want):
+    assert O.dense_start(spark.createDataFrame([(i,) for i in ids], "k LONG"), "k") == want
