@@ -114,3 +114,22 @@ def correlation_label(value: Column) -> Column:
 
 def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
+
+
+# Exact distinct counts of dense integer keys: per group one row for each bucket of 32768 keys,
+# with a bitmap of those present. Bitmaps combine before a shuffle.
+KEY_BUCKET, KEY_BITS = "__bucket", "__bits"
+
+
+def key_bucket(key: str) -> Column:
+    """The bucket of a key, to group by; NULL keys have a bucket of their own without bits."""
+    return F.bitmap_bucket_number(col(key)).alias(KEY_BUCKET)
+
+
+def key_bits(key: str) -> Column:
+    return F.bitmap_construct_agg(F.bitmap_bit_position(col(key))).alias(KEY_BITS)
+
+
+def count_bits() -> Column:
+    """Distinct keys of a group, over its buckets."""
+    return F.sum(F.bitmap_count(KEY_BITS))

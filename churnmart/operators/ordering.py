@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from churnmart.functions.exprs import col, quoted
+from churnmart.functions.exprs import col, count_bits, key_bits, key_bucket, quoted
 from churnmart.session import materialize
 
 _POS, _PART, _IDX, _TIE = "__pos", "__part", "__idx", "__tie"
@@ -74,14 +74,13 @@ def _placed_by(df: DataFrame, order, key_source: DataFrame) -> DataFrame:
 def dense_start(df: DataFrame, key: str) -> int | None:
     """The smallest ``key`` if the keys of ``df`` are one run without gaps, copies or NULLs, else None.
 
-    Keys are set in bitmaps of 32768 bits that combine before the shuffle.
+    Keys are set in bitmaps that combine before the shuffle.
     """
-    buckets = df.groupBy(F.bitmap_bucket_number(col(key)).alias("__bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(col(key))).alias("__bits"),
-        F.count(F.lit(1)).alias("__n"), F.min(col(key)).alias("__least"), F.max(col(key)).alias("__most"),
+    buckets = df.groupBy(key_bucket(key)).agg(
+        key_bits(key), F.count(F.lit(1)).alias("__n"), F.min(col(key)).alias("__least"), F.max(col(key)).alias("__most"),
     )
     found = buckets.agg(
-        F.sum("__n").alias("n"), F.sum(F.bitmap_count("__bits")).alias("different"),
+        F.sum("__n").alias("n"), count_bits().alias("different"),
         F.min("__least").alias("least"), F.max("__most").alias("most"),
     ).first()
     if found.n is None or found.least is None:

@@ -8,7 +8,7 @@ Windows appear only after aggregation, over report rows. NULL group keys are kep
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from churnmart import constants as C
-from churnmart.functions.exprs import col, map_label, money, rate_pct
+from churnmart.functions.exprs import KEY_BITS, KEY_BUCKET, col, count_bits, key_bits, key_bucket, map_label, money, rate_pct
 from churnmart.operators.ordering import global_rank, ntile_from_rank
 
 
@@ -88,18 +88,22 @@ def monthly_churn_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Churn rate per month and its change on the month before.
 
     ``total_transactions`` counts distinct customers while the rate divides by rows: the
-    names and formulas of the report as users know them.
+    names and formulas of the report as users know them. Customers are bits of their dense
+    keys: bitmaps, not (month, customer) pairs, are shuffled.
     """
-    churned, rows = F.sum("churn_flag"), _rows()
+    churned, rows = F.sum("churned"), F.sum("rows")
     exact_rate = F.round(
         churned.cast("decimal(20,0)") * 100 / rows.cast("decimal(20,0)"), 2
     ).cast("decimal(7,2)")
+    month = ["year", "month", "month_name", "year_month"]
     months = (
         fact.select("date_sk", "customer_sk", "churn_flag")
-        .join(dim_date.select("date_sk", "year", "month", "month_name", "year_month"), "date_sk")
-        .groupBy("year", "month", "month_name", "year_month")
+        .join(dim_date.select("date_sk", *month), "date_sk")
+        .groupBy(*month, key_bucket("customer_sk"))
+        .agg(key_bits("customer_sk"), F.sum("churn_flag").alias("churned"), _rows().alias("rows"))
+        .groupBy(*month)
         .agg(
-            F.count_distinct("customer_sk").alias("total_transactions"),
+            count_bits().alias("total_transactions"),
             churned.alias("churned_txns"),
             exact_rate.alias("rate"),
         )
@@ -122,24 +126,30 @@ def monthly_churn_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 def product_analysis(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Revenue, customers and churn per product, ranked by revenue.
 
-    The fact shrinks to one row per product and customer, on two integer keys, before it
-    meets the product names; distinct customers are then counted per name.
+    The fact shrinks to bitmaps of customer keys and sums per product before it meets the
+    product names; the bitmaps of products of one name are united, then counted.
     """
     churned, rows = F.sum("churned"), F.sum("rows")
-    per_customer = fact.groupBy("product_sk", "customer_sk").agg(
+    per_product = fact.groupBy("product_sk", key_bucket("customer_sk")).agg(
+        key_bits("customer_sk"),
         F.count("transaction_sk").alias("transactions"),
         F.sum("amount").alias("amount"),
         F.count("amount").alias("amounts"),
         F.sum("churn_flag").alias("churned"),
         _rows().alias("rows"),
     )
-    named = per_customer.join(
+    named = per_product.join(
         dim_product.select("product_sk", "product_name", "product_category", "interest_rate_pct"),
         "product_sk",
     )
     mean = F.try_divide(F.sum("amount"), F.sum("amounts").cast("decimal(20,0)"))
-    grouped = named.groupBy("product_name", "product_category", "interest_rate_pct").agg(
-        F.count_distinct("customer_sk").alias("customer_count"),
+    name = ["product_name", "product_category", "interest_rate_pct"]
+    united = named.groupBy(*name, KEY_BUCKET).agg(
+        F.bitmap_or_agg(KEY_BITS).alias(KEY_BITS),
+        *[F.sum(c).alias(c) for c in ("transactions", "amount", "amounts", "churned", "rows")],
+    )
+    grouped = united.groupBy(*name).agg(
+        count_bits().alias("customer_count"),
         F.sum("transactions").alias("transaction_count"),
         F.sum("amount").alias("revenue"),
         money(mean).alias("avg_transaction_value"),

@@ -83,3 +83,11 @@ def test_correlation_labels(spark):
     assert evaluate(df, E.correlation_label(F.col("x"))) == [
         "strong positive", "moderate negative", "weak positive", "strong negative", "weak negative",
     ]
+
+
+def test_bitmaps_count_distinct_keys(spark):
+    rows = [("a", k) for k in (1, 1, 2, 32768, 32769, 100_000, 100_000, -5, None, None)] + [("b", None)] + [("c", 7)] * 3
+    df = spark.createDataFrame(rows, "g STRING, k LONG").repartition(3)
+    bits = df.groupBy("g", E.key_bucket("k")).agg(E.key_bits("k"))
+    got = {r.g: r.n for r in bits.groupBy("g").agg(E.count_bits().alias("n")).collect()}
+    assert got == {"a": 6, "b": 0, "c": 1}

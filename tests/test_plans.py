@@ -64,3 +64,11 @@ def test_no_python_rows_and_no_cartesian_products(bank):
         plan = plan_of(CATALOG[name](bank))
         for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in plan, (name, bad)
+
+
+def test_distinct_customers_are_shuffled_as_bitmaps(bank):
+    for df in (marts.monthly_churn_trend(bank.fact, bank.dim_date), marts.product_analysis(bank.fact, bank.dim_product)):
+        plan = plan_of(df)
+        assert "bitmap_construct_agg" in plan and "hashpartitioning" in plan
+        for keys in re.findall(r"hashpartitioning\(([^)]*)\)", plan):
+            assert "customer_sk" not in keys
