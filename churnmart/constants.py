@@ -135,3 +135,8 @@ ACTIONS = (
     (3, "Send engagement email"),
 )
 DEFAULT_ACTION = "Monitor"
+
+# Names of the staging steps in the step report.
+STAGING_STEPS = (
+    "Null Treatment", "Full Row Deduplication", "Key Deduplication", "Standardization", "Outlier Capping",
+)

@@ -6,10 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from churnmart import constants as C
 from churnmart.functions.exprs import add_up, col, quoted, round_even, share_pct
-from churnmart.operators import cleanse
 from churnmart.operators.joins import HotKeys, repeat_rows, salted_join
 from churnmart.operators.ordering import wide_quantiles
-from churnmart.session import materialize
 
 
 def _rows(stats: DataFrame, entries) -> DataFrame:
@@ -147,37 +145,6 @@ def outliers_iqr(df: DataFrame, columns=C.OUTLIER_COLUMNS) -> DataFrame:
     ])
 
 
-def step_counts(df: DataFrame, key=C.RAW_KEY) -> DataFrame:
-    """Rows before and after each staging step, counted on what the steps return.
-
-    Counts are taken from the steps themselves instead of an observer on the running job: a
-    stage that is run again after a lost executor would be observed twice.
-    """
-    filled = materialize(cleanse.impute(df, cleanse.fit_fill_values(df)), "step-filled")
-    standard = materialize(cleanse.standardize(cleanse.deduplicate(filled, key)), "step-standard")
-    steps = {
-        "Null Treatment": filled,
-        "Full Row Deduplication": filled.distinct(),
-        "Key Deduplication": cleanse.deduplicate(filled, key),
-        "Standardization": standard,
-        "Outlier Capping": cleanse.cap_outliers(standard, cleanse.fit_caps(standard)),
-    }
-    rows = F.count(F.lit(1))
-    counts = df.agg(rows.alias("0")).select("*", *[
-        step.agg(rows).scalar().alias(str(i)) for i, step in enumerate(steps.values(), 1)
-    ])
-    return _rows(counts, [
-        {
-            "step_no": F.lit(i),
-            "step": F.lit(name),
-            "rows_before": col(str(i - 1)),
-            "rows_after": col(str(i)),
-            "rows_removed": col(str(i - 1)) - col(str(i)),
-        }
-        for i, name in enumerate(steps, 1)
-    ])
-
-
 def quality_gate(staged: DataFrame, source_count: Column) -> DataFrame:
     """All staging checks, with the ``gate`` decided by retention, mandatory values and keys.
 

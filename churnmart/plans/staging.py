@@ -1,5 +1,6 @@
 """Raw customers to staged customers: T2 .. T8 as one chain."""
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
@@ -13,16 +14,39 @@ from churnmart.operators.cleanse import (
     impute,
     standardize,
 )
+from churnmart.functions.exprs import quoted
 from churnmart.operators.derive import derive_columns, risk_score
 from churnmart.operators.ordering import surrogate_key
 from churnmart.session import materialize
 
 
+_COPIES = "__copies"
+
+
+@dataclass(frozen=True)
+class Cleansing:
+    """T2-T4 of a feed as written tables: its different rows, and one clean row per key."""
+
+    raw: DataFrame
+    different: DataFrame
+    rows: DataFrame
+
+
+def cleanse_feed(raw: DataFrame) -> Cleansing:
+    """T2-T4. Both tables are written once; the caps are fitted on the last, and later steps read it.
+
+    Copies combine before the shuffle; each different row keeps the number of its copies, so
+    that the rows of every step can be counted on what this run has written.
+    """
+    filled = impute(raw, fit_fill_values(raw))
+    counted = filled.groupBy(*quoted(filled.columns)).agg(F.count(F.lit(1)).alias(_COPIES))
+    different = materialize(counted, "different")
+    rows = standardize(deduplicate(different.drop(_COPIES)))
+    return Cleansing(raw, different, materialize(rows, "cleansed"))
+
+
 def cleansed(raw: DataFrame) -> DataFrame:
-    """T2-T4, written once: the caps are fitted on it and the later steps read it."""
-    chain = impute(raw, fit_fill_values(raw))
-    chain = standardize(deduplicate(chain))
-    return materialize(chain, "cleansed")
+    return cleanse_feed(raw).rows
 
 
 def enrich(standardized: DataFrame) -> DataFrame:
@@ -60,3 +84,43 @@ def stage_cleansed(standardized: DataFrame, load_date: date) -> DataFrame:
 def stage_customers(raw: DataFrame, load_date: date) -> DataFrame:
     """Staged customer dimension of an initial load, T2-T8."""
     return stage_cleansed(cleansed(raw), load_date)
+
+
+@dataclass(frozen=True)
+class StagingRun:
+    """Staged customers, a written table, and the rows before and after each step of that run."""
+
+    customers: DataFrame
+    steps: DataFrame
+
+
+def run_staging(raw: DataFrame, load_date: date) -> StagingRun:
+    """T2-T8 with step counts, both from one run."""
+    done = cleanse_feed(raw)
+    customers = materialize(stage_cleansed(done.rows, load_date), "staged")
+    return StagingRun(customers, step_counts(done, customers))
+
+
+def step_counts(done: Cleansing, staged: DataFrame) -> DataFrame:
+    """Rows before and after each staging step, counted on the tables that the run wrote.
+
+    A finished table counts each row once, however often its tasks had to run. Standardisation
+    belongs to the pass that writes one row per key, capping to that which writes ``staged``.
+    """
+    rows = F.count(F.lit(1))
+    per_key, ended = done.rows.select(rows), staged.select(rows)
+    seen = done.raw.select(rows.alias("0")).select(
+        "*",
+        done.different.select(F.coalesce(F.sum(_COPIES), F.lit(0))).scalar().alias("1"),
+        done.different.select(rows).scalar().alias("2"),
+        per_key.scalar().alias("3"),
+        per_key.scalar().alias("4"),
+        ended.scalar().alias("5"),
+    )
+    return seen.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(i).alias("step_no"), F.lit(name).alias("step"), F.col(str(i - 1)).alias("rows_before"),
+            F.col(str(i)).alias("rows_after"), (F.col(str(i - 1)) - F.col(str(i))).alias("rows_removed"),
+        )
+        for i, name in enumerate(C.STAGING_STEPS, 1)
+    ])))

@@ -1,10 +1,34 @@
 """Scans with an explicit schema; nothing is inferred from the data."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from churnmart.schemas import RAW_CUSTOMERS, STAGED_CUSTOMERS, clean_numbers
 
 
+# What a published table says about itself: a rising number and the folder of its files.
+PUBLISHED = "number LONG, folder STRING"
+
+
+def published_versions(spark: SparkSession, path: str) -> list:
+    """(number, folder) of every table published at ``path``, the current one last."""
+    try:
+        notes = spark.read.schema(PUBLISHED).parquet(f"{path}/published")
+        return [tuple(r) for r in notes.orderBy("number", "folder").collect()]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def published(spark: SparkSession, path: str) -> str:
+    """The folder that holds the current table at ``path``, see ``writers.publish_files``."""
+    versions = published_versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"nothing published at {path}")
+    return f"{path}/{versions[-1][1]}"
+
+
 def read_table(spark: SparkSession, path: str, schema, fmt=None) -> DataFrame:
     """CSV with header or Parquet by file ending (or ``fmt``); a bad CSV cell fails the read.
 

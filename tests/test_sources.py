@@ -46,6 +46,44 @@ def test_append_adds_and_overwrite_replaces(spark):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_a_published_table_is_replaced_in_one_step(spark, monkeypatch):
+    path = new_path(spark, "publish-test")
+    with pytest.raises(FileNotFoundError):
+        readers.published(spark, path)
+
+    def now():
+        return sorted(r.id for r in spark.read.parquet(readers.published(spark, path)).collect())
+
+    first = writers.publish_files(spark.range(3), path)
+    reader = spark.read.parquet(first)
+    # A job that reads what it replaces.
+    writers.publish_files(reader.unionByName(spark.range(3, 5)), path)
+    assert now() == [0, 1, 2, 3, 4] and reader.count() == 3
+    # A job that fails while it writes, and one that fails between write and publish.
+    boom = F.raise_error(F.lit("boom")).cast("long")
+    with pytest.raises(Exception, match="boom"):
+        writers.publish_files(spark.range(100).select(F.when(F.col("id") == 99, boom).otherwise(F.col("id")).alias("id")), path)
+    assert now() == [0, 1, 2, 3, 4]
+    written = writers.overwrite_files
+
+    def fails_afterwards(*args):
+        written(*args)
+        raise OSError("lost")
+
+    monkeypatch.setattr(writers, "overwrite_files", fails_afterwards)
+    with pytest.raises(OSError, match="lost"):
+        writers.publish_files(spark.range(7), path)
+    monkeypatch.undo()
+    assert now() == [0, 1, 2, 3, 4]
+    # Older folders go, the one before stays for its readers.
+    writers.publish_files(spark.range(1), path)
+    assert now() == [0]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(first)
+    writers.publish_files(spark.range(2), path)
+    assert now() == [0, 1]
+
+
 def test_enforce_schema_fills_defaults_and_rounds(spark):
     df = spark.createDataFrame(
         [(1, 10, 579.5, 10.005, date(2020, 1, 1))],
