@@ -83,23 +83,11 @@ def money(value: Column, digits=2) -> Column:
     return F.round(value, digits).cast("double")
 
 
-def safe_corr(x: Column, y: Column) -> Column:
-    """Pearson correlation aggregate; NULL (not an error) when a side is constant.
-
-    Both sides must be NULL together: filter incomplete pairs first.
-    """
-    spread = F.stddev_pop(x) * F.stddev_pop(y)
-    return F.try_divide(F.covar_pop(x, y), spread)
-
-
-def adjusted_skew(value: Column) -> Column:
-    """Bias-corrected sample skewness; NULL below three values, 0 for a constant."""
-    n = F.count(value).cast("double")
+def adjusted_skew(rows: Column, skewness: Column, constant: Column) -> Column:
+    """Bias-corrected sample skewness from the plain one; NULL below three values, 0 for a constant."""
+    n = rows.cast("double")
     factor = F.try_divide(F.sqrt(n * (n - 1)), n - 2)
-    constant = F.min(value) == F.max(value)
-    return F.when(n < 3, F.lit(None)).when(constant, F.lit(0.0)).otherwise(
-        F.skewness(value) * factor
-    )
+    return F.when(n < 3, F.lit(None)).when(constant, F.lit(0.0)).otherwise(skewness * factor)
 
 
 def correlation_label(value: Column) -> Column:

@@ -22,6 +22,7 @@ _ROW_BITS = 33
 # One over the error of the sketch of a column, and how far from a quantile its bracket ends.
 _ACCURACY = 10_000
 _NEAR, _FAR, _FEW = 2.5 / _ACCURACY, 0.02, 200
+_NO_ENTRIES = "CAST(array() AS array<struct<__j: int, __v: double, __n: bigint>>)"
 # Cells a bracket is cut into if it holds more different values than are sorted.
 _CELLS, _SORTED = 1024, 100_000
 
@@ -169,70 +170,105 @@ def wide_quantiles(df: DataFrame, columns, probabilities, keys=(), statistics=No
     no value outside a bracket leaves the scan. Should a bracket turn out to miss its position,
     its pass is done again from the smallest to the largest value.
 
-    Result: the keys, column, ``n``, the aggregates that ``statistics`` (a function of a
-    column) names, computed in the first pass, and ``q0, q1, ...``. NULL values are left out,
-    NaN is larger than any number; columns without values have no row.
+    Result: the keys, column, ``n``, the aggregates that ``statistics`` names (SQL text with
+    ``{v}`` for the value), computed in the first pass, and ``q0, q1, ...``. NULL values are
+    left out, NaN is larger than any number; columns without values have no row. Without keys
+    the result is a few numbers, which are fetched at once.
     """
     keys, columns, probabilities = list(keys), list(columns), [float(p) for p in probabilities]
     values = df.select(*quoted(keys), *[col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(columns)])
-    summary = materialize(_sketched(values, columns, probabilities, keys, statistics or (lambda v: {})), "summary")
-    wanted = _wanted(summary, columns, probabilities, keys)
+    sketched = _sketched(values, len(columns), probabilities, keys, statistics or {})
+    if keys:
+        summary, few = materialize(sketched, "summary"), False
+    else:
+        row = sketched.first()
+        summary = df.sparkSession.createDataFrame([row], sketched.schema)
+        # So few rows that no near bracket can hold more values than are sorted.
+        few = max(c["__n"] for c in row) * (2 * _NEAR + 4 / _ACCURACY) < _SORTED
     widened = False
     while True:
-        brackets = _brackets(summary, columns, probabilities, keys, widened)
-        entries = materialize(_entries(values, brackets, len(probabilities), keys), "entries")
-        widest, missed = _widest(entries, wanted, keys)
+        brackets = _brackets(summary, len(columns), probabilities, keys, widened)
+        lanes, number = _lanes(brackets, len(columns), len(probabilities), keys)
+        wanted = _wanted(summary, columns, probabilities, keys, number)
+        entries, missed = _entries(values, brackets, lanes, keys), 0
+        if not few or widened:
+            entries = materialize(entries, "entries")
+            widest, missed = _widest(entries, wanted, keys)
+            while not missed and widest > _SORTED:
+                entries, before = materialize(_thinned(entries, wanted, keys), "entries"), widest
+                widest, _ = _widest(entries, wanted, keys)
+                # Values that arithmetic cannot tell apart end the search as well.
+                if widest == before:
+                    break
         if not missed:
-            break
+            found = _interpolated(entries, wanted, len(probabilities), keys)
+            if keys:
+                return found.drop("__missed")
+            # A row per column.
+            rows = found.collect()
+            present = sum(c["__n"] > 0 for c in row)
+            if len(rows) == present and not any(r["__missed"] for r in rows):
+                return df.sparkSession.createDataFrame(rows, found.schema).drop("__missed")
         widened = True
-    while widest > _SORTED:
-        entries, before = materialize(_thinned(entries, wanted, keys), "entries"), widest
-        widest, _ = _widest(entries, wanted, keys)
-        # Values that arithmetic cannot tell apart end the search as well.
-        if widest == before:
-            break
-    return _interpolated(entries, wanted, len(probabilities), keys)
 
 
-def _sketched(values, columns, probabilities, keys, statistics):
+# The plans below have an expression for each column and probability: they are put together as
+# SQL text, which takes a fraction of the time that as many calls would.
+
+
+def _sketched(values, n_columns, probabilities, keys, statistics):
     """One row per key with a struct per column: count, ends, values around the quantiles, statistics."""
     around = [min(max(p + s, 0.0), 1.0) for p in probabilities for s in (-_NEAR, _NEAR, -_FAR, _FAR)]
 
-    def all_of(v):
-        named = {"__n": F.count(v), "__least": F.min(v), "__most": F.max(v),
-                 "__around": F.percentile_approx(v, around, _ACCURACY), **statistics(v)}
-        return F.struct(*[e.alias(name) for name, e in named.items()])
-
+    named = {"__n": "count({v})", "__least": "min({v})", "__most": "max({v})",
+             "__around": f"percentile_approx({{v}}, array({', '.join(f'{p!r}D' for p in around)}), {_ACCURACY})", **statistics}
+    fields = ", ".join(f"'{name}', {e}" for name, e in named.items())
     return values.groupBy(*quoted(keys)).agg(*[
-        all_of(F.col(f"__v{i}")).alias(f"__c{i}") for i in range(len(columns))
+        F.expr(f"named_struct({fields.replace('{v}', f'__v{i}')})").alias(f"__c{i}") for i in range(n_columns)
     ])
 
 
-def _brackets(summary, columns, probabilities, keys, widened):
+def _brackets(summary, n_columns, probabilities, keys, widened):
     """Per key the lower and upper ends, ``__lo`` and ``__hi``, of column 0 probability 0, 1, ..., column 1 ...
 
     Near ends where the values are many enough for the sketch's error and rounding to fit in
     between, far ones for fewer, the smallest and largest value for few.
     """
     def end(i, number, p, side):
-        c, outer = f"__c{i}", "__most" if side else "__least"
+        c, outer = f"__c{i}", f"__c{i}.__{'most' if side else 'least'}"
         if widened:
-            return F.col(f"{c}.{outer}")
+            return outer
 
         def at(reach, offset):
             beyond = p + reach >= 1 if side else p - reach <= 0
-            return F.col(f"{c}.{outer}") if beyond else F.col(f"{c}.__around")[4 * number + offset + side]
+            return outer if beyond else f"{c}.__around[{4 * number + offset + side}]"
 
-        n = F.col(f"{c}.__n")
-        return F.when(n >= 2 * _ACCURACY, at(_NEAR, 0)).when(n >= _FEW, at(_FAR, 2)).otherwise(F.col(f"{c}.{outer}"))
+        return f"CASE WHEN {c}.__n >= {2 * _ACCURACY} THEN {at(_NEAR, 0)} WHEN {c}.__n >= {_FEW} THEN {at(_FAR, 2)} ELSE {outer} END"
 
-    every = [(i, number, p) for i in range(len(columns)) for number, p in enumerate(probabilities)]
+    every = [(i, number, p) for i in range(n_columns) for number, p in enumerate(probabilities)]
     return summary.select(*quoted(keys), *[
-        F.array(*[end(*one, side) for one in every]).alias(name) for side, name in enumerate(("__lo", "__hi"))
+        F.expr(f"array({', '.join(end(*one, side) for one in every)})").alias(name) for side, name in enumerate(("__lo", "__hi"))
     ])
 
 
-def _entries(values, brackets, per_column, keys):
+def _lanes(brackets, n_columns, per_column, keys):
+    """The brackets to count, (value, low, high, whether they may differ), and the lane of each.
+
+    Without keys the ends are numbers, and equal brackets of a column are one lane.
+    """
+    if keys:
+        every = [(f"__v{j // per_column}", f"__lo[{j}]", f"__hi[{j}]", True) for j in range(n_columns * per_column)]
+        return every, list(range(len(every)))
+    ends = brackets.first()
+    lanes: dict = {}
+    number = []
+    for j in range(n_columns * per_column):
+        low, high = (f"CAST({'NULL' if x is None else repr(str(x))} AS DOUBLE)" for x in (ends["__lo"][j], ends["__hi"][j]))
+        number.append(lanes.setdefault((f"__v{j // per_column}", low, high, low != high), len(lanes)))
+    return list(lanes), number
+
+
+def _entries(values, brackets, lanes, keys):
     """(keys, __j, __v, __n): counts of the values in each bracket, ends included; NULL: how many are below.
 
     A task folds its rows into one row of counts and the few values strictly inside.
@@ -240,49 +276,41 @@ def _entries(values, brackets, per_column, keys):
     if keys:
         renamed = brackets.withColumnsRenamed({k: f"__r_{k}" for k in keys})
         match = reduce(lambda a, b: a & b, [col(k).eqNullSafe(F.col(f"`__r_{k}`")) for k in keys])
-        both = values.join(renamed, match)
-    else:
-        ends = brackets.select(F.struct("__lo", "__hi")).scalar()
-        both = values.withColumn("__ends", ends).select("*", "__ends.*").drop("__ends")
-    part = both.withColumn("__task", F.spark_partition_id())
-    lanes = [
-        (j, F.col(f"__v{j // per_column}"), F.col("__lo")[j], F.col("__hi")[j])
-        for j in range((len(values.columns) - len(keys)) * per_column)
+        values = values.join(renamed, match)
+    inside = [
+        f"named_struct('__j', {j}, '__v', CASE WHEN {v} > {lo} AND {v} < {hi} THEN {v} END, '__n', 1L)"
+        for j, (v, lo, hi, wide) in enumerate(lanes) if wide
     ]
-    inside = F.filter(
-        F.array(*[F.struct(F.lit(j).alias("__j"), F.when((v > lo) & (v < hi), v).alias("__v"), F.lit(1).cast("long").alias("__n"))
-                  for j, v, lo, hi in lanes]),
-        lambda x: x["__v"].isNotNull(),
-    )
-    counts = F.array(*[
-        F.struct(F.lit(j).alias("__j"), end.alias("__v"), F.count_if(where).alias("__n"))
-        for j, v, lo, hi in lanes
-        for end, where in (
-            (F.lit(None).cast("double"), v < lo),
-            (F.any_value(lo), v == lo),
-            (F.any_value(hi), (v == hi) & (hi > lo)),
-        )
-    ])
-    folded = part.groupBy(*quoted(keys), "__task").agg(
-        F.concat(counts, F.flatten(F.collect_list(F.when(F.size(inside) > 0, inside)))).alias("__all")
-    )
-    each = folded.select(*quoted(keys), F.inline(F.filter("__all", lambda x: x["__n"] > 0)))
+    end = (lambda x: f"any_value({x})") if keys else (lambda x: x)
+    counts = [
+        f"named_struct('__j', {j}, '__v', {at}, '__n', count_if({where}))"
+        for j, (v, lo, hi, wide) in enumerate(lanes)
+        for at, where in [("CAST(NULL AS DOUBLE)", f"{v} < {lo}"), (end(lo), f"{v} = {lo}")]
+        + ([(end(hi), f"{v} = {hi} AND {hi} > {lo}")] if wide else [])
+    ]
+    found = F.expr(f"filter(array({', '.join(inside)}), x -> x.__v IS NOT NULL)" if inside else _NO_ENTRIES)
+    task = values.withColumns({"__task": F.spark_partition_id(), "__inside": found})
+    folded = task.groupBy(*quoted(keys), "__task").agg(F.expr(
+        f"concat(array({', '.join(counts)}), flatten(collect_list(CASE WHEN size(__inside) > 0 THEN __inside END)))"
+    ).alias("__all"))
+    each = folded.select(*quoted(keys), F.expr("inline(filter(__all, x -> x.__n > 0))"))
     return each.groupBy(*quoted(keys), "__j", "__v").agg(F.sum("__n").alias("__n"))
 
 
-def _wanted(summary, columns, probabilities, keys):
+def _wanted(summary, columns, probabilities, keys, number):
     """(keys, __j, column, __i, __p, n, statistics, __first, __last): the positions of each quantile."""
     named = [f.name for f in summary.schema["__c0"].dataType if f.name not in ("__n", "__least", "__most", "__around")]
-    rows = [
-        F.struct(
-            F.lit(i * len(probabilities) + number).alias("__j"), F.lit(c).alias("column"), F.lit(number).alias("__i"),
-            F.lit(p).alias("__p"), F.col(f"__c{i}.__n").alias("n"),
-            F.struct(*([F.col(f"__c{i}.{name}") for name in named] or [F.lit(0).alias("__none")])).alias("__stats"),
-        )
-        for i, c in enumerate(columns) for number, p in enumerate(probabilities)
-    ]
+    rows = []
+    for i, c in enumerate(columns):
+        text = c.replace("\\", "\\\\").replace("'", "\\'")
+        stats = ", ".join(f"'{name}', __c{i}.`{name}`" for name in named) or "'__none', 0"
+        rows += [
+            f"named_struct('__j', {number[i * len(probabilities) + at]}, 'column', '{text}', '__i', {at}, "
+            f"'__p', CAST({p!r} AS DOUBLE), 'n', __c{i}.__n, '__stats', named_struct({stats}))"
+            for at, p in enumerate(probabilities)
+        ]
     at = F.col("__p") * (F.col("n") - 1).cast("double")
-    return summary.select(*quoted(keys), F.inline(F.array(*rows))).where("n > 0").select(
+    return summary.select(*quoted(keys), F.expr(f"inline(array({', '.join(rows)}))")).where("n > 0").select(
         "*", F.floor(at).alias("__first"), F.ceil(at).alias("__last")
     )
 
@@ -340,7 +368,8 @@ def _interpolated(entries, wanted, n_probabilities, keys):
 
     target = ["column", "__i", "__p", "n", "__first"]
     picked = placed.groupBy(*quoted(keys), *target).agg(
-        value_at("__first").alias("__low"), value_at("__last").alias("__high"), F.any_value("__stats").alias("__stats")
+        value_at("__first").alias("__low"), value_at("__last").alias("__high"), F.any_value("__stats").alias("__stats"),
+        F.min(F.col("__upto") - F.col("__n")).alias("__below"),
     )
     low, high = F.col("__low"), F.col("__high")
     weight = F.col("__p") * (F.col("n") - 1).cast("double") - F.col("__first")
@@ -351,7 +380,9 @@ def _interpolated(entries, wanted, n_probabilities, keys):
     return picked.groupBy(*quoted(keys), "column").agg(
         F.max("n").alias("n"), F.any_value("__stats").alias("__stats"),
         *[F.max(F.when(F.col("__i") == i, found)).alias(f"q{i}") for i in range(n_probabilities)],
-    ).select(*quoted(keys), "column", "n", "__stats.*", *[f"q{i}" for i in range(n_probabilities)]).drop("__none")
+        ((F.count(F.lit(1)) < n_probabilities) | F.max(F.col("__high").isNull() | (F.col("__below") > F.col("__first"))))
+        .alias("__missed"),
+    ).select(*quoted(keys), "column", "n", "__stats.*", *[f"q{i}" for i in range(n_probabilities)], "__missed").drop("__none")
 
 
 def modes(df: DataFrame, columns) -> DataFrame:

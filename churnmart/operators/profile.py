@@ -3,8 +3,6 @@
 Group keys that are NULL are left out here (marts keep them).
 """
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from churnmart import constants as C
@@ -14,15 +12,14 @@ from churnmart.functions.exprs import (
     col,
     correlation_label,
     round_even,
-    safe_corr,
     share_pct,
 )
 from churnmart.operators.ordering import exact_quantiles, wide_quantiles
 from churnmart.session import materialize
 
 
-# Pairs of one aggregate: ten buffers each, and code is generated for up to a hundred.
-_PAIRS = 9
+# Rows a typical value of a column is taken from, and the share of a sum of squares that is rounding.
+_TYPICAL_ROWS, _ROUNDING = 1000, 1e-12
 
 
 def numeric_columns(df: DataFrame) -> list:
@@ -32,8 +29,8 @@ def numeric_columns(df: DataFrame) -> list:
 def describe_numeric(df: DataFrame, columns=None, digits=2) -> DataFrame:
     """count, mean, std, min, quartiles and max per numeric column."""
     columns = columns or numeric_columns(df)
-    found = wide_quantiles(df, columns, [0.25, 0.5, 0.75], statistics=lambda v: {
-        "mean": F.avg(v), "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v),
+    found = wide_quantiles(df, columns, [0.25, 0.5, 0.75], statistics={
+        "mean": "avg({v})", "std": "stddev_samp({v})", "min": "min({v})", "max": "max({v})",
     })
     return found.select(
         "column",
@@ -48,12 +45,14 @@ def describe_numeric(df: DataFrame, columns=None, digits=2) -> DataFrame:
 
 def univariate_stats(df: DataFrame, columns) -> DataFrame:
     """min, max, mean, median, std and bias-corrected skew per column."""
-    found = wide_quantiles(df, columns, [0.5], statistics=lambda v: {
-        "min": F.min(v), "max": F.max(v), "mean": round_even(F.avg(v), 1),
-        "std": round_even(F.stddev_samp(v), 1), "skew": round_even(adjusted_skew(v), 3),
+    found = wide_quantiles(df, columns, [0.5], statistics={
+        "min": "min({v})", "max": "max({v})", "mean": "avg({v})", "std": "stddev_samp({v})", "g1": "skewness({v})",
     })
-    median = round_even(F.col("q0"), 1).alias("median")
-    return found.select("column", "min", "max", "mean", median, "std", "skew")
+    skew = adjusted_skew(F.col("n"), F.col("g1"), F.col("min") == F.col("max"))
+    return found.select(
+        "column", "min", "max", round_even(F.col("mean"), 1).alias("mean"), round_even(F.col("q0"), 1).alias("median"),
+        round_even(F.col("std"), 1).alias("std"), round_even(skew, 3).alias("skew"),
+    )
 
 
 def _row_count(df: DataFrame) -> Column:
@@ -159,25 +158,42 @@ def balance_segments(df: DataFrame) -> DataFrame:
 def correlations(df: DataFrame, pairs, digits: int) -> DataFrame:
     """Pearson correlation per pair, incomplete observations left out pair by pair.
 
-    No row is repeated: pairs are columns of wide aggregates, as many in one as its generated
-    code can hold.
+    One scan and one aggregate. Rows are grouped by which of the columns are NULL, few patterns
+    in practice; a pattern sums its values and their products, with NULL as zero, and a pair
+    adds up the patterns that have both sides. Values are taken from a typical one of the
+    column, so that the squares of large numbers do not swallow the spread. NULL where a side
+    is constant or no row has both.
     """
     pairs = list(pairs)
-    parts = [_correlations(df, pairs[i : i + _PAIRS], digits) for i in range(0, len(pairs), _PAIRS)]
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def _correlations(df: DataFrame, pairs, digits: int) -> DataFrame:
-    both = [(col(a).cast("double"), col(b).cast("double")) for a, b in pairs]
-    flat = df.agg(*[
-        round_even(safe_corr(F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)), digits)
-        .alias(f"c{i}")
-        for i, (x, y) in enumerate(both)
-    ])
-    return flat.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"c{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)
-    ])))
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    at = {c: i for i, c in enumerate(columns)}
+    values = df.select(*[col(c).cast("double").alias(f"v{i}") for c, i in at.items()])
+    # Any value would do; of the first rows the middle one is no outlier.
+    typical = values.limit(_TYPICAL_ROWS).agg(*[F.percentile_approx(v, 0.5).alias(v) for v in values.columns]).first()
+    near = values.select(
+        F.expr(f"concat({', '.join(f'int({v} IS NOT NULL)' for v in values.columns)})").alias("p"),
+        *[F.coalesce(F.col(v) - F.lit(typical[v] or 0.0), F.lit(0.0)).alias(v) for v in values.columns],
+    )
+    # As SQL text: as many calls would take longer than the query.
+    products = dict.fromkeys([(i, i) for i in at.values()] + [tuple(sorted((at[x], at[y]))) for x, y in pairs])
+    patterns = near.groupBy("p").agg(F.expr("count(1) AS n"), *[
+        F.expr(f"sum(v{i}) AS s{i}") for i in at.values()
+    ], *[F.expr(f"sum(v{i} * v{j}) AS s{i}_{j}") for i, j in products])
+    rows = []
+    for k, (x, y) in enumerate(pairs):
+        i, j = at[x], at[y]
+        named = {"n": "n", "x": f"s{i}", "y": f"s{j}", "xx": f"s{i}_{i}", "yy": f"s{j}_{j}", "xy": f"s{min(i, j)}_{max(i, j)}"}
+        both = f"substring(p, {i + 1}, 1) = '1' AND substring(p, {j + 1}, 1) = '1'"
+        sums = ", ".join(f"'{name}', CASE WHEN {both} THEN {c} END" for name, c in named.items())
+        rows.append(f"named_struct('k', {k}, {sums})")
+    each = patterns.select(F.expr(f"inline(array({', '.join(rows)}))"))
+    total = each.groupBy("k").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    spread_x, spread_y = (F.col(s + s) - F.col(s) * F.col(s) / F.col("n") for s in "xy")
+    varies = (spread_x > F.col("xx") * _ROUNDING) & (spread_y > F.col("yy") * _ROUNDING)
+    both = F.col("xy") - F.col("x") * F.col("y") / F.col("n")
+    corr = F.when(varies, F.try_divide(both, F.sqrt(spread_x) * F.sqrt(spread_y)))
+    sides = [F.element_at(F.array(*map(F.lit, side)), F.col("k") + 1) for side in zip(*pairs)]
+    return total.select(sides[0].alias("x"), sides[1].alias("y"), round_even(corr, digits).alias("corr"))
 
 
 def correlation_matrix(df: DataFrame, columns=C.CORRELATION_COLUMNS, digits=2) -> DataFrame:

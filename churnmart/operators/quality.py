@@ -120,8 +120,8 @@ def churn_distribution(df: DataFrame) -> DataFrame:
 
 def outliers_iqr(df: DataFrame, columns=C.OUTLIER_COLUMNS) -> DataFrame:
     """Tukey fences per column, rows outside, and the column's extremes."""
-    found = wide_quantiles(df, columns, [0.25, 0.75], statistics=lambda v: {
-        "least": F.min(v), "most": F.max(v),
+    found = wide_quantiles(df, columns, [0.25, 0.75], statistics={
+        "least": "min({v})", "most": "max({v})",
     })
     quartiles = {r["column"]: r for r in found.collect()}
     fences = {

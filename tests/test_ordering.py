@@ -131,7 +131,7 @@ def test_quantiles_of_many_columns_equal_numpy(spark, broken, monkeypatch):
         monkeypatch.setattr(O, "_SORTED", 500)
     rows, df = columns_of_all_kinds(spark)
     p = [0.0, 0.013, 0.5, 0.999, 1.0]
-    got = O.wide_quantiles(df, ["a", "b", "c", "d", "e"], p, ["g"], lambda v: {"mean": F.avg(v)}).collect()
+    got = O.wide_quantiles(df, ["a", "b", "c", "d", "e"], p, ["g"], {"mean": "avg({v})"}).collect()
     assert len(got) == 2 * 4
     for row in got:
         values = [x["abcde".index(row.column)] for x in rows if x[5] == row.g]
@@ -142,31 +142,35 @@ def test_quantiles_of_many_columns_equal_numpy(spark, broken, monkeypatch):
     assert whole == {c: np.quantile([x["abcde".index(c)] for x in rows], 0.25) for c in "ae"}
 
 
-def test_quantiles_read_a_table_twice_and_repeat_no_row(spark, monkeypatch):
+@pytest.mark.parametrize("keys", [[], ["g"]])
+def test_quantiles_read_a_table_twice_and_repeat_no_row(spark, monkeypatch, keys):
     _, df = columns_of_all_kinds(spark)
-    plans, written = [], O.materialize
-
-    def spy(table, label, *more):
-        plans.append((label, table._jdf.queryExecution().optimizedPlan().toString()))
-        return written(table, label, *more)
-
-    df = written(df, "values")
-    monkeypatch.setattr(O, "materialize", spy)
-    out = O.wide_quantiles(df, ["a", "b", "c", "e"], [0.25, 0.5, 0.75])
-    assert [label for label, _ in plans] == ["summary", "entries"]
-    for _, plan in plans:
+    df, plans = O.materialize(df, "values"), []
+
+    def spied(step):
+        def run(*args):
+            out = step(*args)
+            plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+            return out
+        return run
+
+    for name in ("_sketched", "_entries"):
+        monkeypatch.setattr(O, name, spied(getattr(O, name)))
+    out = O.wide_quantiles(df, ["a", "b", "c", "e"], [0.25, 0.5, 0.75], keys)
+    assert len(plans) == 2
+    for plan in plans:
         lines = plan.splitlines()
         scan = next(i for i, line in enumerate(lines) if "Relation [a" in line)
         innermost = max(i for i in range(scan) if "Aggregate" in lines[i])
         assert not any("Generate" in line for line in lines[innermost:scan])
-    # Few of the 30,000 rows are left to sort, and the result reads none of the source.
+    # Nothing after these two reads the source.
     assert "Relation [a" not in out._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_only_values_in_brackets_are_kept(spark, monkeypatch):
     _, df = columns_of_all_kinds(spark, 60_000)
     kept = []
-    monkeypatch.setattr(O, "_widest", lambda entries, *a, f=O._widest: kept.append(entries.count()) or f(entries, *a))
+    monkeypatch.setattr(O, "_interpolated", lambda entries, *a, f=O._interpolated: kept.append(entries.count()) or f(entries, *a))
     row = O.wide_quantiles(df, ["e"], [0.5]).first()
     assert row.q0 == 29_999.5 and kept[0] < 100
 

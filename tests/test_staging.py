@@ -175,3 +175,30 @@ def test_step_counts_see_rows_that_only_imputation_makes_equal(spark, bank):
     assert "Window" not in plan and "Sort" not in plan and "Join" not in plan
     assert plain["Full Row Deduplication"].rows_after < bank.dirty.distinct().count()
     assert plain["Key Deduplication"].rows_after == bank.raw.count()
+
+
+def test_correlations_match_pandas_with_nulls_and_constants(spark):
+    from churnmart.operators import profile
+
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"a": rng.normal(1e9, 1, 400), "b": rng.normal(0, 1e-6, 400), "c": rng.integers(0, 3, 400).astype(float)})
+    pdf["d"] = pdf.a * 2 + rng.normal(0, 1, 400)
+    pdf["flat"], pdf["none"] = 7.25, None
+    pdf.loc[::3, "b"] = None
+    pdf.loc[pdf.c == 1, "d"] = None
+    rows = [tuple(None if v is None or v != v else float(v) for v in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE, flat DOUBLE, none DOUBLE").repartition(5)
+    got = {(r.x, r.y): r["corr"] for r in profile.correlation_matrix(df, list(pdf.columns), 6).collect()}
+    assert len(got) == 36
+    want = pdf[["a", "b", "c", "d"]].corr()
+    for x in "abcd":
+        for y in "abcd":
+            assert got[x, y] == pytest.approx(want.loc[x, y], abs=2e-6)
+    assert all(v is None for (x, y), v in got.items() if {"flat", "none"} & {x, y})
+
+
+def test_correlations_scan_once(bank):
+    from churnmart.operators import profile
+
+    plan = profile.correlation_matrix(bank.dirty)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Union" not in plan
