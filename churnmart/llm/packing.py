@@ -24,13 +24,12 @@ from churnmart.llm.common import arrow_map, id_type, slices, struct, text_or_emp
 
 # Examples that wait in a task at most. More give the heuristic more choice, not other rules.
 POOL = 4096
-# Distinct chunks a task remembers the ids of.
-REMEMBERED = 400_000
+# Characters of a text that are encoded at once.
+PIECE = 1 << 18
 
 # The pattern of the vocabulary never matches from a visible character over to white space,
-# so the ids of a text are those of its chunks "white space, then visible characters".
-# \x1c-\x1f are white space for `re` only.
-_CHUNKS = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+").findall
+# so the ids of a text are those of its pieces cut there. \x1c-\x1f are white space for `re` only.
+_CUT = re.compile(r"(?<=[\S\x1c-\x1f])(?=[^\S\x1c-\x1f])")
 
 
 class ByteBpe:
@@ -45,16 +44,18 @@ class ByteBpe:
         self._encode = tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
-        self._known = {}
 
     def __call__(self, text):
-        known, chunks = self._known, _CHUNKS(text)
-        for chunk in set(chunks).difference(known):
-            known[chunk] = np.array(self._encode(chunk), "<u4").tobytes()
-        ids = b"".join(map(known.__getitem__, chunks))
-        if len(known) > REMEMBERED:
-            known.clear()
-        return ids
+        return b"".join(np.array(self._encode(piece), "<u4").tobytes() for piece in _pieces(text))
+
+
+def _pieces(text):
+    at = 0
+    while at < len(text):
+        cut = _CUT.search(text, at + PIECE) if len(text) - at > PIECE else None
+        end = cut.start() if cut else len(text)
+        yield text[at:end]
+        at = end
 
 
 class Packer:

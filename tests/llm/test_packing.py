@@ -23,9 +23,12 @@ def tokenizer():
 @pytest.mark.parametrize("text", [
     "", " ", "a", " a  b\n\n c\t", "don't I'll 12 3.5!!", "\x1c a\x1fb !\x1c!", "é ü　漢字 x", "a\r\n b \r", "😀👍🏽 é", " x \u0085y", "  lead", "trail  \n ",
 ])
-def test_chunks_have_the_ids_of_the_whole_text(tokenizer, text):
-    ids = np.frombuffer(packing.ByteBpe(RANKS)(text), "<u4").tolist()
-    assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+def test_pieces_have_the_ids_of_the_whole_text(tokenizer, text, monkeypatch):
+    want = tokenizer.encode(text, add_special_tokens=False).ids
+    encode = packing.ByteBpe(RANKS)
+    for piece in (1 << 18, 1, 3):
+        monkeypatch.setattr(packing, "PIECE", piece)
+        assert np.frombuffer(encode(text), "<u4").tolist() == want
 
 
 def check(rows, texts, tokenizer, limit=2048, segments=128):
