@@ -14,7 +14,8 @@ from churnmart.functions.exprs import bin_label, col
 from churnmart.operators import cleanse, crosstab, derive, dimensions, facts, ordering, profile
 from churnmart.operators import quality, scd2
 from churnmart.plans import marts, staging, warehouse
-from churnmart.session import materialize, new_path
+from churnmart.plans.reports import export_reports
+from churnmart.session import folder_state, materialize, new_path
 from churnmart.sources import bankview, readers, writers
 from churnmart.sources.history import DimensionVersions
 from churnmart.streaming.scd2_feed import merge_stream
@@ -134,7 +135,8 @@ _BANKS: dict = {}
 
 
 def bank(spark: SparkSession, folder: str) -> Bank:
-    key = (spark.sparkContext.applicationId, folder)
+    """The derived tables of ``folder`` as its files are now; changed files give new tables."""
+    key = (spark.sparkContext.applicationId, folder, folder_state(spark, folder))
     if key not in _BANKS:
         _BANKS[key] = Bank(spark, folder)
     return _BANKS[key]
@@ -390,6 +392,13 @@ def sample_customers(b: Bank) -> DataFrame:
     )
 
 
+def report_export(b: Bank) -> DataFrame:
+    """The customer report as users get it: exported to a CSV file with header, and read again."""
+    [path] = export_reports(b.warehouse, new_path(b.spark, "reports"), names=["geo_gender_churn"])
+    schema = marts.geo_gender_churn(b.dim_customer).schema
+    return readers.read_table(b.spark, path, schema, "csv")
+
+
 def positive_balance(b: Bank) -> DataFrame:
     return b.raw.where("Balance > 0")
 
@@ -471,6 +480,7 @@ CATALOG = {
     "q9": lambda b: marts.tenure_band_churn(b.dim_customer),
     "q10": lambda b: marts.executive_kpis(b.dim_customer),
     "sql_monthly": sql_monthly,
+    "report_export": report_export,
     "balance_rank_within_group": lambda b: money_as_double(
         marts.balance_rank_within_group(b.dim_customer)
     ),

@@ -50,6 +50,13 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
+def folder_state(spark: SparkSession, folder: str) -> int:
+    """A number that changes when a table in ``folder`` is written anew."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/*")
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at)
+    return hash(tuple((str(f.getPath()), f.getModificationTime(), f.getLen()) for f in found or ()))
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A path nobody has written yet, below the shared folder."""
     app = spark.sparkContext.applicationId

@@ -395,7 +395,7 @@ def oracle_sql() -> dict:
     typed_dim = "SELECT * REPLACE (" + ", ".join(
         f"CAST({c} AS DOUBLE) AS {c}" for c in p.DECIMALS) + ")"
     derived = [c for c in p.derived_columns()]
-    return {
+    found = {
         "scan_raw_customers": raw_feed,
         "scan_staged_customers": staged,
         "sink_roundtrip": staged,
@@ -597,3 +597,5 @@ def oracle_sql() -> dict:
             """CASE WHEN "Balance" > 100000 THEN 'High Value' ELSE 'Standard' END""",
             {"'High Value'": "high_value", "'Standard'": "standard"}),
     }
+    # The export holds the rows of the report.
+    return found | {"report_export": found["q1"]}
