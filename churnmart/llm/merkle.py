@@ -19,6 +19,7 @@ from churnmart.operators.ordering import global_rank
 from churnmart.session import materialize
 
 FANOUT = 16
+_PATH = "array<struct<before:binary,after:binary>>"
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -111,16 +112,17 @@ def roots(levels) -> DataFrame:
     return found
 
 
-def descend(levels, above: DataFrame, fanout: int) -> DataFrame:
+def descend(levels, fanout: int, above: DataFrame | None = None) -> DataFrame:
     """The leaves (digest, payload) with the columns of ``above`` for their tree.
 
     ``above`` holds tree and path, an array of (before, after); each level going down puts its
-    own siblings in front.
+    own siblings in front. Without it paths end at the roots of the trees.
     """
-    carried = [c for c in above.columns if c not in ("tree", "path")]
+    carried = [c for c in above.columns if c not in ("tree", "path")] if above is not None else []
     below = None
     for runs, done in reversed(levels):
-        here = done.join(above, "tree").select("tree", "idx", "digest", "payload", *carried, "path")
+        ends = done.join(above, "tree") if above is not None else done.withColumn("path", F.array().cast(_PATH))
+        here = ends.select("tree", "idx", "digest", "payload", *carried, "path")
         if runs is not None:
             parents = below.select("tree", F.col("idx").alias("parent"), *carried, F.col("path").alias("rest"))
             joined = runs.withColumn("parent", F.floor(F.col("idx") / fanout)).join(parents, ["tree", "parent"])
@@ -171,10 +173,9 @@ def prove(docs: DataFrame, fields=FIELDS, seen=None, id_col="doc_id", source_col
     ), "sources")
     top = climb(sources, fanout)
     root = roots(top).first()["digest"]
-    no_path = F.array().cast("array<struct<before:binary,after:binary>>")
-    ends = descend(top, docs.sparkSession.range(1).select(F.lit("").alias("tree"), no_path.alias("path")), fanout)
+    ends = descend(top, fanout)
     above = ends.select(F.col("payload.tree").alias("tree"), F.col("digest").alias("subroot"), "path")
-    found = descend(levels, above, fanout).select(
+    found = descend(levels, fanout, above).select(
         F.col("payload.id").alias("id"), "digest", "subroot", "path",
         F.coalesce("payload.seen", "digest").alias("seen"),
     )
