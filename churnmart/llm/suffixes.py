@@ -455,7 +455,14 @@ def repeated_intervals(rows: DataFrame, most_contexts=MOST_CONTEXTS) -> DataFram
     compared = counts.join(several, "anchor").select("context", "where")
     marked = _map_of(compared.mapInArrow(_marks, "h long"))
     crowded = _crowded(several, most_contexts)
-    bytes_of = lambda wanted: rows.mapInArrow(_context_bytes(marked, crowded, wanted), _CONTEXT)
+
+    def bytes_of(wanted):
+        found = rows.mapInArrow(_context_bytes(marked, crowded, wanted), _CONTEXT)
+        # One row for each context, however many texts hold it or hit the map by chance: copies
+        # combine before the shuffle, and an anchor meets its contexts, not their occurrences.
+        one = F.min(F.struct("low", "high", "bytes")).alias("one")
+        return found.groupBy("anchor", "context").agg(one).select("anchor", "context", "one.*")
+
     sorted_ = (
         bytes_of(False).repartition(partitions, "anchor").sortWithinPartitions("anchor", "context")
         .mapInArrow(_compare_contexts, _OUTCOME)
