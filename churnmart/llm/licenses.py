@@ -1,13 +1,16 @@
 """License scan with a positional index of rare words.
 
-Templates are word sequences with mandatory key phrases. The index keeps, for each word of a
-template's first key phrase, its positions there. Document frequencies of the licence words, counted over all
-texts, rank them. For each file and template the two highest-IDF words of that phrase are
-looked up; their places minus their positions there are possible places of the
-template, and only places on which both words agree remain. There the key phrases must stand
-word by word, and the share of template words in place is the score. A place where the key
-phrases stand has all their words, so it is always among those that remain, whatever the
-frequencies; the score is the confidence and rejects none of them.
+Templates are word sequences, from short phrases to whole notices, with mandatory key
+phrases. The index holds the postings of every word of a key phrase: the templates it stands
+in, and its position there. Document frequencies of these words, counted over all texts, rank
+them. A file's words are looked up in the postings from its highest IDF downwards; each
+look-up turns the word's places in the file into possible places of the templates (place
+minus position), and only places on which a template's words agree remain. The walk ends when
+every template whose key words the file has was met by two of them or has no place left, so
+frequent words such as *the* or *of* are rarely looked up. At the places left the key phrases
+must stand word by word, and the share of template words in place must reach the template's
+least score. A place where the key phrases stand has all their words, so it remains whatever
+the frequencies: the ranking decides how much work is done, never which labels are found.
 """
 
 import math
@@ -28,7 +31,7 @@ def words_of(text: str) -> list[bytes]:
     return _WORDS(text.encode("utf-8", "surrogatepass").lower())
 
 
-@dataclass
+@dataclass(eq=False)
 class Template:
     label: str
     text: str
@@ -48,10 +51,11 @@ class Template:
             part = words_of(phrase)
             at = next(i for i in range(len(self.words)) if self.words[i : i + len(part)] == part)
             self.musts.append((at, part))
-        # Positions in the template of the words of the first key phrase.
-        at, part = self.musts[0]
-        self.places = {w: [at + i for i, x in enumerate(part) if x == w] for w in part}
-        self.needed = frozenset(w for _, part in self.musts for w in part)
+        # One position of each key word: any of them leads to every place of the template.
+        self.places = {}
+        for at, part in self.musts:
+            for i, word in enumerate(part):
+                self.places.setdefault(word, at + i)
 
 
 # Base phrases and their labels.
@@ -75,12 +79,77 @@ ADDED = (
     Template("cc-by-nc-4.0", "licensed under cc by nc 4 0", ("cc by nc 4 0",)),
     Template("cc0", "dedicated to the public domain under cc0 1 0 universal", ("cc0 1 0",)),
 )
-TEMPLATES = BASE + ADDED
+# Whole notices; a text that keeps the key phrases but little else of one is not labelled by it.
+NOTICES = (
+    Template(
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+        "documentation files the software to deal in the software without restriction including without limitation the "
+        "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+        "persons to whom the software is furnished to do so subject to the following conditions the above copyright "
+        "notice and this permission notice shall be included in all copies or substantial portions of the software",
+        ("permission is hereby granted free of charge", "without restriction"), 0.6,
+    ),
+    Template(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+        ("permission to use copy modify", "with or without fee"), 0.6,
+    ),
+    Template(
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+        "following conditions are met redistributions of source code must retain the above copyright notice this list "
+        "of conditions and the following disclaimer",
+        ("redistribution and use", "provided that the following conditions are met"), 0.6,
+    ),
+    Template(
+        "apache-2.0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with "
+        "the license you may obtain a copy of the license at",
+        ("apache license", "except in compliance with the license"), 0.6,
+    ),
+    Template(
+        "gpl-3.0",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
+        "public license as published by the free software foundation either version 3 of the license or at your option "
+        "any later version",
+        ("gnu general public license as published by the free software foundation", "version 3"), 0.6,
+    ),
+    Template(
+        "gpl-2.0",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
+        "public license as published by the free software foundation either version 2 of the license or at your option "
+        "any later version",
+        ("gnu general public license as published by the free software foundation", "version 2"), 0.6,
+    ),
+    Template(
+        "mpl-2.0",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
+        "distributed with this file you can obtain one at",
+        ("source code form is subject to the terms", "a copy of the mpl"), 0.6,
+    ),
+    Template(
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish "
+        "use compile sell or distribute this software either in source code form or as a compiled binary for any "
+        "purpose commercial or non commercial and by any means",
+        ("free and unencumbered software", "public domain"), 0.6,
+    ),
+    Template(
+        "zlib",
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to "
+        "alter it and redistribute it freely subject to the following restrictions the origin of this software must not "
+        "be misrepresented you must not claim that you wrote the original software",
+        ("permission is granted to anyone to use this software", "the origin of this software must not be misrepresented"), 0.6,
+    ),
+)
+TEMPLATES = BASE + ADDED + NOTICES
 
 
 def idf_of(docs: DataFrame, templates=TEMPLATES, text_col="text") -> dict[bytes, float]:
-    """Inverse document frequency of every licence word, counted over all texts."""
-    vocabulary = {w for t in templates for w in t.words}
+    """Inverse document frequency of every word of a key phrase, counted over all texts."""
+    vocabulary = {w for t in templates for w in t.places}
 
     def task(batches):
         seen, total = dict.fromkeys(vocabulary, 0), 0
@@ -102,33 +171,66 @@ class Scanner:
     """Places of the templates in one text; made once per task."""
 
     def __init__(self, idf, templates=TEMPLATES):
-        self.vocabulary = frozenset(w for t in templates for w in t.words)
+        self.templates = templates
         # Rarest first; equal ones by spelling.
-        self.ranked = [(t, sorted(t.places, key=lambda w: (-idf[w], w))[:2]) for t in templates]
+        self.rank = {w: n for n, w in enumerate(sorted({w for t in templates for w in t.places}, key=lambda w: (-idf[w], w)))}
+        self.vocabulary = frozenset(self.rank)
+        self.postings = {w: [(n, t.places[w]) for n, t in enumerate(templates) if w in t.places] for w in self.rank}
+        # The templates a text can hold are those whose rarest key word it has, and the others too.
+        self.by_rarest = {}
+        for n, t in enumerate(templates):
+            self.by_rarest.setdefault(min(t.places, key=self.rank.get), []).append((n, frozenset(t.places)))
+
+    def possible_places(self, words):
+        """({template number: places left}, words looked up) after the walk down the file's ranking."""
+        have = self.vocabulary.intersection(words)
+        left = {n: None for w in have if w in self.by_rarest for n, needed in self.by_rarest[w] if needed <= have}
+        if not left:
+            return left, 0
+        lookups = dict.fromkeys(left, 0)
+        # A template met by two of its words, or by all if it has fewer, is done.
+        due = {n: min(2, len(self.templates[n].places)) for n in left}
+        stands, looked_up = None, 0
+        for word in sorted(have, key=self.rank.get):
+            if not due:
+                break
+            met = [(n, i) for n, i in self.postings[word] if n in due]
+            if not met:
+                continue
+            if stands is None:
+                stands = {w: [] for w in have}
+                for at, w in enumerate(words):
+                    if w in have:
+                        stands[w].append(at)
+            looked_up += 1
+            for n, i in met:
+                places = {at - i for at in stands[word]}
+                left[n] = places if left[n] is None else left[n] & places
+                lookups[n] += 1
+                if lookups[n] == due[n] or not left[n]:
+                    del due[n]
+        return left, looked_up
 
     def __call__(self, words):
         """[(template, place, score)] for the words of a text."""
-        have = self.vocabulary.intersection(words)
-        possible = [(t, rare) for t, rare in self.ranked if t.needed <= have]
-        if not possible:
-            return []
-        index = {w: [] for _, rare in possible for w in rare}
-        for at, word in enumerate(words):
-            if word in index:
-                index[word].append(at)
         found = []
-        for template, rare in possible:
-            places = [{at - i for at in index[w] for i in template.places[w]} for w in rare]
-            for place in sorted(set.intersection(*places)):
-                if all(place + i >= 0 and words[place + i : place + i + len(part)] == part for i, part in template.musts):
-                    same = sum(
-                        0 <= place + i < len(words) and words[place + i] == w for i, w in enumerate(template.words)
-                    )
-                    if (score := same / len(template.words)) >= template.least:
-                        found.append((template, place, score))
+        for n, places in self.possible_places(words)[0].items():
+            template = self.templates[n]
+            for place in sorted(places):
+                if score := score_at(template, words, place):
+                    found.append((template, place, score))
         return found
 
 
+def score_at(template, words, place):
+    """Share of template words in place; None if a key phrase does not stand or too few words do."""
+    if any(place + i < 0 or words[place + i : place + i + len(part)] != part for i, part in template.musts):
+        return None
+    same = sum(0 <= place + i < len(words) and words[place + i] == w for i, w in enumerate(template.words))
+    score = same / len(template.words)
+    return score if score >= template.least else None
+
+
 def scan(docs: DataFrame, id_col="doc_id", text_col="text", templates=TEMPLATES) -> DataFrame:
     """Licence labels of every whole text, with the places of the base phrases.
 
