@@ -7,8 +7,17 @@ perfect binary Golay code [23, 12], whose covering radius is 3 for each part. A
 between two linked fingerprints lies within that radius of some anchor, so both fingerprints
 are copied to every anchor within covering radius plus half the threshold, and meet there.
 That is about 33 copies for each *distinct* fingerprint and 3 * 2^24 anchors.
+
+An anchor with more than ``MOST`` fingerprints is not compared in one task: its fingerprints
+are cut into blocks instead. Of n blocks at most ``DISTANCE`` hold a difference, so a linked
+pair agrees in some n - ``DISTANCE`` blocks, and meets under the bits of that choice. First
+eight blocks are taken (70 choices of 32 bits), and for what is crowded still, sixteen (1820
+choices of 48 bits): the 16 bits left over allow 2^16 = ``MOST`` fingerprints, so nothing can
+be crowded after that, and no link is lost.
 """
 
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -29,6 +38,10 @@ PAIRS = ((0, 1), (0, 2), (1, 2))
 RADIUS = 3
 # Generator polynomial of the Golay code, as bits.
 GOLAY = 0b101011100011
+# Most fingerprints that are compared in one place, and the blocks that crowded ones are cut
+# into: the last leave at most ``MOST`` fingerprints to a choice.
+MOST = 1 << 16
+BLOCKS = (8, 16)
 
 
 def golay_words() -> np.ndarray:
@@ -128,45 +141,113 @@ def _replicate(batches):
             )
 
 
-def _compare(batches):
-    """Links inside each anchor; rows come sorted by anchor, a bucket may span batches."""
-    rest_anchor, rest_fp = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+def pieces_of(prints: np.ndarray, blocks: int, distance=DISTANCE):
+    """(choice, bits of each print) for every choice of ``blocks`` - ``distance`` blocks of the prints."""
+    width = 64 // blocks
+    for choice, kept in enumerate(combinations(range(blocks), blocks - distance)):
+        mask = np.uint64(sum((1 << width) - 1 << width * k for k in kept))
+        yield choice, prints & mask
+
+
+def _split(blocks):
+    """Task: the fingerprints under every choice of blocks, with a key for choice and bits."""
+
+    def run(batches):
+        for batch in batches:
+            prints = batch.column(0).to_numpy(zero_copy_only=False)
+            for choice, bits in pieces_of(prints.view(np.uint64), blocks):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(bits), choice, np.int64)), pa.array(bits.view(np.int64)), pa.array(prints)],
+                    ["choice", "bits", "fp"],
+                )
+
+    return run
+
+
+def _compare(keys: int, most: float, distance=DISTANCE):
+    """Task: (a, b) links inside each bucket; (fp, NULL) for the fingerprints of a crowded one.
 
-    def links(anchor, fp):
-        starts = np.concatenate(([0], np.nonzero(np.diff(anchor))[0] + 1, [len(anchor)])).astype(np.int64)
-        size = np.diff(starts)
-        two = starts[:-1][size == 2]
-        close = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= DISTANCE]
+    Rows come sorted by the ``keys`` columns that name the bucket, which may span batches; no
+    more than ``most`` fingerprints and a batch are held.
+    """
+
+    def links(fp, size):
+        starts = np.cumsum(size) - size
+        two = starts[size == 2]
+        close = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= distance]
         found = [np.stack([fp[close], fp[close + 1]], axis=1)]
         for n in np.nonzero(size > 2)[0]:
-            if pairs := bucket_links(fp[starts[n] : starts[n + 1]]):
+            if pairs := bucket_links(fp[starts[n] : starts[n] + size[n]], distance):
                 found.append(np.array(pairs, np.uint64))
         pairs = np.unique(np.concatenate(found), axis=0).view(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    for batch in batches:
-        anchor = np.concatenate((rest_anchor, batch.column(0).to_numpy(zero_copy_only=False)))
-        fp = np.concatenate((rest_fp, batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)))
-        if not len(anchor):
-            continue
-        last = int(np.searchsorted(anchor, anchor[-1]))
-        if last:
-            yield links(anchor[:last], fp[:last])
-        rest_anchor, rest_fp = anchor[last:], fp[last:]
-    if len(rest_anchor):
-        yield links(rest_anchor, rest_fp)
-
-
-def links_between(prints: DataFrame) -> DataFrame:
+    def crowd(fp):
+        return pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.nulls(len(fp), pa.int64())], ["a", "b"])
+
+    def run(batches):
+        # ``held`` is the bucket that may go on in the next batch; of a crowded one nothing is held.
+        name, held, crowded = None, np.zeros(0, np.uint64), False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)], axis=1)
+            fp = batch.column(keys).to_numpy(zero_copy_only=False).view(np.uint64)
+            cuts = np.concatenate(([0], np.nonzero((key[1:] != key[:-1]).any(axis=1))[0] + 1, [len(fp)]))
+            if name is not None and name == tuple(key[0]):
+                first = cuts[1]
+                if crowded or len(held) + first > most:
+                    yield crowd(np.concatenate((held, fp[:first])))
+                    crowded, held = True, held[:0]
+                else:
+                    held = np.concatenate((held, fp[:first]))
+                cuts = cuts[1:]
+                if len(cuts) == 1:
+                    continue
+            # Here ``held`` is whole: the rows from ``cuts[0]`` on belong to later buckets.
+            sizes = np.concatenate(([len(held)], np.diff(cuts)[:-1]))
+            whole = np.concatenate((held, fp[cuts[0] : cuts[-2]]))
+            for n in np.nonzero(sizes > most)[0]:
+                at = int(sizes[:n].sum())
+                yield crowd(whole[at : at + sizes[n]])
+            if (sizes > most).any():
+                whole = whole[np.repeat(sizes <= most, sizes)]
+                sizes = sizes[sizes <= most]
+            if len(whole):
+                yield links(whole, sizes)
+            name, held, crowded = tuple(key[-1]), fp[cuts[-2] :], False
+            if len(held) > most:
+                yield crowd(held)
+                crowded, held = True, held[:0]
+        if len(held):
+            yield links(held, np.array([len(held)]))
+
+    return run
+
+
+def links_between(prints: DataFrame, most=MOST) -> DataFrame:
     """Links (a, b) whose components are those of all pairs within the distance.
 
-    ``prints`` holds distinct, non-NULL fingerprints in its only column, as longs.
+    ``prints`` holds distinct, non-NULL fingerprints in its only column, as longs. A bucket of
+    more than ``most`` is split by blocks; what the last split leaves is compared whatever its
+    size, which is ``MOST`` at most.
     """
-    spark = prints.sparkSession
-    copies = prints.mapInArrow(_replicate, "anchor long, fp long")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = copies.repartition(partitions, "anchor").sortWithinPartitions("anchor", "fp")
-    return met.mapInArrow(_compare, "a long, b long")
+    partitions = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def compared(copies, keys, most):
+        met = copies.repartition(partitions, *keys).sortWithinPartitions(*keys, "fp")
+        return materialize(met.mapInArrow(_compare(len(keys), most), "a long, b long"), "near_fingerprints")
+
+    found = compared(prints.mapInArrow(_replicate, "anchor long, fp long"), ["anchor"], most)
+    links = found.where("b IS NOT NULL")
+    for blocks in BLOCKS:
+        crowded = found.where("b IS NULL").select("a").distinct()
+        if crowded.isEmpty():
+            break
+        pieces = crowded.repartition(partitions).mapInArrow(_split(blocks), "choice long, bits long, fp long")
+        found = compared(pieces, ["choice", "bits"], most if blocks != BLOCKS[-1] else float("inf"))
+        links = links.union(found.where("b IS NOT NULL"))
+    return links
 
 
 def groups(rows: DataFrame, order: str) -> DataFrame:

@@ -104,3 +104,55 @@ def test_odd_rows(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
     kept = simhash.keep_one(with_row_key(df, "key", "t"), "key").collect()
     assert sorted(r.text or "" for r in kept) == ["", "far away from all this text", "one two three"]
+
+
+def dense_prints(n, seed):
+    """Fingerprints that differ from one pattern in a few of 24 bits: all lie around the same anchors."""
+    rng = np.random.default_rng(seed)
+    base = int(rng.integers(0, 2**63))
+    some = np.array([np.bitwise_xor.reduce([1 << int(b) for b in rng.choice(24, rng.integers(1, 9), replace=False)]) for _ in range(n)], np.uint64)
+    return np.unique(some ^ np.uint64(base))
+
+
+@pytest.mark.parametrize("blocks", simhash.BLOCKS)
+def test_linked_fingerprints_agree_under_a_choice_of_blocks(blocks):
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        fp, flips = int(rng.integers(0, 2**63)), rng.choice(64, 4, replace=False)
+        other = fp ^ sum(1 << int(b) for b in flips)
+        assert any(bits[0] == bits[1] for _, bits in simhash.pieces_of(np.array([fp, other], np.uint64), blocks))
+    left = {64 - int(np.bitwise_count(bits[0])) for _, bits in simhash.pieces_of(np.array([2**64 - 1], np.uint64), blocks)}
+    assert left == {64 // blocks * simhash.DISTANCE} and (blocks != simhash.BLOCKS[-1] or 1 << left.pop() == simhash.MOST)
+
+
+@pytest.mark.parametrize("rows", [1, 3, 7, 1000])
+def test_buckets_over_batches(rows):
+    import pyarrow as pa
+
+    prints = dense_prints(120, 4)
+    anchor = np.sort(np.random.default_rng(0).integers(0, 9, len(prints)))
+    anchor[40:100] = anchor[40]
+    anchor.sort()
+    whole = pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(prints.view(np.int64))], ["anchor", "fp"])
+    for most in (0, 2, 8, 59, 10**6):
+        out = [b for b in simhash._compare(1, most)(whole.slice(i, rows) for i in range(0, len(prints), rows))]
+        got = [(a, b) for batch in out for a, b in zip(*(c.to_pylist() for c in batch.columns))]
+        sizes = {a: int((anchor == a).sum()) for a in set(anchor.tolist())}
+        want = sorted(int(p) for p, a in zip(prints.view(np.int64), anchor) if sizes[a] > most)
+        assert sorted(a for a, b in got if b is None) == want
+        links = {(int(np.int64(x).view(np.int64)), int(np.int64(y).view(np.int64))) for a in sizes if sizes[a] <= most
+                 for x, y in np.array(simhash.bucket_links(prints[anchor == a]), np.uint64).reshape(-1, 2).view(np.int64)}
+        assert {(a, b) for a, b in got if b is not None} == links
+
+
+@pytest.mark.parametrize("most", [0, 3, 20])
+def test_crowded_anchors_lose_no_link(spark, most):
+    prints = np.unique(np.concatenate((dense_prints(60, 1), dense_prints(8, 2), np.random.default_rng(9).integers(0, 2**63, 10).astype(np.uint64))))
+    frame = spark.createDataFrame([(int(p),) for p in prints.view(np.int64)], "fp long")
+    got = {r.node: r.root for r in connected_components(simhash.links_between(frame, most)).collect()}
+    want = slow_components([int(p) for p in prints])
+    signed = [int(p) for p in prints.view(np.int64)]
+    for i, p in enumerate(signed):
+        mates = [q for q, root in zip(signed, want) if root == want[i]]
+        assert got.get(p, p) == min(mates)
+    assert len(set(want)) < len(prints)
