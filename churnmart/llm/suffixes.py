@@ -16,8 +16,10 @@ two occurrences of its anchor. An occurrence's context is the bytes of all its w
    counted by hash over all tasks.
 3. Occurrences meet the outcome of their context in joins, and each text its intervals.
 
-Only the sorted contexts are verified by their bytes. Contexts that occur twice rest on a
-64-bit hash within that of their anchor, windows of crowded anchors on two 64-bit hashes.
+Sorted contexts are verified by their bytes where they meet. What meets only in an aggregate,
+contexts that occur twice and windows of crowded anchors, is verified by a second, unrelated
+hash of all its bytes (XXH3): the aggregate holds its smallest and largest value, and where
+they differ the job ends with an error instead of a wrong cut.
 """
 
 import numpy as np
@@ -148,7 +150,24 @@ def _batches(schema, parts, rows=1 << 15):
 
 
 _ANCHOR = struct(anchor=T.LongType(), n=T.IntegerType())
-_COUNTED = struct(anchor=T.LongType(), context=T.LongType(), n=T.LongType(), where=T.LongType())
+_COUNTED = struct(
+    anchor=T.LongType(), context=T.LongType(), n=T.LongType(), where=T.LongType(), least_check=T.LongType(), most_check=T.LongType()
+)
+
+
+def _checks(text: bytes, start, end):
+    """Signed XXH3 of each text[start:end]."""
+    import xxhash
+
+    digest = xxhash.xxh3_64_digest
+    return np.frombuffer(b"".join([digest(text[a:b]) for a, b in zip(start.tolist(), end.tolist())]), np.int64)
+
+
+def _verified(n, what):
+    """Column ``n``, or an error where the second hashes of what was counted as equal differ."""
+    return F.when(F.col("least_check") == F.col("most_check"), F.col(n)).otherwise(
+        F.raise_error(F.lit(f"different {what} with one hash")).cast("long")
+    ).alias(n)
 
 
 def _count_anchors(batches):
@@ -173,18 +192,23 @@ def _count_contexts(shared):
             for batch in batches:
                 found = []
                 for key, text in _texts(batch):
-                    place, _, _, anchor, context = anchors_of(np.frombuffer(text, np.uint8))
+                    place, low, high, anchor, context = anchors_of(np.frombuffer(text, np.uint8))
                     hit = _in_map(bits, anchor)
                     if hit.any():
-                        found.append((anchor[hit], context[hit], _where(key, text, place[hit])))
+                        place, low, high = place[hit], low[hit], high[hit]
+                        check = _checks(text, place - high, place - low + WINDOW) ^ (low << 20 | high)
+                        found.append((anchor[hit], context[hit], _where(key, text, place), check))
                 if not found:
                     continue
-                anchor, context, where = map(np.concatenate, zip(*found))
+                anchor, context, where, check = map(np.concatenate, zip(*found))
                 order = np.lexsort((where, context, anchor))
-                anchor, context, where = anchor[order], context[order], where[order]
+                anchor, context, where, check = anchor[order], context[order], where[order], check[order]
                 new = np.concatenate(([True], (np.diff(anchor) != 0) | (np.diff(context) != 0)))
                 starts = np.nonzero(new)[0]
-                yield _signed(anchor[starts]), _signed(context[starts]), np.diff(np.append(starts, len(anchor))), where[starts]
+                yield (
+                    _signed(anchor[starts]), _signed(context[starts]), np.diff(np.append(starts, len(anchor))), where[starts],
+                    np.minimum.reduceat(check, starts), np.maximum.reduceat(check, starts),
+                )
 
         yield from _batches(to_arrow_schema(_COUNTED), parts())
 
@@ -349,6 +373,8 @@ class Suffixes:
 
     def _verify(self, a, b, n):
         """Bytes of neighbours agree for their common extension and no further, or a hash lied."""
+        if not len(self.data):
+            return
         for at in range(0, len(a), 4096):
             x, y, m = a[at : at + 4096], b[at : at + 4096], n[at : at + 4096]
             step = np.arange(int(m.max(initial=0)) + 1)
@@ -416,11 +442,13 @@ def _compare_contexts(batches):
         yield outcome(pa.Table.from_batches(waiting))
 
 
-_WINDOWS = struct(anchor=T.LongType(), context=T.LongType(), offset=T.LongType(), w1=T.LongType(), w2=T.LongType())
+_WINDOWS = struct(
+    anchor=T.LongType(), context=T.LongType(), offset=T.LongType(), w1=T.LongType(), w2=T.LongType(), check=T.LongType()
+)
 
 
 def _list_windows(batches):
-    """(anchor, context, offset, w1, w2): every window of the contexts, by two hashes."""
+    """(anchor, context, offset, w1, w2, check): every window of the contexts, by its hashes."""
 
     def parts():
         for batch in batches:
@@ -429,7 +457,7 @@ def _list_windows(batches):
                 data, offset = np.frombuffer(text, np.uint8), np.arange(low, high + 1)
                 n, start = len(offset), high - offset
                 w1, w2 = (_signed(_mix(PrefixHashes(data, b).of(start, start + WINDOW))) for b in _BASES)
-                yield np.full(n, anchor), np.full(n, context), offset, w1, w2
+                yield np.full(n, anchor), np.full(n, context), offset, w1, w2, _checks(text, start, start + WINDOW)
 
     yield from _batches(to_arrow_schema(_WINDOWS), parts())
 
@@ -447,7 +475,9 @@ def repeated_intervals(rows: DataFrame, most_contexts=MOST_CONTEXTS) -> DataFram
     totals = rows.mapInArrow(_count_anchors, _ANCHOR).groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
     anchors = _map_of(totals.select(F.col("anchor").alias("h")))
     counts = rows.mapInArrow(_count_contexts(anchors), _COUNTED).groupBy("anchor", "context")
-    counts = materialize(counts.agg(F.sum("n").alias("n"), F.min("where").alias("where")), "contexts")
+    bounds = F.min("least_check").alias("least_check"), F.max("most_check").alias("most_check")
+    counts = counts.agg(F.sum("n").alias("n"), F.min("where").alias("where"), *bounds)
+    counts = materialize(counts.select("anchor", "context", _verified("n", "contexts"), "where"), "contexts")
 
     # A context is compared with the others of its anchor from one of its occurrences.
     several = counts.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1")
@@ -471,7 +501,9 @@ def repeated_intervals(rows: DataFrame, most_contexts=MOST_CONTEXTS) -> DataFram
     if len(crowded.value):
         windows = materialize(bytes_of(True).mapInArrow(_list_windows, _WINDOWS), "windows")
         window = ["anchor", "offset", "w1", "w2"]
-        twice = windows.groupBy(*window).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+        bounds = F.min("check").alias("least_check"), F.max("check").alias("most_check")
+        twice = windows.groupBy(*window).agg(F.count("*").alias("n"), *bounds).where("n > 1")
+        twice = twice.select(*window, _verified("n", "windows")).where("n > 1").drop("n")
         shared = windows.join(twice, window).groupBy("anchor", "context")
         outcome = sorted_.union(shared.agg(F.min("offset").alias("least"), F.max("offset").alias("most")))
     outcome = outcome.groupBy("anchor", "context").agg(F.min("least").alias("least"), F.max("most").alias("most"))

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 from churnmart.llm import suffixes as sx
@@ -69,6 +69,7 @@ def test_stretches_of_long_texts(spark, monkeypatch):
 
 
 @settings(max_examples=40, deadline=None)
+@example([(0, b""), (0, b"")])
 @given(st.lists(st.tuples(st.integers(0, 2), st.binary(max_size=12).map(lambda b: bytes(x % 3 for x in b))), max_size=40))
 def test_merge_sort_orders_suffixes_of_each_group(items):
     group, strings = [g for g, _ in items], [s for _, s in items]
@@ -93,3 +94,23 @@ def test_odd_rows(spark):
     got = sx.digest(df).collect()
     assert sorted((r.n_bytes, r.n_removed, r.n_spans) for r in got) == [(0, 0, 0), (0, 0, 0), (150, 0, 0), (260, 260, 1), (260, 260, 1)]
     assert sx.digest(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("most_contexts", [sx.MOST_CONTEXTS, 0])
+def test_equal_hashes_of_different_bytes_are_an_error(spark, most_contexts):
+    long = "".join(chr(97 + (i * i * 7 + i // 13) % 26) for i in range(330))
+    df = spark.createDataFrame([(1, "a" + long), (2, "b" + long)], "doc_id long, text string")
+    assert [r.n_removed for r in sx.deduplicate(df, most_contexts=most_contexts).collect()] == [330, 330]
+
+    rows = spark.createDataFrame([(1, 5, 5), (2, 5, 6)], "n long, least_check long, most_check long")
+    assert [r.n for r in rows.where("n = 1").select(sx._verified("n", "windows")).collect()] == [1]
+    with pytest.raises(Exception, match="different windows with one hash"):
+        rows.select(sx._verified("n", "windows")).collect()
+
+
+def test_second_hashes_are_those_of_the_bytes():
+    import xxhash
+
+    text = bytes(range(256)) * 3
+    got = sx._checks(text, np.array([0, 7, 256]), np.array([200, 300, 456]))
+    assert got.view(np.uint64).tolist()[::2] == [int.from_bytes(xxhash.xxh3_64_digest(text[:200]), "little")] * 2 and len(set(got.tolist())) == 2
