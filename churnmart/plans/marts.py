@@ -89,24 +89,30 @@ def monthly_churn_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
     ``total_transactions`` counts distinct customers while the rate divides by rows: the
     names and formulas of the report as users know them. Customers are bits of their dense
-    keys: bitmaps, not (month, customer) pairs, are shuffled.
+    keys. A task of the fact has few rows of each month and bucket of keys, so these rows are
+    brought together first: one bitmap per month and bucket, not one per task as well.
     """
     churned, rows = F.sum("churned"), F.sum("rows")
     exact_rate = F.round(
         churned.cast("decimal(20,0)") * 100 / rows.cast("decimal(20,0)"), 2
     ).cast("decimal(7,2)")
     month = ["year", "month", "month_name", "year_month"]
+    # A number for the month, by a window over the days of the calendar.
+    days = dim_date.select("date_sk", *month, F.dense_rank().over(Window.orderBy(*month)).alias("__month"))
+    group = ["__month", KEY_BUCKET]
     months = (
-        fact.select("date_sk", "customer_sk", "churn_flag")
-        .join(dim_date.select("date_sk", *month), "date_sk")
-        .groupBy(*month, key_bucket("customer_sk"))
+        fact.select("date_sk", "customer_sk", "churn_flag", key_bucket("customer_sk"))
+        .join(days.select("date_sk", "__month"), "date_sk").drop("date_sk")
+        .repartition(*group)
+        .groupBy(*group)
         .agg(key_bits("customer_sk"), F.sum("churn_flag").alias("churned"), _rows().alias("rows"))
-        .groupBy(*month)
+        .groupBy("__month")
         .agg(
             count_bits().alias("total_transactions"),
             churned.alias("churned_txns"),
             exact_rate.alias("rate"),
         )
+        .join(days.select("__month", *month).distinct(), "__month")
     )
     before = F.lag("rate").over(Window.orderBy("year", "month"))
     trend = (
