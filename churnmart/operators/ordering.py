@@ -19,6 +19,8 @@ _POS, _PART, _IDX, _TIE = "__pos", "__part", "__idx", "__tie"
 _SAMPLED = 50
 # Layout of monotonically_increasing_id (partition above, row below).
 _ROW_BITS = 33
+# Rows of a block of an explicit order at most, about: few enough to be sorted in memory.
+_BLOCK_ROWS = 500_000
 # One over the error of the sketch of a column, and how far from a quantile its bracket ends.
 _ACCURACY = 10_000
 _NEAR, _FAR, _FEW = 2.5 / _ACCURACY, 0.02, 200
@@ -48,28 +50,82 @@ def _place(df: DataFrame, order, label: str, key_source: DataFrame | None = None
     return materialize(placed.drop(_POS), label)
 
 
-def _placed_by(df: DataFrame, order, key_source: DataFrame) -> DataFrame:
-    """``df`` sorted by the columns ``order``, with bounds from a sample of ``key_source``.
+def _bounds(key_source: DataFrame, order) -> tuple[Column, Column, int]:
+    """The first keys of all blocks but the first, their first columns, and the number of blocks.
 
-    A sort of ``df`` itself would run all of its plan once more to sample it.
+    Keys are those of a sample of ``key_source``, with a random last one. The array is written:
+    all who use it see the same.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = min(1.0, _SAMPLED * parts / max(1, key_source.count()))
-    key = F.struct(*[col(c) for c in order], F.col(_TIE))
+    rows = key_source.count()
+    # As many as the rows need, also where the session has few shuffle partitions.
+    parts = max(int(key_source.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // _BLOCK_ROWS))
     # A few dozen keys per partition.
-    sample = key_source.select(*quoted(order)).sample(share, seed=17).withColumn(_TIE, F.rand(18))
-    keys = sample.agg(F.array_sort(F.collect_list(key)).alias("keys"))
+    sample = key_source.select(*quoted(order)).sample(min(1.0, _SAMPLED * parts / max(1, rows)), seed=17)
+    key = F.struct(*[col(c) for c in order], F.col(_TIE))
+    keys = sample.withColumn(_TIE, F.rand(18)).agg(F.array_sort(F.collect_list(key)).alias("keys"))
     bounds = keys.select(F.transform(
         F.sequence(F.lit(1), F.lit(max(1, parts - 1))), lambda i: F.get("keys", F.floor(i * F.size("keys") / parts).cast("int"))
-    )).scalar()
-    halves = [1 << i for i in reversed(range(max(1, parts - 1).bit_length()))]
-    # Binary search: the number of bounds that are not above the key.
-    block = F.aggregate(F.array(*map(F.lit, halves)), F.lit(0), lambda at, step: F.when(
-        (at + step < parts) & (F.get("__bounds", at + step - 1) <= F.col("__key")), at + step
-    ).otherwise(at))
+    ).alias("bounds"))
+    firsts = F.transform("bounds", lambda b: b[order[0]]).alias("firsts")
+    written = materialize(bounds.select("bounds", firsts), "bounds")
+    return written.select("bounds").scalar(), written.select("firsts").scalar(), parts
+
+
+def _with_block(df: DataFrame, name: str, parts: int, reached) -> DataFrame:
+    """``df`` with ``name``: the number of the ``parts - 1`` leading bounds that are ``reached``, by position.
+
+    A binary search, a column after the other: higher-order functions are not compiled.
+    """
+    found, at = df.withColumn(name, F.lit(0)), F.col(name)
+    for step in (1 << i for i in reversed(range(max(1, parts - 1).bit_length()))):
+        found = found.withColumn(name, F.when((at + step < parts) & reached(at + step - 1), at + step).otherwise(at))
+    return found
+
+
+def _in_blocks(df: DataFrame, order, bounds: Column, parts: int) -> DataFrame:
+    """``df`` with a random last key ``__tie``, each row in its ``__block``, a partition."""
+    key = F.struct(*[col(c) for c in order], F.col(_TIE))
     keyed = df.withColumn(_TIE, F.rand(17)).withColumns({"__bounds": bounds, "__key": key})
-    placed = keyed.withColumn("__block", block).drop("__bounds", "__key")
-    return placed.repartitionById(parts, "__block").sortWithinPartitions(*quoted(order), _TIE).drop("__block", _TIE)
+    placed = _with_block(keyed, "__block", parts, lambda i: F.get("__bounds", i) <= F.col("__key"))
+    return placed.drop("__bounds", "__key").repartitionById(parts, "__block")
+
+
+def _placed_by(df: DataFrame, order, key_source: DataFrame) -> DataFrame:
+    """``df`` sorted by the columns ``order``, with bounds from a sample of ``key_source``.
+
+    A sort of ``df`` itself would run all of its plan once more to sample it.
+    """
+    bounds, _, parts = _bounds(key_source, order)
+    placed = _in_blocks(df, order, bounds, parts)
+    return placed.sortWithinPartitions(*quoted(order), _TIE).drop("__block", _TIE)
+
+
+def ranked_join(df: DataFrame, partner: DataFrame, on: str, order, name: str, columns: dict,
+                key_source: DataFrame) -> DataFrame:
+    """The inner join of ``df`` and ``partner`` by the first column of ``order``, ranked by ``order``.
+
+    Result: the rank ``name`` (as in ``global_rank``), then ``columns``: name and expression
+    over both sides. ``order`` names columns of ``df``, which lie in the table ``key_source``;
+    ``on`` is the key of ``partner``.
+
+    ``df`` is shuffled once, to the blocks of the order, and ``partner`` goes to the block that
+    has its key: rows meet where they are sorted. A hot key of ``df`` spans many blocks, and
+    its rows of ``partner`` go to each. Only ``columns`` are written.
+    """
+    present = col(order[0]).isNotNull()
+    bounds, firsts, parts = _bounds(key_source.where(present), order)
+    left = _in_blocks(df.where(present), order, bounds, parts)
+    spans = partner.where(col(on).isNotNull()).withColumn("__firsts", firsts)
+    spans = _with_block(spans, "__low", parts, lambda i: F.get("__firsts", i) < col(on))
+    spans = _with_block(spans, "__high", parts, lambda i: F.get("__firsts", i) <= col(on))
+    spans = spans.withColumn("__to", F.explode(F.sequence("__low", "__high"))).drop("__firsts", "__low", "__high")
+    right = spans.repartitionById(parts, "__to")
+    met = left.join(right, (F.col("__block") == F.col("__to")) & (col(order[0]) == col(on)))
+    ordered = met.sortWithinPartitions("__block", *quoted(order), _TIE)
+    placed = ordered.select(F.col("__block").alias(_PART), F.monotonically_increasing_id().alias(_IDX),
+                            *[e.alias(c) for c, e in columns.items()])
+    placed = materialize(placed, f"rank-{name}")
+    return _numbered(placed, name, list(columns)).select(name, *quoted(columns))
 
 
 def dense_start(df: DataFrame, key: str) -> int | None:
@@ -102,15 +158,23 @@ def global_rank(df: DataFrame, order, name: str, within=(), total=None, start=0,
     """
     within = list(within)
     placed = _place(df, [*within, *order], f"rank-{name}", key_source)
+    return _numbered(placed, name, df.columns, within, total, start)
+
+
+def _numbered(placed: DataFrame, name: str, columns, within=(), total=None, start=0) -> DataFrame:
+    """``columns`` of written rows in blocks, with their rank ``name``."""
     blocks = placed.groupBy(_PART, *quoted(within)).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(_IDX).alias("__first")
+        F.count(F.lit(1)).alias("__n"), F.min(_IDX).alias("__first"), F.max(_IDX).alias("__last")
     )
+    whole = F.col("__last") - F.col("__first") + 1 == F.col("__n")
     # One row per (partition, group): a few rows per shuffle partition, never the data.
     ordered = Window.partitionBy(*within).orderBy(_PART)
     blocks = blocks.select(
         F.col(_PART).alias("__b_part"),
         *[col(c).alias(f"__b_{c}") for c in within],
-        "__first",
+        # Positions count inside a block: it has to lie in one piece.
+        F.when(whole, F.col("__first")).otherwise(F.raise_error(F.lit("a block in pieces")).cast("long"))
+        .alias("__first"),
         F.coalesce(F.sum("__n").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         .alias("__before"),
         F.sum("__n").over(Window.partitionBy(*within)).alias("__total"),
@@ -127,7 +191,7 @@ def global_rank(df: DataFrame, order, name: str, within=(), total=None, start=0,
     rank = F.col("__before") + F.col(_IDX) - F.col("__first") + F.lit(1 + start)
     extra = [F.col("__total").alias(total)] if total else []
     return placed.join(blocks, match).select(
-        *quoted(df.columns), rank.cast("long").alias(name), *extra
+        *quoted(columns), rank.cast("long").alias(name), *extra
     )
 
 

@@ -9,8 +9,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from churnmart.functions.exprs import col
-from churnmart.operators.joins import HotKeys, salted_join
-from churnmart.operators.ordering import surrogate_key
+from churnmart.operators.joins import salted_join
+from churnmart.operators.ordering import ranked_join, surrogate_key
 
 # Identity of a transaction, and the order of the feed.
 LINE_KEY = (
@@ -168,28 +168,21 @@ def transactions(spark: SparkSession, sf_dir: str, raw: DataFrame,
     keep = 1 - F.col("l_discount").cast("decimal(4,2)")
     # Orders meet their customer first; a hot customer, order or part is spread by row hash.
     flagged = salted_join(orders, flags, "o_custkey", F.xxhash64("o_orderkey"))
-    flagged = flagged.withColumnRenamed("o_orderkey", "l_orderkey")
-    line_hash = F.xxhash64(*LINE_KEY)
-    hot = HotKeys(lines, "l_partkey", "l_orderkey")
-    typed = salted_join(lines, parts, "l_partkey", line_hash, "inner", hot=hot)
-    joined = (
-        salted_join(typed, flagged, "l_orderkey", line_hash, "inner", hot=hot)
-        .join(product_feed.select("product_id", "product_name"),
-              F.col("p_type") == F.col("product_name"))
-        .select(
-            *LINE_KEY,
-            F.col("o_custkey").alias("customer_id"),
-            F.col("l_shipdate").cast("date").alias("transaction_date"),
-            F.col("l_returnflag").alias("transaction_type"),
-            F.col("o_orderpriority").alias("channel"),
-            "product_id",
-            (price * keep).cast("decimal(15,2)").alias("amount"),
-            "churn_flag",
-        )
-    )
-    # Lines are placed by their own keys, so that the joins run once.
-    numbered = surrogate_key(joined, "transaction_id", LINE_KEY, key_source=lines)
-    return numbered.drop(*LINE_KEY).withColumns({
+    typed = salted_join(lines, parts, "l_partkey", F.xxhash64(*LINE_KEY), "inner")
+    sold = typed.join(
+        product_feed.select("product_id", "product_name"), F.col("p_type") == F.col("product_name")
+    ).select(*LINE_KEY, "l_returnflag", "product_id", (price * keep).cast("decimal(15,2)").alias("amount"))
+    # Lines are placed by their own keys and meet their order there: they are shuffled once.
+    numbered = ranked_join(sold, flagged, "o_orderkey", LINE_KEY, "transaction_id", {
+        "customer_id": F.col("o_custkey"),
+        "transaction_date": F.col("l_shipdate").cast("date"),
+        "transaction_type": F.col("l_returnflag"),
+        "channel": F.col("o_orderpriority"),
+        "product_id": F.col("product_id"),
+        "amount": F.col("amount"),
+        "churn_flag": F.col("churn_flag"),
+    }, key_source=lines)
+    return numbered.withColumns({
         "transaction_year": F.year("transaction_date"),
         "transaction_month": F.month("transaction_date"),
     })

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from churnmart.operators import ordering as O
 from churnmart.plans import marts
 
 
@@ -26,3 +27,42 @@ def test_monthly_trend_makes_one_bitmap_per_month_and_bucket(spark):
     # The rows of a month and bucket meet before a bitmap is made.
     before_bitmaps = plan_of(trend).rsplit("bitmap_construct_agg", 1)[1]
     assert "REPARTITION_BY_COL" in before_bitmaps
+
+
+def test_ranked_join_shuffles_rows_once_and_spreads_a_hot_key(spark, monkeypatch):
+    # Many blocks though the session has four partitions.
+    monkeypatch.setattr(O, "_BLOCK_ROWS", 500)
+    lines = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 101 != 0, F.col("id") % 50).alias("k"),
+        (F.col("id") % 7).alias("a"), "id",
+    )
+    # Key 7 twice, key 9 and NULL without a partner, 1000 without a line.
+    orders = spark.createDataFrame(
+        [(k, f"o{k}") for k in [*range(9), *range(10, 50), 1000, None]] + [(7, "again")], "o LONG, name STRING")
+    table = lines.localCheckpoint()
+    ranked = O.ranked_join(table, orders, "o", ["k", "a", "id"], "r", {
+        "key": F.col("k"), "a": F.col("a"), "id": F.col("id"), "name": F.col("name")}, key_source=table)
+    assert ranked.columns == ["r", "key", "a", "id", "name"]
+    got = sorted(ranked.collect())
+    want = table.join(orders, F.col("k") == F.col("o")).select("k", "a", "id", "name")
+    assert [r.r for r in got] == list(range(1, want.count() + 1))
+    assert sorted((r.key, r.a, r.id, r.name) for r in got) == sorted(map(tuple, want.collect()))
+    order = [(r.key, r.a, r.id) for r in got]
+    assert order == sorted(order)
+    bounds, firsts, parts = O._bounds(table.where("k IS NOT NULL"), ["k", "a", "id"])
+    placed = O._in_blocks(table.where("k = 7"), ["k", "a", "id"], bounds, parts)
+    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    assert parts == 12 and len(sizes) >= 5 and max(sizes) < 1500
+    assert O.ranked_join(table.limit(0), orders, "o", ["k", "a", "id"], "r", {"id": F.col("id")}, key_source=table).count() == 0
+
+
+def test_transactions_shuffle_no_line_to_find_its_order(bank, monkeypatch):
+    from churnmart.sources import bankview
+
+    plans = []
+    original = O.materialize
+    monkeypatch.setattr(O, "materialize", lambda df, label, *a: (plans.append((label, plan_of(df), df.columns)), original(df, label, *a))[1])
+    bankview.transactions(bank.spark, bank.folder, bank.raw, bank.products)
+    [(_, plan, columns)] = [p for p in plans if p[0] == "rank-transaction_id"]
+    assert "hashpartitioning(l_orderkey" not in plan and plan.count("shufflepartitionidpassthrough") == 2
+    assert not set(bankview.LINE_KEY) & set(columns)
