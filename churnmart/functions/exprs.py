@@ -48,8 +48,15 @@ def strip_ws(value: Column) -> Column:
 
 def title_case(value: Column) -> Column:
     """Upper case for each letter that follows a non-letter, lower case elsewhere."""
-    pieces = F.split(F.lower(value), r"(?<=[^\p{L}])|(?=[^\p{L}])")
-    return F.array_join(F.transform(pieces, F.initcap), "")
+    def joined(at):
+        return F.array_join(F.transform(F.split(F.lower(value), at), F.initcap), "")
+
+    # Of plain text fewer pieces will do: none for words between spaces, else one per word.
+    return (
+        F.when(value.rlike(r"\A[A-Za-z ]*\z"), F.initcap(value))
+        .when(value.rlike(r"\A[\x00-\x7F]*\z"), joined(r"(?<=[^a-z])(?=[a-z])"))
+        .otherwise(joined(r"(?<=[^\p{L}])|(?=[^\p{L}])"))
+    )
 
 
 def round_even(value: Column, digits: int) -> Column:

@@ -45,11 +45,8 @@ class DimensionVersions:
     def write(self, version: int, rows: DataFrame, stream: str | None = None, batch: int | None = None) -> None:
         """``rows`` (current and closed) as a version that needs no earlier one."""
         self._refuse(version)
-        rows = self._bucketed(rows)
-        spread = rows.repartitionByRange("bucket", KEY)
-        parts = self._put(version, _BASE, spread.where("is_current = 1"))
-        parts += self._put(version, _CLOSED, spread.where("is_current = 0"))
-        self._finish(version, parts, stream, batch, rows.agg(F.max(SURROGATE)).first()[0] or 0)
+        parts = self._put(version, _BASE, self._bucketed(rows).repartitionByRange("bucket", KEY))
+        self._finish(version, parts, stream, batch, max((p["last_key"] or 0 for p in parts), default=0))
 
     def change(self, delta: DataFrame, stream: str | None = None, batch: int | None = None,
                base: int | None = None) -> int:
@@ -61,11 +58,11 @@ class DimensionVersions:
         base = version - 1 if base is None else base
         # One task holds a bucket's part of the delta: as many rows as the batch has there.
         rows = self._bucketed(delta).repartition("bucket")
-        added = self._put(version, _DELTA, rows.where("is_current = 1"))
-        parts = self._manifest(base) + added + self._put(version, _CLOSED, rows.where("is_current = 0"))
-        given = self._at(version, _DELTA).agg(F.max(SURROGATE)).first()[0] if added else None
-        parts = self._compacted(version, parts, {p["bucket"] for p in added})
-        self._finish(version, parts, stream, batch, max(given or 0, self.last_key(base)))
+        put = self._put(version, _DELTA, rows)
+        added = [p for p in put if p["part"] == _DELTA]
+        given = max((p["last_key"] or 0 for p in added), default=0)
+        parts = self._compacted(version, self._manifest(base) + put, {p["bucket"] for p in added})
+        self._finish(version, parts, stream, batch, max(given, self.last_key(base)))
         return version
 
     def _refuse(self, version):
@@ -78,15 +75,28 @@ class DimensionVersions:
         return rows.withColumn("bucket", self.bucket_of())
 
     def _put(self, version, part, rows) -> list:
-        """Writes a part and returns its manifest entries, one per bucket that has rows."""
-        # Replaces only what an unfinished attempt at this version may have left.
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path(version)}/part={part}")
-        counted = self._at(version, part).groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
-        return [{"bucket": r["bucket"], "part": part, "version": version, "rows": r["rows"]} for r in counted.collect()]
+        """Writes current rows as ``part`` and closed ones in one pass; returns the manifest entries.
 
-    def _at(self, version, part):
+        There is one per part and bucket that has rows. Replaces only what an unfinished attempt
+        at this version may have left.
+        """
+        kind = F.when(F.col("is_current") == 1, part).when(F.col("is_current") == 0, _CLOSED)
+        known = rows.withColumn("part", kind).where("part IS NOT NULL")
+        known.write.mode("overwrite").partitionBy("part", "bucket").parquet(self.path(version))
+        return self._entries(version, self._at(version))
+
+    def _put_whole(self, version, rows) -> list:
+        """Writes buckets whole, beside what the version has already."""
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path(version)}/part={_BASE}")
+        return self._entries(version, self._at(version).where(F.col("part") == _BASE))
+
+    def _entries(self, version, rows) -> list:
+        counted = rows.groupBy("part", "bucket").agg(F.count(F.lit(1)).alias("rows"), F.max(SURROGATE).alias("last_key"))
+        return [{**r.asDict(), "version": version} for r in counted.collect()]
+
+    def _at(self, version):
         schema = self._schema()
-        return self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(f"{self.path(version)}/part={part}")
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(self.path(version))
 
     def _schema(self):
         """Columns of the stored rows, from the first version's files."""
@@ -107,7 +117,7 @@ class DimensionVersions:
         if not full:
             return parts
         rows = self._merged([p for p in parts if p["bucket"] in full])
-        based = self._put(version, _BASE, rows.drop("version", "part").repartition("bucket"))
+        based = self._put_whole(version, rows.drop("version", "part").repartition("bucket"))
         return [p for p in parts if p["bucket"] not in full or p["part"] == _CLOSED] + based
 
     def _finish(self, version, parts, stream, batch, last_key):

@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from churnmart.functions import exprs as E
 from churnmart.operators import ordering as O
 from churnmart.plans import marts
+from churnmart.sources.history import DimensionVersions
 
 
 def plan_of(df):
@@ -66,3 +68,25 @@ def test_transactions_shuffle_no_line_to_find_its_order(bank, monkeypatch):
     [(_, plan, columns)] = [p for p in plans if p[0] == "rank-transaction_id"]
     assert "hashpartitioning(l_orderkey" not in plan and plan.count("shufflepartitionidpassthrough") == 2
     assert not set(bankview.LINE_KEY) & set(columns)
+
+
+def test_first_version_is_computed_once_besides_its_ranges(spark, bank):
+    from churnmart.session import new_path
+
+    seen = spark.sparkContext.accumulator(0)
+    source = bank.dimension.withColumn("is_current", (F.col("customer_id") % 5 != 0).cast("int"))
+    rows = source.rdd.map(lambda r: (seen.add(1), r)[1]).toDF(source.schema)
+    versions = DimensionVersions(spark, new_path(spark, "once"))
+    versions.write(0, rows)
+    n = source.count()
+    assert seen.value == 2 * n
+    assert sorted(versions.read(0).collect()) == sorted(source.select(versions.read(0).columns).collect())
+    assert versions.closed(0).count() == source.where("is_current = 0").count() > 0
+    assert versions.last_key(0) == source.agg(F.max("customer_sk")).first()[0]
+
+
+def test_title_case_of_plain_and_other_text(spark):
+    texts = ["", "o'brien SMITH-jones 3x", "Customer#000000001", "éCOLE d'été", "ab cd", "a1b", "x\ny", "ÀB c", None, "ab\n"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING")
+    got = [r.v for r in df.select("i", E.title_case(F.col("t")).alias("v")).orderBy("i").collect()]
+    assert got == [None if t is None else t.title() for t in texts]
