@@ -2,21 +2,23 @@
 
 The feed and the dimension meet on the business key, where both sides are unique (current
 version, latest feed row), so the joins cannot skew. Unchanged feed rows are dropped
-before anything is written; the delta that remains is usually small, and Catalyst
-broadcasts it by its real size when it expires the old versions.
+before anything is written. What remains keeps the current version beside the feed row: the
+versions it closes and opens follow from that one written table, without another join.
 """
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from churnmart.constants import HIGH_DATE, TRACKED_COLUMNS
-from churnmart.functions.exprs import add_up, col
+from churnmart.functions.exprs import add_up, col, quoted
 from churnmart.operators.cleanse import last_per_key
 from churnmart.operators.ordering import global_rank
 from churnmart.session import materialize
 
 KEY = "customer_id"
+# What stands before the columns of the current version beside a feed row.
+_OLD = "__old_"
 
 
 def current_versions(dimension: DataFrame) -> DataFrame:
@@ -88,30 +90,64 @@ def changes(current: DataFrame, feed: DataFrame, load_date: date,
     keyless = feed.where(col(KEY).isNull()).count()
     if keyless:
         raise ValueError(f"{keyless} feed rows without {KEY}")
-    delta = materialize(
-        classify(current, feed, tracked).where("status <> 'unchanged'"), "scd2-delta"
-    )
-    same_day = F.col("old_start") >= F.lit(load_date)
+    # A feed row that comes twice closes its customer's version once.
+    nth = F.row_number().over(Window.partitionBy(KEY, f"{_OLD}customer_sk").orderBy(f"{_OLD}customer_sk"))
+    delta = beside(current, feed, tracked).where("status <> 'unchanged'").withColumn("__nth", nth)
+    delta = materialize(delta, "scd2-delta")
     if last_key is None:
         last_key = largest_key(current)
-    ranked = global_rank(
-        delta.withColumn("__new", (F.col("status") == "new").cast("int")),
-        ["__new", KEY], "customer_sk", start=last_key,
+    closed = ended(delta.where("__nth = 1"), load_date)
+    return closed.unionByName(opened(delta.drop("__nth"), load_date, last_key), allowMissingColumns=True)
+
+
+def beside(current: DataFrame, feed: DataFrame, tracked=TRACKED_COLUMNS) -> DataFrame:
+    """Feed rows with ``status`` (see ``classify``) and the whole current version, as ``__old_<column>``.
+
+    The rows that a feed closes and opens follow from it without another join.
+    """
+    versions = current_versions(current)
+    old = versions.select(*[col(c).alias(f"{_OLD}{c}") for c in versions.columns])
+    differs = add_up([
+        F.when(col(c).eqNullSafe(col(f"{_OLD}{c}")), 0).otherwise(1) for c in tracked
+    ])
+    status = (
+        F.when(col(f"{_OLD}{KEY}").isNull(), "new").when(differs > 0, "changed").otherwise("unchanged")
     )
-    opened = ranked.drop("__new").withColumns({
-        "effective_start_date": F.lit(load_date),
-        "effective_end_date": F.lit(HIGH_DATE),
-        "is_current": F.lit(1),
-        "record_version": F.when(same_day, F.col("old_version"))
-        .otherwise(F.coalesce(F.col("old_version"), F.lit(0)) + 1),
-    }).drop("status", "old_sk", "old_version", "old_start", *[f"old_{c}" for c in tracked])
+    return feed.join(old, col(KEY) == col(f"{_OLD}{KEY}"), "left").withColumn("status", status)
 
-    ending = delta.where("status = 'changed'").where(~same_day).select(F.col("old_sk").alias("__sk"))
-    closed = current_versions(current).join(ending, F.col("customer_sk") == F.col("__sk"), "left_semi")
-    closed = closed.withColumns({
+
+def old_versions(rows: DataFrame) -> DataFrame:
+    """The versions beside the feed rows of ``beside``, under their own names."""
+    names = [c for c in rows.columns if c.startswith(_OLD)]
+    return rows.select(*[col(c).alias(c.removeprefix(_OLD)) for c in names])
+
+
+def _same_day(load_date: date):
+    return col(f"{_OLD}effective_start_date") >= F.lit(load_date)
+
+
+def ended(delta: DataFrame, load_date: date) -> DataFrame:
+    """The versions that the changed rows of ``delta``, see ``beside``, close."""
+    ending = delta.where("status = 'changed'").where(~_same_day(load_date)).where(col(f"{_OLD}customer_sk").isNotNull())
+    return old_versions(ending).withColumns({
         "effective_end_date": F.lit(load_date - timedelta(days=1)), "is_current": F.lit(0),
     })
-    return closed.unionByName(opened, allowMissingColumns=True)
+
+
+def opened(delta: DataFrame, load_date: date, last_key: int) -> DataFrame:
+    """The versions that the changed and new rows of ``delta``, a written table of ``beside``, open."""
+    version = f"{_OLD}record_version"
+    kept = [c for c in delta.columns if not c.startswith(_OLD) and c != "status"]
+    rows = delta.select(
+        *quoted(kept), (F.col("status") == "new").cast("int").alias("__new"), version, f"{_OLD}effective_start_date")
+    ranked = global_rank(rows, ["__new", KEY], "customer_sk", start=last_key)
+    return ranked.withColumns({
+        "effective_start_date": F.lit(load_date),
+        "effective_end_date": F.lit(HIGH_DATE),
+        "is_current": F.lit(1),
+        "record_version": F.when(_same_day(load_date), col(version))
+        .otherwise(F.coalesce(col(version), F.lit(0)) + 1),
+    }).drop("__new", version, f"{_OLD}effective_start_date")
 
 
 def merge(dimension: DataFrame, feed: DataFrame, load_date: date,

@@ -1,7 +1,7 @@
 """A dimension stored as versions of small deltas, merged when read."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from churnmart.functions.exprs import col
 
@@ -170,14 +170,17 @@ class DimensionVersions:
 
     def _merged(self, parts) -> DataFrame:
         """Current rows: of each customer the newest delta's, else the base's."""
-        base = self._files([p for p in parts if p["part"] == _BASE])
-        deltas = [p for p in parts if p["part"] == _DELTA]
-        if not deltas:
+        alone = {p["bucket"] for p in parts} - {p["bucket"] for p in parts if p["part"] == _DELTA}
+        base = self._files([p for p in parts if p["part"] == _BASE and p["bucket"] in alone])
+        mixed = [p for p in parts if p["part"] != _CLOSED and p["bucket"] not in alone]
+        if not mixed:
             return base
-        rows = self._files(deltas)
-        newest = rows.groupBy(col(KEY).alias("__key")).agg(F.max("version").alias("__newest"))
-        chosen = rows.join(newest, (col(KEY) == F.col("__key")) & (F.col("version") == F.col("__newest")))
-        return base.join(newest, col(KEY) == F.col("__key"), "left_anti").unionByName(chosen.drop("__key", "__newest"))
+        # The deltas of a bucket are later versions than its base, so all meet in one shuffle.
+        newest = F.max("version").over(Window.partitionBy(KEY))
+        keyless = col(KEY).isNull()
+        rows = self._files(mixed).withColumn("__newest", newest).where(
+            F.when(keyless, F.col("part") == _BASE).otherwise(F.col("version") == F.col("__newest")))
+        return base.unionByName(rows.drop("__newest"))
 
     def with_order(self, version: int, buckets=None) -> DataFrame:
         """Current rows with the feed order they reflect; only those of ``buckets``, if given."""

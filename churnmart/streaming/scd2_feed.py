@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from churnmart.functions.exprs import col
 from churnmart.operators import scd2
@@ -35,30 +35,28 @@ def merge_stream(spark: SparkSession, feed_dir: str, schema, versions: Dimension
         base = versions.latest()
         rows = clean_numbers(batch)
         rows = prepare(rows) if prepare else rows
-        keyless = rows.where(col(scd2.KEY).isNull())
-        if not keyless.isEmpty():
-            versions.reject(base + 1, keyless)
-        newest = last_per_key(rows.where(col(scd2.KEY).isNotNull()), scd2.KEY, order)
-        # At most as many numbers as there are buckets.
-        touched = {r[0] for r in newest.select(versions.bucket_of()).distinct().collect()}
-        before = versions.with_order(base, touched)
+        keyed = col(scd2.KEY).isNotNull()
+        # At most as many rows as there are buckets, and one for keyless rows.
+        held = rows.select(keyed, versions.bucket_of()).distinct().collect()
+        if not all(r[0] for r in held):
+            versions.reject(base + 1, rows.where(~keyed))
+        newest = last_per_key(rows.where(keyed), scd2.KEY, order)
+        before = versions.with_order(base, {r[1] for r in held if r[0]})
+        met = scd2.beside(before, newest)
         # Stored as text, compared in the type of the feed.
-        seen = before.select(
-            col(scd2.KEY).alias("__key"), F.col(SEEN).cast(newest.schema[order].dataType).alias("__seen"))
-        fresh = newest.join(seen, col(scd2.KEY) == F.col("__key"), "left").where(
-            F.col("__seen").isNull() | (col(order) >= F.col("__seen"))).drop("__key", "__seen")
-        # Read three times: written, so that the batch is parsed once.
-        fresh = materialize(fresh, "stream-batch")
-        delta = scd2.changes(before.drop(SEEN), fresh.drop(order), load_date, last_key=versions.last_key(base))
-        delta = materialize(delta, "stream-delta")
-        now = fresh.select(col(scd2.KEY).alias("__key"), col(order).cast("string").alias(SEEN))
-        opened = delta.where("is_current = 1").join(now, col(scd2.KEY) == F.col("__key")).drop("__key")
+        seen = col(f"__old_{SEEN}").cast(newest.schema[order].dataType)
+        fresh = met.where(seen.isNull() | (col(order) >= seen)).withColumn(SEEN, col(order).cast("string")).drop(order)
+        changed = F.max((F.col("status") != "unchanged").cast("int")).over(Window.partitionBy(scd2.KEY))
+        # Written, so that the batch is parsed and meets the dimension once.
+        fresh = materialize(fresh.withColumn("__changed", changed), "stream-batch")
+        delta = fresh.where("status <> 'unchanged'").drop("__changed")
+        opened = scd2.opened(delta, load_date, versions.last_key(base))
+        closed = scd2.ended(delta, load_date).withColumn(SEEN, F.lit(None).cast("string"))
         # Unchanged rows reflect a later order from now on.
-        changed = opened.select(col(scd2.KEY).alias("__changed"))
-        again = before.drop(SEEN).join(now, col(scd2.KEY) == F.col("__key")).drop("__key").join(
-            changed, col(scd2.KEY) == F.col("__changed"), "left_anti")
-        closed = delta.where("is_current = 0").withColumn(SEEN, F.lit(None).cast("string"))
-        versions.change(closed.unionByName(opened).unionByName(again, allowMissingColumns=True), checkpoint, batch_id)
+        same = fresh.where("__changed = 0")
+        again = scd2.old_versions(same.withColumn(f"__old_{SEEN}", F.col(SEEN)))
+        versions.change(closed.unionByName(opened, allowMissingColumns=True).unionByName(again, allowMissingColumns=True),
+                        checkpoint, batch_id)
 
     query = (
         source.writeStream.foreachBatch(merge_batch)

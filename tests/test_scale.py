@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from churnmart.functions import exprs as E
-from churnmart.operators import ordering as O
+from churnmart.operators import ordering as O, scd2
 from churnmart.plans import marts
 from churnmart.sources.history import DimensionVersions
 
@@ -90,3 +90,30 @@ def test_title_case_of_plain_and_other_text(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING")
     got = [r.v for r in df.select("i", E.title_case(F.col("t")).alias("v")).orderBy("i").collect()]
     assert got == [None if t is None else t.title() for t in texts]
+
+
+def test_current_rows_of_deltas_meet_in_one_shuffle_and_no_join(spark):
+    from churnmart.session import new_path
+
+    versions = DimensionVersions(spark, new_path(spark, "one-shuffle"), buckets=2, compact_at=9)
+    rows = spark.createDataFrame(
+        [(i, i, "A", 1) for i in range(1, 9)] + [(9, None, "A", 1)], "customer_sk LONG, customer_id LONG, geography STRING, is_current INT")
+    versions.write(0, rows)
+    for n in (1, 2):
+        versions.change(rows.where(F.col("customer_id") <= 5 - n).withColumn("geography", F.lit(f"V{n}")))
+    plan = plan_of(versions.current(2))
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning(customer_id") == 1
+    got = sorted((r.customer_id or 0, r.geography) for r in versions.current(2).collect())
+    assert got == [(0, "A"), (1, "V2"), (2, "V2"), (3, "V2"), (4, "V1"), *[(i, "A") for i in (5, 6, 7, 8)]]
+
+
+def test_changes_meet_the_current_rows_once(spark, bank, monkeypatch):
+    reads = []
+    original = scd2.materialize
+    monkeypatch.setattr(scd2, "materialize", lambda df, label, *a: reads.append(label) or original(df, label, *a))
+    delta = scd2.changes(bank.dimension, bank.incoming, scd2.HIGH_DATE, last_key=10**6)
+    # Closed rows come from the written rows, not from a second join with the dimension.
+    assert reads == ["scd2-delta"] and "SortMergeJoin" not in plan_of(delta.where("is_current = 0"))
+    twice = scd2.changes(bank.dimension, bank.incoming.union(bank.incoming), scd2.HIGH_DATE, last_key=10**6)
+    closed = twice.where("is_current = 0")
+    assert closed.count() == closed.select("customer_sk").distinct().count() == delta.where("is_current = 0").count() > 0
