@@ -9,6 +9,7 @@ escapes. Items of fewer than five words are no evidence and match nothing.
 """
 
 import re
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,31 +26,66 @@ WINDOW, SHORTEST, SIMILAR = 20, 5, 0.8
 # The bits of a map of seed hashes: fixed size, 8 MiB, whatever the size of the benchmark.
 MAP_BITS = 26
 PIECE_BITS = 16
-REMEMBERED = 400_000
+# Characters whose words are hashed at once, about: short texts go together, long ones in pieces.
+CHUNK = 1 << 17
+ROWS = 4096
 
 _WORDS = re.compile(r"[^\W_]+").findall
+_BREAK = re.compile(r"[\W_]").search
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
+_BASE = 0xA0761D6478BD642F
 
 
-class Seeds:
-    """Words of a text, and their hashes under each mask."""
+@cache
+def _in_word():
+    """For each code point whether it belongs to a word."""
+    table = np.zeros(0x110000, bool)
+    every = np.arange(len(table), dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    for run in re.finditer(r"[^\W_]+", every):
+        table[run.start() : run.end()] = True
+    return table
 
-    def __init__(self):
-        self._known = {}
 
-    def __call__(self, text):
-        import xxhash
+class Seeds:
+    """Words of a lower-case text: where they start and end, and their hashes under each mask.
+
+    A word's hash is a polynomial in its code points modulo 2^64, so that all words of a piece
+    are hashed at once: sums of code points times powers of their places, moved to place zero.
+    """
 
-        words, known = _WORDS(text.lower()), self._known
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh64_digest(word.encode("utf-8", "surrogatepass"))
-        hashes = np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint64)
-        if len(known) > REMEMBERED:
-            known.clear()
-        return words, [self._masked(hashes, n, mask) for n, mask in enumerate(MASKS)]
+    def __init__(self):
+        self._powers = self._inverse = np.zeros(0, np.uint64)
+
+    def words(self, text):
+        """(starts, ends, hashes) of the words of ``text``; a piece never ends inside a word."""
+        pieces, at = [], 0
+        while at < len(text):
+            end = _BREAK(text, at + CHUNK)
+            end = end.start() if end else len(text)
+            pieces.append(self._piece(text[at:end], at))
+            at = end
+        none = [np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.uint64)]
+        return [np.concatenate(c) for c in zip(none, *pieces)]
+
+    def _piece(self, text, offset):
+        codes = np.frombuffer(f"\n{text}\n".encode("utf-32-le", "surrogatepass"), "<u4")
+        if len(codes) > len(self._powers):
+            size = max(len(codes), 2 * CHUNK)
+            self._powers, self._inverse = (
+                np.full(size, b, np.uint64).cumprod() for b in (_BASE, pow(_BASE, -1, 1 << 64))
+            )
+        inside = _in_word()[codes]
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        starts, ends = edges[::2], edges[1::2]
+        if not len(edges):
+            return starts, ends, np.zeros(0, np.uint64)
+        sums = np.add.reduceat(codes * self._powers[: len(codes)], edges)[::2]
+        hashes = sums * self._inverse[starts] * _ODD[0]
+        hashes ^= hashes >> np.uint64(32)
+        return starts - 1 + offset, ends - 1 + offset, hashes
 
     @staticmethod
-    def _masked(hashes, number, mask):
+    def masked(hashes, number, mask):
         n = len(hashes) - mask[-1]
         if n < 1:
             return np.zeros(0, np.uint64)
@@ -60,10 +96,46 @@ class Seeds:
         return mixed
 
 
-def _around(words, at):
-    """Words that any window over a seed at ``at`` may hold, and where ``at`` is among them."""
-    first = max(0, at - WINDOW + 1)
-    return " ".join(words[first : at + WINDOW]), at - first
+def _groups(texts):
+    """(first, end) of runs of texts with about ``CHUNK`` characters, or one long text, each."""
+    first = size = 0
+    for at, text in enumerate(texts):
+        if at > first and size + len(text) > CHUNK:
+            yield first, at
+            first, size = at, 0
+        size += len(text) + 1
+    if first < len(texts):
+        yield first, len(texts)
+
+
+def _hits(seeds, texts, bits):
+    """(text, seed, place of its first word, words of the text, near, place of the seed in near) of each seed.
+
+    ``near`` holds the words that any window over the seed may hold. Yields lists of arrays,
+    for at most ``ROWS`` seeds each. Seeds that the map ``bits`` cannot hold are left out.
+    """
+    # A line end is no part of a word: texts are read as one, then seeds over two are dropped.
+    whole = "\n".join(texts)
+    starts, ends, hashes = seeds.words(whole)
+    begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+    bounds = np.searchsorted(starts, begins)
+    n_words = np.diff(bounds)
+    owner = np.repeat(np.arange(len(texts)), n_words)
+    for number, mask in enumerate(MASKS):
+        some = seeds.masked(hashes, number, mask)
+        slot = some >> np.uint64(64 - MAP_BITS)
+        found = np.arange(len(some)) if bits is None else np.flatnonzero(
+            bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1
+        )
+        text = owner[found]
+        kept = (text == owner[found + mask[-1]]) & (n_words[text] >= SHORTEST)
+        for at in range(0, len(found), ROWS):
+            rows = found[at : at + ROWS][kept[at : at + ROWS]]
+            mine = owner[rows]
+            first = np.maximum(bounds[mine], rows - WINDOW + 1)
+            last = np.minimum(bounds[mine + 1], rows + WINDOW) - 1
+            near = [" ".join(_WORDS(whole[i:j])) for i, j in zip(starts[first].tolist(), ends[last].tolist())]
+            yield [mine, some[rows].view(np.int64), rows - bounds[mine], n_words[mine], near, rows - first]
 
 
 def _seed_rows(df, id_col, text_col, extra, bitmap=None):
@@ -78,30 +150,16 @@ def _seed_rows(df, id_col, text_col, extra, bitmap=None):
 
     def run(batches):
         seeds, bits = Seeds(), bitmap.value if bitmap is not None else None
-
-        def batch_of(rows):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, type=f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(out), out)], schema=out
-            )
-
         for batch in batches:
-            keys = zip(*[c.to_pylist() for c in batch.columns[:width]])
-            rows = []
-            for key, text in zip(keys, batch.column(width).to_pylist()):
-                words, hashes = seeds(text)
-                if len(words) < SHORTEST:
-                    continue
-                for some in hashes:
-                    slot = some >> np.uint64(64 - MAP_BITS)
-                    found = np.arange(len(some)) if bits is None else np.nonzero(
-                        bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1
-                    )[0]
-                    for at in found.tolist():
-                        rows.append((*key, int(some[at].view(np.int64)), at, len(words), *_around(words, at)))
-                if len(rows) > 4096:
-                    yield batch_of(rows)
-                    rows = []
-            yield batch_of(rows)
+            texts = [t.lower() for t in batch.column(width).to_pylist()]
+            for first, end in _groups(texts):
+                for mine, *found in _hits(seeds, texts[first:end], bits):
+                    if len(mine):
+                        keys = [batch.column(c).take(pa.array(mine + first)) for c in range(width)]
+                        yield pa.RecordBatch.from_arrays(
+                            [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, type=f.type)
+                             for c, f in zip((*keys, *found), out)], schema=out
+                        )
 
     columns = [F.col(c) for c in (id_col, *extra)]
     return df.select(*columns, text_or_empty(text_col).alias("text")).mapInArrow(run, schema)

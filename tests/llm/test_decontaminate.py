@@ -69,3 +69,28 @@ def test_odd_rows(spark):
     assert d.overlaps(docs, bench.limit(0)).count() == d.overlaps(docs.limit(0), bench).count() == 0
     keyed = docs.selectExpr("*", "monotonically_increasing_id() as k")
     assert sorted(r.doc_id for r in d.clean(keyed, bench, "k").collect()) == [1, 2]
+
+
+def test_words_are_hashed_together_and_as_the_expression_finds_them(monkeypatch):
+    """Seeding must cost a few array operations per run of texts, not per text or word."""
+    texts = ["", "a", "İstanbul ΣΑΣ _x_y_ ²½ \ud800 nul\0nul", "one two\nthree four", "é" * 5000, "w1 w2 w3 w4 w5 " * 300]
+    texts = [t.lower() for t in texts]
+    monkeypatch.setattr(d, "CHUNK", 1000)
+    seeds, known = d.Seeds(), {}
+    for text in [*texts, "\n".join(texts)]:
+        starts, ends, hashes = seeds.words(text)
+        words = [text[i:j] for i, j in zip(starts, ends)]
+        assert words == d._WORDS(text)
+        for word, value in zip(words, hashes.tolist()):
+            assert known.setdefault(word, value) == value
+    assert len(set(known.values())) == len(known)
+    assert [texts[i:j] for i, j in d._groups(texts)] == [texts[:4], texts[4:5], texts[5:]]
+    monkeypatch.setattr(d, "CHUNK", 1 << 17)
+    pieces, piece = [], d.Seeds._piece
+    monkeypatch.setattr(d.Seeds, "_piece", lambda *a: pieces.append(1) or piece(*a))
+    short = [" ".join(f"v{i + j}" for j in range(i % 9)) for i in range(2000)]
+    got = [row for i, j in d._groups(short) for found in d._hits(d.Seeds(), short[i:j], None) for row in zip(*found)]
+    assert len(pieces) == 1
+    want = sorted((i, at) for i in range(2000) for m in d.MASKS for at in range(i % 9 - m[-1]) if i % 9 >= d.SHORTEST)
+    assert sorted((int(r[0]), int(r[2])) for r in got) == want
+    assert all(r[3] == r[0] % 9 and r[4] == short[r[0]] and r[5] == r[2] for r in got)
