@@ -1,6 +1,6 @@
 """Transaction fact: key resolution, referential checks, point-in-time lookup."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from churnmart.functions.exprs import col, rate_pct
 from churnmart.operators.joins import HotKeys, salted_join
@@ -16,6 +16,12 @@ def customer_lookup(dim_customer: DataFrame) -> DataFrame:
     )
 
 
+def _day_number(day: Column) -> Column:
+    """yyyyMMdd as a number, by arithmetic where the year has a plain form."""
+    number = F.year(day) * 10_000 + F.month(day) * 100 + F.dayofmonth(day)
+    return F.when(F.year(day).between(1, 9999), number).otherwise(F.date_format(day, "yyyyMMdd").cast("int"))
+
+
 def build_fact(transactions: DataFrame, dim_customer: DataFrame,
                dim_product: DataFrame) -> DataFrame:
     """Transactions with resolved keys; a failed lookup leaves the key NULL.
@@ -36,7 +42,7 @@ def build_fact(transactions: DataFrame, dim_customer: DataFrame,
     products = dim_product.select("product_id", "product_sk")
     resolved = salted_join(
         keyed, products, "product_id", F.xxhash64("transaction_id"), hot=hot
-    ).withColumn("date_sk", F.date_format("transaction_date", "yyyyMMdd").cast("int"))
+    ).withColumn("date_sk", _day_number(F.col("transaction_date")))
     first = dense_start(transactions, "transaction_id")
     if first is None:
         numbered = surrogate_key(resolved, "transaction_sk", ["transaction_id"], key_source=transactions)

@@ -74,11 +74,14 @@ def _bounds(key_source: DataFrame, order) -> tuple[Column, Column, int]:
 def _with_block(df: DataFrame, name: str, parts: int, reached) -> DataFrame:
     """``df`` with ``name``: the number of the ``parts - 1`` leading bounds that are ``reached``, by position.
 
-    A binary search, a column after the other: higher-order functions are not compiled.
+    A binary search, a column after the other: higher-order functions are not compiled. A step
+    names the column before it twice and no more, as planning takes them all for one expression:
+    with four times it took longer than the rows once there were some hundred bounds. ``reached``
+    is NULL beyond the last bound.
     """
     found, at = df.withColumn(name, F.lit(0)), F.col(name)
     for step in (1 << i for i in reversed(range(max(1, parts - 1).bit_length()))):
-        found = found.withColumn(name, F.when((at + step < parts) & reached(at + step - 1), at + step).otherwise(at))
+        found = found.withColumn(name, at + F.when(reached(at + (step - 1)), step).otherwise(0))
     return found
 
 
@@ -110,7 +113,8 @@ def ranked_join(df: DataFrame, partner: DataFrame, on: str, order, name: str, co
 
     ``df`` is shuffled once, to the blocks of the order, and ``partner`` goes to the block that
     has its key: rows meet where they are sorted. A hot key of ``df`` spans many blocks, and
-    its rows of ``partner`` go to each. Only ``columns`` are written.
+    its rows of ``partner`` go to each. Only ``columns`` are written, and a row for each block: the
+    result adds the two up and may be read as often as a written table.
     """
     present = col(order[0]).isNotNull()
     bounds, firsts, parts = _bounds(key_source.where(present), order)
@@ -120,12 +124,14 @@ def ranked_join(df: DataFrame, partner: DataFrame, on: str, order, name: str, co
     spans = _with_block(spans, "__high", parts, lambda i: F.get("__firsts", i) <= col(on))
     spans = spans.withColumn("__to", F.explode(F.sequence("__low", "__high"))).drop("__firsts", "__low", "__high")
     right = spans.repartitionById(parts, "__to")
-    met = left.join(right, (F.col("__block") == F.col("__to")) & (col(order[0]) == col(on)))
-    ordered = met.sortWithinPartitions("__block", *quoted(order), _TIE)
+    # Sorts compare first keys by a prefix beside the row pointer: the key leads, for the block is
+    # the same for a whole partition. Blocks are ranges of the order, so each stays in one piece.
+    met = left.join(right, (col(order[0]) == col(on)) & (F.col("__block") == F.col("__to")))
+    ordered = met.sortWithinPartitions(*quoted(order), _TIE)
     placed = ordered.select(F.col("__block").alias(_PART), F.monotonically_increasing_id().alias(_IDX),
                             *[e.alias(c) for c, e in columns.items()])
     placed = materialize(placed, f"rank-{name}")
-    return _numbered(placed, name, list(columns)).select(name, *quoted(columns))
+    return _numbered(placed, name, list(columns), written=True).select(name, *quoted(columns))
 
 
 def dense_start(df: DataFrame, key: str) -> int | None:
@@ -161,8 +167,11 @@ def global_rank(df: DataFrame, order, name: str, within=(), total=None, start=0,
     return _numbered(placed, name, df.columns, within, total, start)
 
 
-def _numbered(placed: DataFrame, name: str, columns, within=(), total=None, start=0) -> DataFrame:
-    """``columns`` of written rows in blocks, with their rank ``name``."""
+def _numbered(placed: DataFrame, name: str, columns, within=(), total=None, start=0, written=False) -> DataFrame:
+    """``columns`` of written rows in blocks, with their rank ``name``.
+
+    ``written`` blocks are counted once, however often the result is read.
+    """
     blocks = placed.groupBy(_PART, *quoted(within)).agg(
         F.count(F.lit(1)).alias("__n"), F.min(_IDX).alias("__first"), F.max(_IDX).alias("__last")
     )
@@ -187,7 +196,7 @@ def _numbered(placed: DataFrame, name: str, columns, within=(), total=None, star
         blocks = materialize(blocks, "blocks")
     else:
         # At most one row per shuffle partition.
-        blocks = F.broadcast(blocks)
+        blocks = F.broadcast(materialize(blocks, "blocks") if written else blocks)
     rank = F.col("__before") + F.col(_IDX) - F.col("__first") + F.lit(1 + start)
     extra = [F.col("__total").alias(total)] if total else []
     return placed.join(blocks, match).select(

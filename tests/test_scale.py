@@ -1,10 +1,14 @@
 """Work that has to grow no faster than the rows."""
 
+from bisect import bisect_right
+from datetime import date
+
+import pytest
 from pyspark.sql import functions as F
 
 from churnmart.functions import exprs as E
-from churnmart.operators import ordering as O, scd2
-from churnmart.plans import marts
+from churnmart.operators import facts, ordering as O, scd2
+from churnmart.plans import catalog, marts
 from churnmart.sources.history import DimensionVersions
 
 
@@ -117,3 +121,54 @@ def test_changes_meet_the_current_rows_once(spark, bank, monkeypatch):
     twice = scd2.changes(bank.dimension, bank.incoming.union(bank.incoming), scd2.HIGH_DATE, last_key=10**6)
     closed = twice.where("is_current = 0")
     assert closed.count() == closed.select("customer_sk").distinct().count() == delta.where("is_current = 0").count() > 0
+
+
+@pytest.mark.parametrize("parts", [1, 2, 3, 16, 433])
+def test_a_block_is_searched_with_two_names_a_step(spark, parts):
+    # Planning puts the steps into each other: names to the power of the steps.
+    class Steps(list):
+        def withColumn(self, name, column):
+            self.append(str(column))
+            return self
+
+    steps = O._with_block(Steps(), "__b", parts, lambda i: i < 5)
+    assert all(step.count("__b") <= 2 for step in steps) and len(steps) <= 10
+    bounds = [3 * (i // 2) for i in range(parts - 1)] or [None]
+    rows = spark.range(-2, 3 * parts).withColumn("bounds", F.array(*[F.lit(b).cast("long") for b in bounds]))
+    got = O._with_block(rows, "b", parts, lambda i: F.get("bounds", i) <= F.col("id")).select("id", "b").collect()
+    assert all(r.b == bisect_right(bounds[:parts - 1], r.id) for r in got)
+
+
+def test_ranked_join_sorts_by_a_key_that_tells_rows_apart_and_writes_rows_once(spark, monkeypatch):
+    written, write = [], O.materialize
+
+    def noted(df, label, *more):
+        written.append((label, plan_of(df)))
+        return write(df, label, *more)
+
+    monkeypatch.setattr(O, "materialize", noted)
+    lines = spark.range(300).selectExpr("id div 3 k", "id").localCheckpoint()
+    orders = spark.range(100).selectExpr("id o", "cast(id AS STRING) name")
+    ranked = O.ranked_join(lines, orders, "o", ["k", "id"], "r", {"id": F.col("id"), "name": F.col("name")}, key_source=lines)
+    assert "Sort [__block" not in dict(written)["rank-r"]
+    # The few block counts are written as well: a reader does not count the rows again.
+    assert [label for label, _ in written] == ["bounds", "rank-r", "blocks"]
+    assert "HashAggregate" not in plan_of(ranked)
+    assert sorted((r.r, r.id, r.name) for r in ranked.collect()) == [(i + 1, i, str(i // 3)) for i in range(300)]
+
+
+def test_transactions_are_not_written_twice(spark, folder, monkeypatch):
+    written, write = [], catalog.materialize
+    monkeypatch.setattr(catalog, "materialize", lambda df, label, *more: written.append(label) or write(df, label, *more))
+    assert catalog.Bank(spark, folder).transactions.select("transaction_id").distinct().count() > 5000
+    assert "transactions" not in written
+
+
+def test_day_numbers_need_no_formatting(spark):
+    days = [date(1, 1, 1), date(1999, 12, 31), date(2024, 2, 29), date(9999, 12, 31), None]
+    rows = spark.createDataFrame([(d,) for d in days], "d DATE").selectExpr("d").union(
+        spark.sql("SELECT DATE'+10000-01-02' UNION ALL SELECT DATE'-0044-03-15'"))
+    day = facts._day_number(F.col("d"))
+    old = F.expr("try_cast(date_format(d, 'yyyyMMdd') AS INT)")
+    got = rows.select(day.alias("new"), old.alias("old")).collect()
+    assert all(r.new == r.old for r in got) and [r.new for r in got[:4]] == [10101, 19991231, 20240229, 99991231]
